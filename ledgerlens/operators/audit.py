@@ -15,11 +15,18 @@ from ledgerlens.schemas import CORRELATION_LIMIT, ID_CORRELATION_LIMIT, TARGET
 REPORT = ["check", "feature", "value", "flagged"]
 
 
+# A spread this small next to the mean is rounding noise, as in a ratio that is 0.9 but for its last bit.
+NOISE = 1e-12
+
+
 def safe_corr(x: str, y: str) -> Column:
     """Pearson correlation over rows where both are known; NULL, not an error, when either is constant there."""
     a = F.when(F.col(y).isNotNull(), F.col(x).cast("double"))
     b = F.when(F.col(x).isNotNull(), F.col(y).cast("double"))
-    return F.try_divide(F.covar_samp(a, b), F.stddev_samp(a) * F.stddev_samp(b))
+    spread = F.stddev_samp(a)
+    return F.when(
+        spread > F.lit(NOISE) * F.abs(F.avg(a)), F.try_divide(F.covar_samp(a, b), spread * F.stddev_samp(b))
+    )
 
 
 def numeric_columns(df: DataFrame, without: tuple[str, ...] = ()) -> list[str]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from ledgerlens.plans import queries as q
 from ledgerlens.schemas import (
     AUC_LIMIT, CATEGORICAL_FEATURES, CORRELATION_LIMIT, EXPLORER_COLUMNS, ID_CORRELATION_LIMIT, MANDATORY, MANIFEST,
@@ -17,7 +19,8 @@ HASH = "upper(hex(sha256(CAST(sk_id_curr AS VARCHAR))))"
 
 
 def r6(expression: str, name: str | None = None) -> str:
-    return f"ROUND({expression}, 6) AS {name or expression}"
+    places = q.FINER_PLACES.get(name or expression, q.PLACES)
+    return f"ROUND({expression}, {places}) AS {name or expression}"
 
 
 def money(expression: str) -> str:
@@ -169,8 +172,6 @@ STEPS["held"] = (
 
 
 def uses(name: str, sql: str) -> bool:
-    import re
-
     return re.search(rf"\b{name}\b", sql) is not None
 
 
@@ -189,9 +190,7 @@ def with_steps(sql: str) -> str:
     order = [n for n in STEPS if n in needed]
     if not order:
         return sql
-    keyword = "WITH RECURSIVE" if "RECURSIVE" in sql else "WITH"
-    body = sql.replace("WITH RECURSIVE ", ", ", 1).replace("WITH ", ", ", 1) if sql.startswith("WITH") else " " + sql
-    return f"{keyword} " + ",\n".join(f"{n} AS ({STEPS[n]})" for n in order) + "\n" + body
+    return "WITH " + ",\n".join(f"{n} AS ({STEPS[n]})" for n in order) + "\n" + sql
 
 
 def project(columns, hashed: bool = True) -> str:
@@ -378,11 +377,12 @@ ORACLES["explorer_page"] = (
 )
 
 
-def corr(column: str, source: str, check: str, limit: float) -> str:
-    value = f"corr(CAST({column} AS DOUBLE), CAST(target AS DOUBLE))"
+def corr(column: str, source: str, check: str) -> str:
+    x = f"CAST({column} AS DOUBLE)"
+    value = f"corr({x}, CAST(target AS DOUBLE))"
     return (
-        f"SELECT '{check}' AS \"check\", '{column}' AS feature, "
-        f"abs(CASE WHEN isnan({value}) THEN NULL ELSE {value} END) AS value FROM {source}"
+        f"SELECT '{check}' AS \"check\", '{column}' AS feature, abs(CASE WHEN isnan({value}) THEN NULL "
+        f"WHEN STDDEV_SAMP({x}) > CAST(1e-12 AS DOUBLE) * abs(AVG({x})) THEN {value} END) AS value FROM {source}"
     )
 
 
@@ -393,9 +393,9 @@ def flagged(rows: str, limit: float) -> str:
 
 
 CORRELATIONS = flagged(
-    " UNION ALL ".join(corr(c, "audited", "correlation", CORRELATION_LIMIT) for c in AUDITED_NUMERIC), CORRELATION_LIMIT
+    " UNION ALL ".join(corr(c, "audited", "correlation") for c in AUDITED_NUMERIC), CORRELATION_LIMIT
 )
-ID_CORRELATION = flagged(corr("sk_id_curr", "app", "id", ID_CORRELATION_LIMIT), ID_CORRELATION_LIMIT)
+ID_CORRELATION = flagged(corr("sk_id_curr", "app", "id"), ID_CORRELATION_LIMIT)
 NULL_STATES = flagged(
     "SELECT 'null_state' AS \"check\", feature, abs((n * b - u * p) / sqrt(u * (n - u) * p * (n - p))) AS value FROM ("
     + " UNION ALL ".join(

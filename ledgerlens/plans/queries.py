@@ -50,11 +50,18 @@ def query(fn: Callable[[CreditTables], DataFrame]) -> Callable[[SparkSession, st
     return run
 
 
-def rounded(df: DataFrame, places: int = 6) -> DataFrame:
+PLACES = 6
+# A mean of two-digit ratios often ends on a five, where six places would round either way.
+FINER_PLACES = {"avg_payment_ratio": 9}
+
+
+def rounded(df: DataFrame) -> DataFrame:
     """Round doubles once, at the very end, so engines that add up in another order agree."""
     return df.select(
         *[
-            F.round(F.col(f.name), places).alias(f.name) if f.dataType == DoubleType() else F.col(f.name)
+            F.round(F.col(f.name), FINER_PLACES.get(f.name, PLACES)).alias(f.name)
+            if f.dataType == DoubleType()
+            else F.col(f.name)
             for f in df.schema
         ]
     )

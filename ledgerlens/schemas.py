@@ -4,26 +4,29 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
+
+TYPES = {"long": LongType(), "int": IntegerType(), "double": DoubleType(), "string": StringType()}
 
 
 @dataclass(frozen=True)
 class TableSpec:
-    """One source table.
+    """One source table, its columns written as "name type" pairs.
 
     ``known_by`` columns must be at or before the application (0) for a row to count as known then.
     ``known_if_set`` columns must be so only where they hold a value.
     """
 
     name: str
-    ddl: str
+    columns: str
     key: str | None = None
     known_by: tuple[str, ...] = ()
     known_if_set: tuple[str, ...] = ()
 
     @property
     def schema(self) -> StructType:
-        return StructType.fromDDL(self.ddl)
+        pairs = [c.split() for c in self.columns.split(", ")]
+        return StructType([StructField(name, TYPES[kind]) for name, kind in pairs])
 
 
 # Table names, keys, column names and types of the credit data.
