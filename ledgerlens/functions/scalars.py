@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.schemas import DAYS_PER_YEAR, NOT_EMPLOYED, STATUS_WORST_LAST
@@ -78,6 +78,16 @@ def status_of_rank(c: str | Column) -> Column:
     return F.substr(F.lit(STATUS_WORST_LAST), as_column(c), F.lit(1))
 
 
-def one_row_per(entries: list[list[Column]], names: list[str]) -> Column:
-    """Generator that turns one wide row into one row per entry."""
-    return F.inline(F.array(*[F.struct(*[c.alias(n) for c, n in zip(e, names)]) for e in entries]))
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text(value: str) -> str:
+    """A string as a SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def stacked(df: DataFrame, entries: list[list[str]], names: list[str]) -> DataFrame:
+    """Turn a wide row into one row per entry; entries are lists of SQL expressions, one for each name."""
+    items = ", ".join(e for entry in entries for e in entry)
+    return df.selectExpr(f"stack({len(entries)}, {items}) AS ({', '.join(names)})")

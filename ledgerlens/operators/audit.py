@@ -4,44 +4,43 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from ledgerlens.functions.scalars import one_row_per
+from ledgerlens.functions.scalars import quoted, stacked, text
 from ledgerlens.operators.ingest import ID
 from ledgerlens.schemas import CORRELATION_LIMIT, ID_CORRELATION_LIMIT, TARGET
 
-REPORT = ["check", "feature", "value", "flagged"]
-
 
 # A spread this small next to the mean is rounding noise, as in a ratio that is 0.9 but for its last bit.
 NOISE = 1e-12
 
 
-def safe_corr(x: str, y: str) -> Column:
+def safe_corr(x: str, y: str) -> str:
     """Pearson correlation over rows where both are known; NULL, not an error, when either is constant there."""
-    a = F.when(F.col(y).isNotNull(), F.col(x).cast("double"))
-    b = F.when(F.col(x).isNotNull(), F.col(y).cast("double"))
-    spread = F.stddev_samp(a)
-    return F.when(
-        spread > F.lit(NOISE) * F.abs(F.avg(a)), F.try_divide(F.covar_samp(a, b), spread * F.stddev_samp(b))
-    )
+    x, y = f"CAST({quoted(x)} AS DOUBLE)", f"CAST({quoted(y)} AS DOUBLE)"
+    sxx = f"regr_sxx({y}, {x})"
+    noise = f"{NOISE}D * {NOISE}D * regr_count({y}, {x}) * power(regr_avgx({y}, {x}), 2)"
+    return f"CASE WHEN {sxx} > {noise} THEN try_divide(regr_sxy({y}, {x}), sqrt({sxx} * regr_syy({y}, {x}))) END"
 
 
 def numeric_columns(df: DataFrame, without: tuple[str, ...] = ()) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, NumericType) and f.name not in without]
 
 
-def _report(check: str, values: DataFrame, names: list[str], limit: float) -> DataFrame:
-    entries = [
-        [F.lit(check), F.lit(n), F.col(n), F.coalesce(F.col(n) > limit, F.lit(False))] for n in names
-    ]
-    return values.select(one_row_per(entries, REPORT))
+def _report(check: str, values: DataFrame, limit: float) -> DataFrame:
+    entries = [[text(check), text(n), quoted(n)] for n in values.columns]
+    rows = stacked(values, entries, ["check", "feature", "value"])
+    return rows.withColumn("flagged", F.coalesce(F.col("value") > limit, F.lit(False)))
+
+
+def _correlations(df: DataFrame, names: list[str], target: str) -> DataFrame:
+    return df.agg(*[F.expr(f"abs({safe_corr(c, target)})").alias(c) for c in names])
 
 
 def correlation_audit(
-    df: DataFrame, target: str = TARGET, limit: float = CORRELATION_LIMIT, chunk: int = 25
+    df: DataFrame, target: str = TARGET, limit: float = CORRELATION_LIMIT, chunk: int = 8
 ) -> DataFrame:
     """Absolute correlation of every numeric column with the target.
 
@@ -52,19 +51,15 @@ def correlation_audit(
     chunks = [names[i : i + chunk] for i in range(0, len(names), chunk)]
     return reduce(
         DataFrame.unionByName,
-        [
-            _report("correlation", df.agg(*[F.abs(safe_corr(c, target)).alias(c) for c in some]), some, limit)
-            for some in chunks
-        ],
+        [_report("correlation", _correlations(df, some, target), limit) for some in chunks],
     )
 
 
 def id_audit(df: DataFrame, id_col: str = ID, target: str = TARGET, limit: float = ID_CORRELATION_LIMIT) -> DataFrame:
     """Correlation of a numeric id with the target. A hashed id is text and yields no row."""
-    names = [id_col] if id_col in numeric_columns(df) else []
-    if not names:
+    if id_col not in numeric_columns(df):
         return df.sparkSession.createDataFrame([], "check string, feature string, value double, flagged boolean")
-    return _report("id", df.agg(F.abs(safe_corr(id_col, target)).alias(id_col)), names, limit)
+    return _report("id", _correlations(df, [id_col], target), limit)
 
 
 def null_state_audit(
@@ -75,22 +70,19 @@ def null_state_audit(
     Columns that are always or never NULL yield no row.
     """
     names = [c for c in df.columns if c not in (id_col, target)]
-    positive = F.col(target) == 1
-    counted = df.agg(
-        F.count("*").cast("double").alias("_n"),
-        F.count_if(positive).cast("double").alias("_p"),
-        *[F.count_if(F.col(c).isNull()).cast("double").alias(f"u_{c}") for c in names],
-        *[F.count_if(F.col(c).isNull() & positive).cast("double").alias(f"b_{c}") for c in names],
+    positive = f"{quoted(target)} = 1"
+    counted = df.selectExpr(
+        "CAST(count(*) AS DOUBLE) AS n",
+        f"CAST(count_if({positive}) AS DOUBLE) AS p",
+        *[f"CAST(count(*) - count({quoted(c)}) AS DOUBLE) AS u{i}" for i, c in enumerate(names)],
+        *[
+            f"CAST(count_if({positive}) - count(CASE WHEN {positive} THEN {quoted(c)} END) AS DOUBLE) AS b{i}"
+            for i, c in enumerate(names)
+        ],
     )
-    n, p = F.col("_n"), F.col("_p")
-
-    def phi(c: str) -> Column:
-        u, both = F.col(f"u_{c}"), F.col(f"b_{c}")
-        spread = F.sqrt(u * (n - u) * p * (n - p))
-        return F.abs((n * both - u * p) / F.nullif(spread, F.lit(0.0)))
-
-    report = _report("null_state", counted.select(*[phi(c).alias(c) for c in names]), names, limit)
-    return report.filter(F.col("value").isNotNull())
+    phi = "abs((n * b{0} - u{0} * p) / nullif(sqrt(u{0} * (n - u{0}) * p * (n - p)), 0D)) AS {1}"
+    values = counted.selectExpr(*[phi.format(i, quoted(c)) for i, c in enumerate(names)])
+    return _report("null_state", values, limit).filter(F.col("value").isNotNull())
 
 
 def audit_report(df: DataFrame, id_col: str = ID, target: str = TARGET) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.scalars import one_row_per
+from ledgerlens.functions.scalars import stacked, text
 from ledgerlens.operators.ranked import running_totals, shuffled_rank
 from ledgerlens.schemas import AUC_LIMIT, TARGET
 
@@ -98,10 +98,8 @@ def _cells(df: DataFrame, score: str, label: str, threshold: float) -> list[Colu
 def confusion_matrix(df: DataFrame, score: str, label: str = TARGET, threshold: float = 0.5) -> DataFrame:
     """All four cells, empty ones included, from one scan."""
     cells = df.agg(*_cells(df, score, label, threshold))
-    entries = [
-        [F.lit(a), F.lit(b), F.col(c)] for c, a, b in (("tn", 0, 0), ("fp", 0, 1), ("fn", 1, 0), ("tp", 1, 1))
-    ]
-    return cells.select(one_row_per(entries, ["actual", "predicted", "row_count"]))
+    entries = [["0", "0", "tn"], ["0", "1", "fp"], ["1", "0", "fn"], ["1", "1", "tp"]]
+    return stacked(cells, entries, ["actual", "predicted", "row_count"])
 
 
 def _or_zero(num: Column, den: Column) -> Column:
@@ -125,18 +123,17 @@ def classification_report(df: DataFrame, score: str, label: str = TARGET, thresh
     )
     f1 = lambda p, r: _or_zero(2 * F.col(p) * F.col(r), F.col(p) + F.col(r))
     measured = measured.withColumns({"f0": f1("p0", "r0"), "f1": f1("p1", "r1")})
-    col = F.col
-    plain = lambda m: (col(f"{m}0") + col(f"{m}1")) / 2
-    weighted = lambda m: _or_zero(col(f"{m}0") * col("s0") + col(f"{m}1") * col("s1"), col("total"))
+    plain = lambda m: f"({m}0 + {m}1) / 2"
+    weighted = lambda m: f"coalesce(({m}0 * s0 + {m}1 * s1) / nullif(total, 0D), 0D)"
     entries = [
-        [F.lit("0"), col("p0"), col("r0"), col("f0"), col("s0")],
-        [F.lit("1"), col("p1"), col("r1"), col("f1"), col("s1")],
-        [F.lit("accuracy"), col("acc"), col("acc"), col("acc"), col("total")],
-        [F.lit("macro avg"), plain("p"), plain("r"), plain("f"), col("total")],
-        [F.lit("weighted avg"), weighted("p"), weighted("r"), weighted("f"), col("total")],
+        [text("0"), "p0", "r0", "f0", "s0"],
+        [text("1"), "p1", "r1", "f1", "s1"],
+        [text("accuracy"), "acc", "acc", "acc", "total"],
+        [text("macro avg"), *[plain(m) for m in "prf"], "total"],
+        [text("weighted avg"), *[weighted(m) for m in "prf"], "total"],
     ]
-    rows = measured.select(one_row_per(entries, ["label", "precision", "recall", "f1_score", "support"]))
-    return rows.withColumn("support", col("support").cast("long"))
+    rows = stacked(measured, entries, ["label", "precision", "recall", "f1_score", "support"])
+    return rows.withColumn("support", F.col("support").cast("long"))
 
 
 def cv_summary(scored: DataFrame, score: str, label: str = TARGET, fold: str = "fold") -> DataFrame:
@@ -168,8 +165,7 @@ def headline_metrics(df: DataFrame, score: str, by: str, label: str = TARGET, th
         _or_zero(tp, tp + fp).alias("precision"),
         _or_zero(tp, tp + fn).alias("recall"),
     )
-    names = ["auc", "accuracy", "precision", "recall"]
-    return wide.select(by, one_row_per([[F.lit(n), F.col(n)] for n in names], ["metric", "value"]))
+    return wide.unpivot(by, ["auc", "accuracy", "precision", "recall"], "metric", "value")
 
 
 def metric_drift(df: DataFrame, score: str, serving: str, label: str = TARGET) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.scalars import one_row_per
+from ledgerlens.functions.scalars import quoted, stacked, text
 from ledgerlens.operators.evaluate import roc_auc
 from ledgerlens.operators.ranked import shuffled_rank
 from ledgerlens.schemas import TARGET
@@ -40,7 +40,7 @@ def global_attribution(df: DataFrame, weights: Mapping[str, float]) -> DataFrame
     """Mean absolute contribution of each feature over all rows."""
     parts = contributions(weights, feature_means(df, list(weights)))
     means = df.agg(*[F.avg(F.abs(part)).alias(c) for c, part in parts.items()])
-    return means.select(one_row_per([[F.lit(c), F.col(c)] for c in parts], ["feature", "mean_abs_contribution"]))
+    return stacked(means, [[text(c), quoted(c)] for c in parts], ["feature", "mean_abs_contribution"])
 
 
 def local_attribution(df: DataFrame, id_col: str, weights: Mapping[str, float], k: int = 3) -> DataFrame:

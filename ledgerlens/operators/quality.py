@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.scalars import one_row_per
+from ledgerlens.functions.scalars import quoted, stacked, text
 from ledgerlens.schemas import MANDATORY, NULL_PCT_LIMIT
 
 
@@ -31,17 +31,17 @@ def contract_report(tables: Mapping[str, DataFrame], contract: Mapping[str, Sequ
     def one(table: str) -> DataFrame:
         df = tables[table]
         absent = set(missing_columns(df, contract[table]))
-        counts = [
-            F.count("*").alias("_rows"),
-            *[F.count_if(F.col(c).isNull()).alias(c) for c in contract[table] if c not in absent],
-        ]
+        counts = [F.expr(f"count({quoted(c)})").alias(f"known_{c}") for c in contract[table] if c not in absent]
         entries = [
-            [F.lit(table), F.lit(c), F.lit(c not in absent), F.col("_rows"),
-             F.lit(None).cast("long") if c in absent else F.col(c)]
+            [text(table), text(c), "false", "row_count", "CAST(NULL AS BIGINT)"]
+            if c in absent
+            else [text(table), text(c), "true", "row_count", f"row_count - {quoted(f'known_{c}')}"]
             for c in contract[table]
         ]
-        return df.agg(*counts).select(
-            one_row_per(entries, ["table_name", "column_name", "present", "row_count", "null_count"])
+        return stacked(
+            df.agg(F.count("*").alias("row_count"), *counts),
+            entries,
+            ["table_name", "column_name", "present", "row_count", "null_count"],
         )
 
     return reduce(DataFrame.unionByName, [one(t) for t in contract])
@@ -49,10 +49,11 @@ def contract_report(tables: Mapping[str, DataFrame], contract: Mapping[str, Sequ
 
 def null_profile(df: DataFrame) -> DataFrame:
     """Null share of every column, from one scan."""
-    counts = df.agg(F.count("*").alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
-    pct = lambda c: F.round(F.col(c) * F.lit(100.0) / F.nullif(F.col("_rows"), F.lit(0)), 2)
-    entries = [[F.lit(c.lower()), F.col("_rows"), F.col(c), pct(c)] for c in df.columns]
-    return counts.select(one_row_per(entries, ["column_name", "row_count", "null_count", "null_pct"]))
+    known = {c: f"known_{i}" for i, c in enumerate(df.columns)}
+    counts = df.agg(F.count("*").alias("row_count"), *[F.expr(f"count({quoted(c)})").alias(k) for c, k in known.items()])
+    entries = [[text(c.lower()), "row_count", f"row_count - {k}"] for c, k in known.items()]
+    pct = F.col("null_count") * F.lit(100.0) / F.nullif(F.col("row_count"), F.lit(0))
+    return stacked(counts, entries, ["column_name", "row_count", "null_count"]).withColumn("null_pct", F.round(pct, 2))
 
 
 def column_decisions(df: DataFrame, mandatory: Iterable[str], limit: float = NULL_PCT_LIMIT) -> DataFrame:
@@ -72,9 +73,7 @@ def columns_to_keep(df: DataFrame, mandatory: Iterable[str], limit: float = NULL
 def failed_rows(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """One row per rule with the number of rows that break it. A rule is a predicate that marks a broken row."""
     counts = df.agg(*[F.count_if(broken).alias(f"r{i}") for i, broken in enumerate(rules.values())])
-    return counts.select(
-        one_row_per([[F.lit(name), F.col(f"r{i}")] for i, name in enumerate(rules)], ["rule", "failed_rows"])
-    )
+    return stacked(counts, [[text(name), f"r{i}"] for i, name in enumerate(rules)], ["rule", "failed_rows"])
 
 
 def accepted_values(allowed: Mapping[str, Sequence]) -> dict[str, Column]:
