@@ -170,8 +170,10 @@ def headline_metrics(df: DataFrame, score: str, by: str, label: str = TARGET, th
 
 def metric_drift(df: DataFrame, score: str, serving: str, label: str = TARGET) -> DataFrame:
     """Training against serving: ``serving`` is a 0/1 column that tells the two apart."""
-    metrics = headline_metrics(df, score, serving, label)
-    side = lambda flag, name: metrics.filter(F.col(serving) == flag).select("metric", F.col("value").alias(name))
-    return side(0, "training_value").join(side(1, "serving_value"), "metric").withColumn(
-        "delta", F.col("serving_value") - F.col("training_value")
+    side = lambda flag: F.max(F.when(F.col(serving) == flag, F.col("value")))
+    return (
+        headline_metrics(df, score, serving, label)
+        .groupBy("metric")
+        .agg(side(0).alias("training_value"), side(1).alias("serving_value"))
+        .withColumn("delta", F.col("serving_value") - F.col("training_value"))
     )

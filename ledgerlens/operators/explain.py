@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.scalars import quoted, stacked, text
 from ledgerlens.operators.evaluate import roc_auc
 from ledgerlens.operators.ranked import shuffled_rank
 from ledgerlens.schemas import TARGET
+from ledgerlens.session import staged
 
 
 def linear_score(weights: Mapping[str, float], means: Mapping[str, float] | None = None) -> Column:
@@ -79,19 +81,17 @@ def permutation_importance(
 ) -> DataFrame:
     """Loss of AUC when one feature is exchanged between rows.
 
-    ``score`` adds a column ``score``. Each feature is one distributed pass over the exchanged rows; hand in a frame
-    of stored rows.
+    ``score`` adds a column ``score``. The exchanged rows are stored once; every feature then scores them with that
+    one feature replaced, and all AUCs come from one ordered pass over the narrow (feature, score, label) rows.
     """
-    exchanged = with_donors(df, id_col, features)
-    auc = lambda frame: roc_auc(score(frame), "score", label)
-    reference = auc(df).select(F.col("auc").alias("reference_auc"))
-    frames = []
-    for name in features:
-        permuted = auc(exchanged.withColumn(name, F.col(f"donor.{name}")))
-        frames.append(permuted.select(F.lit(name).alias("feature"), F.col("auc").alias("permuted_auc")))
-    rows = frames[0]
-    for frame in frames[1:]:
-        rows = rows.unionByName(frame)
-    return rows.withColumn("reference_auc", reference.scalar()).withColumn(
-        "importance", F.col("reference_auc") - F.col("permuted_auc")
+    exchanged = staged(with_donors(df, id_col, features), "exchanged")
+    variants = {"": exchanged} | {name: exchanged.withColumn(name, F.col(f"donor.{name}")) for name in features}
+    scored = [score(rows).select(F.lit(name).alias("feature"), "score", label) for name, rows in variants.items()]
+    auc = roc_auc(reduce(DataFrame.unionByName, scored), "score", label, ["feature"])
+    # One row per feature from here on.
+    unchanged = F.max(F.when(F.col("feature") == "", F.col("auc"))).over(Window.partitionBy(F.lit(1)))
+    return (
+        auc.select("feature", F.col("auc").alias("permuted_auc"), unchanged.alias("reference_auc"))
+        .filter(F.col("feature") != "")
+        .withColumn("importance", F.col("reference_auc") - F.col("permuted_auc"))
     )

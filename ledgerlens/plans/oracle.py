@@ -577,6 +577,8 @@ WITH RECURSIVE numbered_events AS (
 )
 SELECT event_id, user_id, accepted FROM walk"""
 
+ORACLES["throttle_stream"] = ORACLES["throttle_sliding_log"]
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: with_steps(text) for name, text in ORACLES.items()}

@@ -17,6 +17,7 @@ from ledgerlens.schemas import MANIFEST, SPECS, TARGET
 from ledgerlens.sources import synthetic
 from ledgerlens.sources.fixture_views import APPLICATION_HELPERS, CreditTables
 from ledgerlens.sources.tables import row_counts
+from ledgerlens.streaming import throttle as stream_throttle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -496,6 +497,18 @@ def throttle_sliding_log(t):
     return flagged.select("event_id", "user_id", "accepted")
 
 
+@query
+def throttle_stream(t):
+    """The same decisions taken by a stream over the events file."""
+    events = stream_throttle.read_events(t.spark, t.sf_dir, t.source("events").schema, "events.parquet")
+    flagged = stream_throttle.throttle_stream(
+        events, "user_id", "ts", "event_id", THROTTLE_LIMIT, THROTTLE_WINDOW_S
+    )
+    out = session.scratch_path(t.spark, "flagged")
+    stream_throttle.write_available(flagged, out, session.scratch_path(t.spark, "stream"))
+    return t.spark.read.schema(flagged.schema).parquet(out).select("event_id", "user_id", "accepted")
+
+
 def customers(t: CreditTables) -> DataFrame:
     return t.source("customer").select(F.col("c_custkey").alias(ID))
 

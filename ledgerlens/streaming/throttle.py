@@ -6,14 +6,18 @@ from collections import deque
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.types import StructType
 
 from ledgerlens.operators.throttle import MICROS, accept
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 class SlidingLog(StatefulProcessor):
     """Accept events of one key while fewer than ``limit`` accepted ones are younger than the window."""
 
@@ -56,7 +60,10 @@ def throttle_stream(
     return flagged.withColumnsRenamed({"key": key, "tie": tie})
 
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+def read_events(spark: SparkSession, folder: str, schema: StructType, pattern: str, batch_bytes: int = 256 << 20) -> DataFrame:
+    """Parquet files of a folder as a stream whose micro-batches are bounded in size."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    return reader.option("maxBytesPerTrigger", str(batch_bytes)).parquet(folder)
 
 
 def write_available(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
