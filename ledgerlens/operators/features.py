@@ -130,16 +130,19 @@ def history_known_by(
     """
     a, h = applications.alias("a"), history.alias("h")
     known = (F.col(f"a.{ID}") == F.col(f"h.{ID}")) & (F.col(f"h.{event_date}") <= F.col(f"a.{app_date}"))
-    return (
-        a.join(h, known, "left")
-        .groupBy(F.col(f"a.{ID}").alias(ID), F.col(f"a.{app_date}").alias(app_date))
+    # An inner join lets a busy applicant's history be split; applications without history come back afterwards.
+    totals = (
+        a.join(h, known)
+        .groupBy(F.col(f"a.{ID}").alias(ID))
         .agg(
-            F.count(f"h.{ID}").alias("known_count"),
+            F.count("*").alias("known_count"),
             S.exact_sum(f"h.{amount}").alias("known_amount"),
             F.max(f"h.{event_date}").alias("last_known"),
         )
-        .select(
-            ID, "known_count", "known_amount",
-            F.datediff(F.col(app_date), F.col("last_known")).alias("days_since_last_known"),
-        )
+    )
+    return applications.join(totals, ID, "left").select(
+        ID,
+        F.coalesce("known_count", F.lit(0)).alias("known_count"),
+        "known_amount",
+        F.datediff(app_date, "last_known").alias("days_since_last_known"),
     )

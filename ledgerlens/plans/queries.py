@@ -276,7 +276,7 @@ def credit_features(t):
 
 @query
 def pit_join_absolute(t):
-    apps = t["application_train"].select(ID, *APPLICATION_HELPERS)
+    apps = t.applications()
     orders = t.source("orders").select(
         F.col("o_custkey").alias(ID), "o_orderdate", "o_totalprice", F.col("o_orderkey").alias("order_id")
     )

@@ -11,6 +11,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.session import staged
+
 APPLICATION_CUTOFF = "TIMESTAMP '1999-01-01 00:00:00'"
 
 APPLICATION = {
@@ -153,6 +155,7 @@ class CreditTables:
         self.sf_dir = sf_dir
         self._sources: dict[str, DataFrame] = {}
         self._views: dict[str, DataFrame] = {}
+        self._applications: DataFrame | None = None
 
     def source(self, name: str) -> DataFrame:
         if name not in self._sources:
@@ -178,11 +181,20 @@ class CreditTables:
             .join(self.source("nation").alias("n"), F.expr("n.n_nationkey = c.c_nationkey"))
         )
 
-    def _applications(self) -> DataFrame:
-        return self["application_train"].select("sk_id_curr", *APPLICATION_HELPERS).alias("a")
+    def applications(self) -> DataFrame:
+        """Id, order and date of every application, stored once: three histories and their joins start from it.
+
+        Joined from storage, both sides of those joins are plain shuffles, which the adaptive planner can split where
+        one customer has very many orders.
+        """
+        if self._applications is None:
+            keys = self["application_train"].select("sk_id_curr", *APPLICATION_HELPERS)
+            self._applications = staged(keys, "applications")
+        return self._applications
 
     def _orders_of_applicants(self) -> DataFrame:
-        return self.source("orders").alias("o").join(self._applications(), F.expr("a.sk_id_curr = o.o_custkey"))
+        applicants = self.applications().alias("a")
+        return self.source("orders").alias("o").join(applicants, F.expr("a.sk_id_curr = o.o_custkey"))
 
     def _bureau(self) -> DataFrame:
         return self._orders_of_applicants().filter("o.o_orderkey <> a.app_orderkey")
