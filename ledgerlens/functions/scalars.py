@@ -28,6 +28,8 @@ def hashed_id(c: str | Column, salt: str | None = None) -> Column:
 
 def ratio(num: str | Column, den: str | Column) -> Column:
     """Quotient in double precision, NULL for a zero denominator."""
+    if isinstance(num, str) and isinstance(den, str):
+        return F.expr(f"CAST({quoted(num)} AS DOUBLE) / nullif(CAST({quoted(den)} AS DOUBLE), 0D)")
     return as_column(num).cast("double") / F.nullif(as_column(den).cast("double"), F.lit(0.0))
 
 
@@ -78,6 +80,11 @@ def status_of_rank(c: str | Column) -> Column:
     return F.substr(F.lit(STATUS_WORST_LAST), as_column(c), F.lit(1))
 
 
+def present(df: DataFrame, wanted: Iterable[str]) -> list[str]:
+    """The wanted columns that the frame has."""
+    return [c for c in wanted if c in df.columns]
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

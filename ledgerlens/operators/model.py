@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import asdict, dataclass
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
@@ -12,6 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.functions.scalars import present
 from ledgerlens.operators.evaluate import SEED, class_weight, stratified_folds, stratified_holdout
 from ledgerlens.schemas import CATEGORICAL_FEATURES, MISSING_LABEL, NUMERIC_FEATURES, TARGET
 from ledgerlens.session import checkpoint_dir, staged
@@ -41,13 +42,9 @@ def encode_categoricals(
     ), encoder
 
 
-def available(df: DataFrame, wanted: Sequence[str]) -> list[str]:
-    return [c for c in wanted if c in df.columns]
-
-
 def feature_matrix(df: DataFrame) -> tuple[DataFrame, list[str], StringIndexerModel]:
     """The configured inputs that exist, categoricals encoded, with the target; and the input names."""
-    numeric, categorical = available(df, NUMERIC_FEATURES), available(df, CATEGORICAL_FEATURES)
+    numeric, categorical = present(df, NUMERIC_FEATURES), present(df, CATEGORICAL_FEATURES)
     encoded, encoder = encode_categoricals(df.select(*numeric, *categorical, TARGET), categorical)
     names = numeric + categorical
     return encoded.select(*names, TARGET), names, encoder
@@ -55,7 +52,11 @@ def feature_matrix(df: DataFrame) -> tuple[DataFrame, list[str], StringIndexerMo
 
 @dataclass(frozen=True)
 class TreeSettings:
-    """Boosting settings. Trees have no missing-value branch here, so inputs are imputed and flagged first."""
+    """Boosting settings.
+
+    Trees have no missing-value branch here, so inputs are imputed and flagged first. Trees grow level by level to
+    the depth given, columns are drawn per node, and a run stops early when a held-out tenth no longer improves.
+    """
 
     rounds: int = 1000
     step: float = 0.02
@@ -108,8 +109,8 @@ def fit_trees(
 ) -> PipelineModel:
     """Fit on the given rows. Early stopping watches a tenth carved out of them, never the rows scored later."""
     checkpoint_dir(train.sparkSession)
-    numeric = _usable(train, available(train, NUMERIC_FEATURES))
-    categorical = available(train, CATEGORICAL_FEATURES)
+    numeric = _usable(train, present(train, NUMERIC_FEATURES))
+    categorical = present(train, CATEGORICAL_FEATURES)
     prepared = prepare_inputs(train, numeric, categorical)
     weight = class_weight(train).first()["positive_weight"]
     prepared = prepared.withColumn("weight", F.when(F.col(TARGET) == 1, F.lit(weight)).otherwise(F.lit(1.0)))
@@ -171,7 +172,3 @@ def log_run(
     spark.createDataFrame(rows, "run_id string, kind string, name string, value string").coalesce(1).write.mode(
         "append"
     ).parquet(path)
-
-
-def settings_as_params(settings: TreeSettings) -> dict[str, object]:
-    return asdict(settings)

@@ -114,13 +114,9 @@ def options(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).dropna().distinct().orderBy(column)
 
 
-def present(df: DataFrame, wanted: Sequence[str]) -> list[str]:
-    return [c for c in wanted if c in df.columns]
-
-
 def sample_of(df: DataFrame, limit: int = 50_000, wanted: Sequence[str] = EXPLORER_COLUMNS) -> DataFrame:
     """The explorer's columns of the first applications by id."""
-    return df.select(*present(df, wanted)).orderBy(ID).limit(limit)
+    return df.select(*S.present(df, wanted)).orderBy(ID).limit(limit)
 
 
 def page(df: DataFrame, limit: int = 1000) -> DataFrame:

@@ -578,6 +578,12 @@ WITH RECURSIVE numbered_events AS (
 SELECT event_id, user_id, accepted FROM walk"""
 
 ORACLES["throttle_stream"] = ORACLES["throttle_sliding_log"]
+ORACLES["synthetic_row_counts"] = " UNION ALL ".join(
+    f"SELECT '{table}' AS table_name, COUNT(*) * {per_customer} AS row_count FROM customer"
+    for table, per_customer in (
+        ("application_train", 1), ("bureau", 3), ("previous_application", 2), ("installments_payments", 10)
+    )
+)
 
 
 def oracle_sql() -> dict[str, str]:

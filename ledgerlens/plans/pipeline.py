@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -92,6 +92,6 @@ def run(
         "cv_mean_auc": cv["mean_auc"], "cv_std_auc": cv["std_auc"], "cv_mean_ap": cv["mean_average_precision"],
         "holdout_auc": gate["auc"], "holdout_ap": precision,
     }
-    params = model.settings_as_params(trees) | {"cv_strategy": f"stratified-{folds}", "pit": pit}
+    params = asdict(trees) | {"cv_strategy": f"stratified-{folds}", "pit": pit}
     model.log_run(spark, f"{out_dir}/runs", run_id, params, metrics)
     return Outcome(stored, leak_found, gate["auc"], gate["passed"])

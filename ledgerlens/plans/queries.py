@@ -58,11 +58,11 @@ FINER_PLACES = {"avg_payment_ratio": 9}
 
 def rounded(df: DataFrame) -> DataFrame:
     """Round doubles once, at the very end, so engines that add up in another order agree."""
-    return df.select(
+    exact = lambda f: S.quoted(f.name)
+    places = lambda f: FINER_PLACES.get(f.name, PLACES)
+    return df.selectExpr(
         *[
-            F.round(F.col(f.name), FINER_PLACES.get(f.name, PLACES)).alias(f.name)
-            if f.dataType == DoubleType()
-            else F.col(f.name)
+            f"round({exact(f)}, {places(f)}) AS {exact(f)}" if f.dataType == DoubleType() else exact(f)
             for f in df.schema
         ]
     )
@@ -519,6 +519,12 @@ def synthetic_applications(t):
     return synthetic.applications(customers(t))
 
 
+@query
+def synthetic_explorer_sample(t):
+    """One ready-made explorer row per customer."""
+    return synthetic.explorer_sample(customers(t))
+
+
 @query
 def synthetic_row_counts(t):
     """Rows drawn per customer in each table that has any."""
