@@ -33,9 +33,12 @@ def ratio(num: str | Column, den: str | Column) -> Column:
     return as_column(num).cast("double") / F.nullif(as_column(den).cast("double"), F.lit(0.0))
 
 
-def exact_sum(c: str | Column) -> Column:
-    """Sum of an amount that does not depend on the order in which partitions are merged."""
-    return F.sum(as_column(c).cast("decimal(18,4)")).cast("double")
+def exact_sum(c: str) -> Column:
+    """Sum of an amount that does not depend on the order in which partitions are merged.
+
+    Amounts are added up as whole ten-thousandths; a total beyond 64 bits raises.
+    """
+    return F.expr(f"sum(CAST(rint({c} * 10000D) AS BIGINT)) / 10000D")
 
 
 def age_years(days_birth: str | Column = "days_birth") -> Column:

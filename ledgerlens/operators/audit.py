@@ -13,16 +13,17 @@ from ledgerlens.operators.ingest import ID
 from ledgerlens.schemas import CORRELATION_LIMIT, ID_CORRELATION_LIMIT, TARGET
 
 
-# A spread this small next to the mean is rounding noise, as in a ratio that is 0.9 but for its last bit.
+# A range this small next to the values is rounding noise, as in a ratio that is 0.9 but for its last bit.
 NOISE = 1e-12
 
 
-def safe_corr(x: str, y: str) -> str:
-    """Pearson correlation over rows where both are known; NULL, not an error, when either is constant there."""
+def abs_corr(x: str, y: str) -> str:
+    """Absolute Pearson correlation over rows where both are known; NULL, not an error, when either is constant there."""
     x, y = f"CAST({quoted(x)} AS DOUBLE)", f"CAST({quoted(y)} AS DOUBLE)"
-    sxx = f"regr_sxx({y}, {x})"
-    noise = f"{NOISE}D * {NOISE}D * regr_count({y}, {x}) * power(regr_avgx({y}, {x}), 2)"
-    return f"CASE WHEN {sxx} > {noise} THEN try_divide(regr_sxy({y}, {x}), sqrt({sxx} * regr_syy({y}, {x}))) END"
+    paired_x, paired_y = f"CASE WHEN {y} IS NOT NULL THEN {x} END", f"CASE WHEN {x} IS NOT NULL THEN {y} END"
+    low, high = f"min({paired_x})", f"max({paired_x})"
+    varies = f"{high} - {low} > {NOISE}D * greatest(abs({high}), abs({low})) AND max({paired_y}) > min({paired_y})"
+    return f"CASE WHEN {varies} THEN sqrt(regr_r2({y}, {x})) END"
 
 
 def numeric_columns(df: DataFrame, without: tuple[str, ...] = ()) -> list[str]:
@@ -36,7 +37,7 @@ def _report(check: str, values: DataFrame, limit: float) -> DataFrame:
 
 
 def _correlations(df: DataFrame, names: list[str], target: str) -> DataFrame:
-    return df.agg(*[F.expr(f"abs({safe_corr(c, target)})").alias(c) for c in names])
+    return df.agg(*[F.expr(abs_corr(c, target)).alias(c) for c in names])
 
 
 def correlation_audit(

@@ -382,7 +382,8 @@ def corr(column: str, source: str, check: str) -> str:
     value = f"corr({x}, CAST(target AS DOUBLE))"
     return (
         f"SELECT '{check}' AS \"check\", '{column}' AS feature, abs(CASE WHEN isnan({value}) THEN NULL "
-        f"WHEN STDDEV_SAMP({x}) > CAST(1e-12 AS DOUBLE) * abs(AVG({x})) THEN {value} END) AS value FROM {source}"
+        f"WHEN MAX({x}) - MIN({x}) > CAST(1e-12 AS DOUBLE) * GREATEST(abs(MAX({x})), abs(MIN({x}))) THEN {value} END) "
+        f"AS value FROM {source}"
     )
 
 
