@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from ledgerlens.operators.ranked import PART, ordered_parts, running_totals
 
 MICROS = 1_000_000
+# The driver keeps a few numbers per part, so very large inputs get larger parts instead of more of them.
+MAX_PARTS = 100_000
 
 
 def trailing_counts(df: DataFrame, key: str, ts: str, window_s: int) -> DataFrame:
@@ -93,7 +95,7 @@ def throttle_events(
             F.col(key).alias("key"), F.unix_micros(F.col(ts).cast("timestamp")).alias("t"), F.col(tie).alias("tie")
         ),
         [F.col("key"), F.col("t"), F.col("tie")],
-        max(1, math.ceil(df.count() / rows_per_part)),
+        min(MAX_PARTS, max(1, math.ceil(df.count() / rows_per_part))),
     )
     key_type = events.schema["key"].dataType.simpleString()
     tie_type = events.schema["tie"].dataType.simpleString()
