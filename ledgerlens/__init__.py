@@ -1 +1,8 @@
-"""ledgerlens: credit-risk features, audits and model evaluation as Spark jobs."""
+"""Credit-risk analytics and training-data preparation on Spark."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run inside tasks travel with their code, so workers need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
