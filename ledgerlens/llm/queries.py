@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import mixing, oracles
+from ledgerlens.llm import mixing, oracles, quality_rank
 from ledgerlens.llm.common import bounded_batches, read
+from ledgerlens.session import staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = oracles.ORACLES
@@ -27,3 +28,25 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 def op4_mix_sources(spark, sf_dir):
     found = mixing.copies(read(spark, sf_dir, "documents"))
     return found.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("n_copies")).alias("taken"))
+
+
+def folded(doc_id, folds):
+    """The fold of a document by the CRC of its id; a missing id is in fold 0."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds, F.lit(0))
+
+
+def quality_ranking(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, quality_rank.Ranking]:
+    """Stored features of every document, and what is learned from the documents outside fold 0."""
+    measured = staged(
+        docs.select("doc_id", (folded("doc_id", 5) == 0).alias("held_out"), quality_rank.features("text").alias("x")),
+        "features",
+    )
+    known = labels.select("doc_id", F.col("quality").alias("label"))
+    return measured, quality_rank.fit(measured.filter(~F.col("held_out")), known)
+
+
+@query
+def op2_quality_rank(spark, sf_dir):
+    measured, ranking = quality_ranking(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    scored = measured.select("doc_id", "held_out", quality_rank.score(F.col("x"), ranking).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= ranking.cut).cast("int"))
