@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import mixing, oracles, quality_rank
+from ledgerlens.llm import decontaminate, mixing, oracles, quality_rank
 from ledgerlens.llm.common import bounded_batches, read
 from ledgerlens.session import staged
 
@@ -50,3 +50,15 @@ def op2_quality_rank(spark, sf_dir):
     measured, ranking = quality_ranking(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     scored = measured.select("doc_id", "held_out", quality_rank.score(F.col("x"), ranking).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= ranking.cut).cast("int"))
+
+
+@query
+def op3_decontaminate(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.matched(docs, read(spark, sf_dir, "benchmark"), name="found")
+    items = F.array_sort(F.transform("found.items", lambda i: i.cast("string")))
+    return found.select(
+        "doc_id", "found.n_words", "found.n_hit", F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),
+        decontaminate.is_contaminated(F.col("found")).alias("contaminated"),
+    )
