@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import decontaminate, mixing, oracles, quality_rank
+from ledgerlens.llm import decontaminate, mixing, oracles, quality_rank, secrets
 from ledgerlens.llm.common import bounded_batches, read
 from ledgerlens.session import staged
 
@@ -62,3 +62,18 @@ def op3_decontaminate(spark, sf_dir):
         F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),
         decontaminate.is_contaminated(F.col("found")).alias("contaminated"),
     )
+
+
+def kind_count(kind):
+    return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+@query
+def op9_scan_secrets(spark, sf_dir):
+    scan = secrets.scanner(spark)
+    found = read(spark, sf_dir, "documents").select("doc_id", scan("text").alias("spans"))
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    return found.select(
+        "doc_id", *[kind_count(kind) for kind in secrets.KINDS],
+        F.sha2(secrets.digest(base).cast("binary"), 256).alias("base_sha256"), secrets.digest(F.col("spans")).alias("spans"),
+    )
