@@ -68,7 +68,44 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN items ON d.doc_id = items.doc_id
 """
 
+def _windows(n: int) -> str:
+    """The words of windows of n words that occur twice or more in their text."""
+    return f"""
+starts{n} AS (
+  SELECT doc_id, unnest(range(1, len(w) - {n} + 2)) AS pos, w FROM d
+), windows{n} AS (
+  SELECT doc_id, pos, count(*) OVER (PARTITION BY doc_id, md5(array_to_string(w[pos:pos + {n} - 1], ' '))) AS times FROM starts{n}
+), repeated{n} AS (
+  SELECT doc_id, count(DISTINCT word) AS n
+  FROM (SELECT doc_id, unnest(range(pos, pos + {n})) AS word FROM windows{n} WHERE times > 1) GROUP BY doc_id
+)"""
+
+
+REPETITION = r"""
+WITH d AS (
+  SELECT doc_id, text, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents
+), dup AS (
+  SELECT doc_id, CAST(count(*) - count(DISTINCT line) AS BIGINT) AS n FROM l
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
+),""" + ",".join(_windows(n) for n in (5, 10, 101)) + r""",
+m AS (
+  SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(length(array_to_string(w, '')), 0) AS BIGINT) AS word_chars,
+         CAST(coalesce(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')), 0) AS BIGINT) AS n_symbols,
+         coalesce(dup.n, 0) AS n_dup_lines, coalesce(r5.n, 0) AS n_repeat_words, coalesce(r10.n, 0) AS n_covered,
+         r101.n IS NOT NULL AS too_long
+  FROM d LEFT JOIN dup ON d.doc_id = dup.doc_id LEFT JOIN repeated5 r5 ON d.doc_id = r5.doc_id
+  LEFT JOIN repeated10 r10 ON d.doc_id = r10.doc_id LEFT JOIN repeated101 r101 ON d.doc_id = r101.doc_id
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_covered,
+       n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND 100 * n_covered <= 15 * n_words AND NOT too_long AS kept
+FROM m
+"""
+
 ORACLES = {
+    "op6_repetition_rules": REPETITION,
     "op3_decontaminate": DECONTAMINATE,
     "op4_mix_sources": MIX_SOURCES,
 }

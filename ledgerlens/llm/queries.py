@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import decontaminate, mixing, oracles, quality_rank, secrets
+from ledgerlens.llm import decontaminate, mixing, oracles, quality_rank, repetition, secrets
 from ledgerlens.llm.common import bounded_batches, read
 from ledgerlens.session import staged
 
@@ -77,3 +77,13 @@ def op9_scan_secrets(spark, sf_dir):
         "doc_id", *[kind_count(kind) for kind in secrets.KINDS],
         F.sha2(secrets.digest(base).cast("binary"), 256).alias("base_sha256"), secrets.digest(F.col("spans")).alias("spans"),
     )
+
+
+@query
+def op6_repetition_rules(spark, sf_dir):
+    m = F.col("m")
+    found = read(spark, sf_dir, "documents").select("doc_id", repetition.measurer()("text").alias("m"))
+    return found.select(
+        "doc_id", "m.n_words", "m.word_chars", "m.n_symbols", "m.n_dup_lines", "m.n_repeat_words", "m.n_covered",
+        repetition.base_failed(m).alias("base_failed"), repetition.kept(m).alias("kept"),
+    )
