@@ -71,13 +71,14 @@ FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN items ON d.doc_id = item
 def _windows(n: int) -> str:
     """The words of windows of n words that occur twice or more in their text."""
     return f"""
-starts{n} AS (
-  SELECT doc_id, unnest(range(1, len(w) - {n} + 2)) AS pos, w FROM d
-), windows{n} AS (
-  SELECT doc_id, pos, count(*) OVER (PARTITION BY doc_id, md5(array_to_string(w[pos:pos + {n} - 1], ' '))) AS times FROM starts{n}
+windows{n} AS (
+  SELECT doc_id, pos, n, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND {n - 1} FOLLOWING) AS words
+  FROM words
+), counted{n} AS (
+  SELECT doc_id, pos, count(*) OVER (PARTITION BY doc_id, md5(words)) AS times FROM windows{n} WHERE pos + {n} - 1 <= n
 ), repeated{n} AS (
   SELECT doc_id, count(DISTINCT word) AS n
-  FROM (SELECT doc_id, unnest(range(pos, pos + {n})) AS word FROM windows{n} WHERE times > 1) GROUP BY doc_id
+  FROM (SELECT doc_id, unnest(range(pos, pos + {n})) AS word FROM counted{n} WHERE times > 1) GROUP BY doc_id
 )"""
 
 
@@ -86,6 +87,8 @@ WITH d AS (
   SELECT doc_id, text, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
 ), l AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents
+), words AS (
+  SELECT doc_id, len(w) AS n, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM d
 ), dup AS (
   SELECT doc_id, CAST(count(*) - count(DISTINCT line) AS BIGINT) AS n FROM l
   WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
