@@ -107,7 +107,41 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_co
 FROM m
 """
 
+NEAR_DEDUP = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents
+), words AS (
+  SELECT doc_id, len(w) AS n, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM d
+), shingled AS (
+  SELECT doc_id, n, pos, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING) AS shingle
+  FROM words
+), shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, md5(shingle) AS shingle FROM shingled WHERE pos <= greatest(n - 2, 1)
+), sizes AS MATERIALIZED (
+  SELECT doc_id, count(*) AS size FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  GROUP BY 1, 2
+), links AS MATERIALIZED (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * n >= 85 * (x.size + y.size - n)
+), sides AS MATERIALIZED (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT a AS doc_id, b AS other FROM sides
+  UNION
+  SELECT r.doc_id, sides.b FROM reach r JOIN sides ON sides.a = r.other
+), least_reached AS (
+  SELECT doc_id, min(other) AS least_id FROM reach GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(size, 0) AS n_shingles, least(d.doc_id, coalesce(least_id, d.doc_id)) AS component_id,
+       d.doc_id <= coalesce(least_id, d.doc_id) AS kept
+FROM d LEFT JOIN sizes ON sizes.doc_id = d.doc_id LEFT JOIN least_reached l ON l.doc_id = d.doc_id
+"""
+
 ORACLES = {
+    "op5_near_dedup": NEAR_DEDUP,
     "op6_repetition_rules": REPETITION,
     "op3_decontaminate": DECONTAMINATE,
     "op4_mix_sources": MIX_SOURCES,

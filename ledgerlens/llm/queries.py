@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import decontaminate, mixing, oracles, quality_rank, repetition, secrets
+from ledgerlens.llm import decontaminate, mixing, near_dedup, oracles, quality_rank, repetition, secrets
 from ledgerlens.llm.common import bounded_batches, read
 from ledgerlens.session import staged
 
@@ -87,3 +87,14 @@ def op6_repetition_rules(spark, sf_dir):
         "doc_id", "m.n_words", "m.word_chars", "m.n_symbols", "m.n_dup_lines", "m.n_repeat_words", "m.n_covered",
         repetition.base_failed(m).alias("base_failed"), repetition.kept(m).alias("kept"),
     )
+
+
+NEAR = near_dedup.Settings(shingle=3, percent=85)
+
+
+@query
+def op5_near_dedup(spark, sf_dir):
+    found = near_dedup.grouped(read(spark, sf_dir, "documents"), NEAR)
+    return found.select(
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    )
