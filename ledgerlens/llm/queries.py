@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import decontaminate, mixing, near_dedup, oracles, quality_rank, repetition, secrets
+from ledgerlens.llm import decontaminate, mixing, near_dedup, oracles, personal, quality_rank, repetition, secrets
 from ledgerlens.llm.common import bounded_batches, read
 from ledgerlens.session import staged
 
@@ -98,3 +98,13 @@ def op5_near_dedup(spark, sf_dir):
     return found.select(
         "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
     )
+
+
+@query
+def op10_personal_data(spark, sf_dir):
+    found = personal.scanned(read(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] != "context")
+    return found.select(
+        "doc_id", *[kind_count(kind) for kind in personal.KINDS],
+        F.sha2(personal.digest(base).cast("binary"), 256).alias("base_sha256"), personal.digest(F.col("spans")).alias("spans"),
+    )
