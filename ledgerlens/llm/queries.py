@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import decontaminate, mixing, near_dedup, oracles, personal, quality_rank, repetition, secrets
+from ledgerlens.llm import decontaminate, mixing, near_dedup, oracles, personal, quality_rank, repetition, secrets, suffix_tree
 from ledgerlens.llm.common import bounded_batches, read
 from ledgerlens.session import staged
 
@@ -108,3 +108,11 @@ def op10_personal_data(spark, sf_dir):
         "doc_id", *[kind_count(kind) for kind in personal.KINDS],
         F.sha2(personal.digest(base).cast("binary"), 256).alias("base_sha256"), personal.digest(F.col("spans")).alias("spans"),
     )
+
+
+@query
+def op7_suffix_tree(spark, sf_dir):
+    found = suffix_tree.scored(read(spark, sf_dir, "documents"), folded("doc_id", 10) != 0)
+    return found.select(
+        "doc_id", (~F.col("is_training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
