@@ -140,7 +140,35 @@ SELECT d.doc_id, coalesce(size, 0) AS n_shingles, least(d.doc_id, coalesce(least
 FROM d LEFT JOIN sizes ON sizes.doc_id = d.doc_id LEFT JOIN least_reached l ON l.doc_id = d.doc_id
 """
 
+CHAT_PERSPECTIVES = r"""
+WITH t AS (
+  SELECT conv_id, turn, translate(replace(coalesce(role, 'unknown'), '<|', '< |'), chr(13) || chr(10), '  ') AS speaker,
+         replace(coalesce(text, ''), '<|', '< |') AS text
+  FROM conversations
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, speaker, text) - 1 AS place FROM t
+), people AS (
+  SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker <> 'system'
+), pieces AS (
+  SELECT p.conv_id, perspective, place // 64 AS block, place, speaker = perspective AS own,
+         '<|im_start|>' || CASE WHEN speaker = perspective THEN 'assistant' WHEN speaker = 'system' THEN 'system'
+                                ELSE 'user name=' || speaker END || chr(10) AS head,
+         text || '<|im_end|>' AS body
+  FROM placed p JOIN people q ON p.conv_id IS NOT DISTINCT FROM q.conv_id
+), spans AS (
+  SELECT *, sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, perspective, block ORDER BY place)
+            - length(body) - 1 AS start
+  FROM pieces
+)
+SELECT conv_id, perspective, CAST(block AS BIGINT) AS block, CAST(count(*) AS INTEGER) AS n_turns,
+       string_agg(head || body || chr(10), '' ORDER BY place) AS text,
+       coalesce(string_agg(CASE WHEN own THEN CAST(start AS BIGINT) || ':' || CAST(start + length(body) AS BIGINT) END, ',' ORDER BY place), '') AS masks,
+       CAST(coalesce(sum(CASE WHEN own THEN length(body) END), 0) AS INTEGER) AS n_masked
+FROM spans GROUP BY conv_id, perspective, block
+"""
+
 ORACLES = {
+    "op1_chat_perspectives": CHAT_PERSPECTIVES,
     "op5_near_dedup": NEAR_DEDUP,
     "op6_repetition_rules": REPETITION,
     "op3_decontaminate": DECONTAMINATE,

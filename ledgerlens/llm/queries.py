@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import decontaminate, mixing, near_dedup, oracles, personal, quality_rank, repetition, secrets, suffix_tree
+from ledgerlens.llm import chat, decontaminate, mixing, near_dedup, oracles, personal, quality_rank, repetition, secrets, suffix_tree, url_rules
 from ledgerlens.llm.common import bounded_batches, read
 from ledgerlens.session import staged
 
@@ -116,3 +116,33 @@ def op7_suffix_tree(spark, sf_dir):
     return found.select(
         "doc_id", (~F.col("is_training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+@query
+def op1_chat_perspectives(spark, sf_dir):
+    found = chat.perspectives(read(spark, sf_dir, "conversations"))
+    masks = F.transform("masks", lambda m: F.concat_ws(":", m["start"].cast("string"), m["end"].cast("string")))
+    said = F.aggregate("masks", F.lit(0), lambda n, m: n + m["end"] - m["start"])
+    return found.select(
+        "conv_id", "perspective", "block", "n_turns", "text", F.array_join(masks, ",").alias("masks"), said.alias("n_masked")
+    )
+
+
+# The given list: a rule fits its host and all subdomains, and paths that start with its path.
+LISTED = (
+    url_rules.Rule("allow", "org", "/"), url_rules.Rule("block", "example.org", "/es/"),
+    url_rules.Rule("block", "example.org", "/en/1"), url_rules.Rule("allow", "com", "/fr/"),
+    url_rules.Rule("block", "com", "/de/"),
+)
+
+
+@query
+def op8_url_rules(spark, sf_dir):
+    """Labels for mining: the list's verdict where it has one, else the quality label of the page's number."""
+    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    known = read(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("page_id")).agg(F.min("quality").alias("quality"))
+    rule = url_rules.listed(url_rules.host_of(F.col("url")), url_rules.path_of(F.col("url")), LISTED)["verdict"]
+    label = F.coalesce(rule, F.when(F.col("quality") == 0, url_rules.BLOCK).when(F.col("quality") == 1, url_rules.ALLOW))
+    labelled = pages.join(known, "page_id", "left").select("url", label.alias("label"))
+    found = url_rules.judged(pages, labelled, LISTED)
+    return found.select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict")
