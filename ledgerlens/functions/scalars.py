@@ -36,9 +36,10 @@ def ratio(num: str | Column, den: str | Column) -> Column:
 def exact_sum(c: str) -> Column:
     """Sum of an amount that does not depend on the order in which partitions are merged.
 
-    Amounts are added up as whole ten-thousandths; a total beyond 64 bits raises.
+    Amounts count to six decimal places and totals to 32 digits before the point; the result is a double. What is no
+    number, or has more digits, counts as unknown.
     """
-    return F.expr(f"sum(CAST(rint({c} * 10000D) AS BIGINT)) / 10000D")
+    return F.expr(f"CAST(sum(try_cast({c} AS DECIMAL(38,6))) AS DOUBLE)")
 
 
 def age_years(days_birth: str | Column = "days_birth") -> Column:
@@ -97,7 +98,7 @@ def text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def stacked(df: DataFrame, entries: list[list[str]], names: list[str]) -> DataFrame:
+def stacked(df: DataFrame, entries: list[list[str]], names: list[str], keep: Iterable[str] = ()) -> DataFrame:
     """Turn a wide row into one row per entry; entries are lists of SQL expressions, one for each name."""
     items = ", ".join(e for entry in entries for e in entry)
-    return df.selectExpr(f"stack({len(entries)}, {items}) AS ({', '.join(names)})")
+    return df.selectExpr(*keep, f"stack({len(entries)}, {items}) AS ({', '.join(names)})")

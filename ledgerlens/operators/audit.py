@@ -2,28 +2,18 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import DoubleType, FloatType, NumericType
 
 from ledgerlens.functions.scalars import quoted, stacked, text
 from ledgerlens.operators.ingest import ID
 from ledgerlens.schemas import CORRELATION_LIMIT, ID_CORRELATION_LIMIT, TARGET
 
 
-# A range this small next to the values is rounding noise, as in a ratio that is 0.9 but for its last bit.
-NOISE = 1e-12
-
-
-def abs_corr(x: str, y: str) -> str:
-    """Absolute Pearson correlation over rows where both are known; NULL, not an error, when either is constant there."""
-    x, y = f"CAST({quoted(x)} AS DOUBLE)", f"CAST({quoted(y)} AS DOUBLE)"
-    paired_x, paired_y = f"CASE WHEN {y} IS NOT NULL THEN {x} END", f"CASE WHEN {x} IS NOT NULL THEN {y} END"
-    low, high = f"min({paired_x})", f"max({paired_x})"
-    varies = f"{high} - {low} > {NOISE}D * greatest(abs({high}), abs({low})) AND max({paired_y}) > min({paired_y})"
-    return f"CASE WHEN {varies} THEN sqrt(regr_r2({y}, {x})) END"
+# The spread of a constant computed in floating point, as in a ratio that is 0.9 but for its last bits. Whole numbers and
+# decimals have none.
+ROUNDING = 1e-15
 
 
 def numeric_columns(df: DataFrame, without: tuple[str, ...] = ()) -> list[str]:
@@ -37,30 +27,56 @@ def _report(check: str, values: DataFrame, limit: float) -> DataFrame:
 
 
 def _correlations(df: DataFrame, names: list[str], target: str) -> DataFrame:
-    return df.agg(*[F.expr(abs_corr(c, target)).alias(c) for c in names])
+    """(feature, value): absolute Pearson correlation with the target over rows where both are known.
 
+    A first pass finds the smallest value of each column; in the second, every row gives one short row per column, its
+    distance from the smallest, so large numbers lose no digits. NULL, not an error, where either side is constant.
+    """
+    exact = {f.name: not isinstance(f.dataType, FloatType | DoubleType) for f in df.schema}
+    lows = df.agg(*[F.expr(f"min({quoted(c)})").alias(f"low_{i}") for i, c in enumerate(names)]).first()
+    entries = [
+        [text(c), str(exact[c]).upper(), _number(low), f"CAST({quoted(c)} - {_literal(low, exact[c])} AS DOUBLE)"]
+        for c, low in zip(names, lows, strict=True)
+    ]
+    y = f"CAST({quoted(target)} AS DOUBLE)"
+    long = stacked(
+        df.selectExpr(f"{y} AS _target", *[quoted(c) for c in names]), entries, ["feature", "exact", "low", "x"], ["_target"]
+    )
+    paired = long.selectExpr(
+        "feature", "exact", "low", "CASE WHEN _target IS NOT NULL THEN x END AS x", "CASE WHEN x IS NOT NULL THEN _target END AS y"
+    )
+    noise = f"CASE WHEN any_value(exact) THEN 0D ELSE {ROUNDING}D * greatest(abs(any_value(low)), abs(max(x) + any_value(low))) END"
+    value = f"CASE WHEN max(x) - min(x) > {noise} AND max(y) > min(y) THEN sqrt(regr_r2(y, x)) END AS value"
+    return paired.groupBy("feature").agg(F.expr(value))
 
-def correlation_audit(
-    df: DataFrame, target: str = TARGET, limit: float = CORRELATION_LIMIT, chunk: int = 8
-) -> DataFrame:
-    """Absolute correlation of every numeric column with the target.
 
-    Columns are taken some at a time: one aggregate over all of them would be too wide to compile. Each chunk reads
-    only its own columns, so hand in a stored table.
-    """
-    names = numeric_columns(df, without=(target,))
-    chunks = [names[i : i + chunk] for i in range(0, len(names), chunk)]
-    return reduce(
-        DataFrame.unionByName,
-        [_report("correlation", _correlations(df, some, target), limit) for some in chunks],
+def _number(low) -> str:
+    return "CAST(NULL AS DOUBLE)" if low is None else f"CAST('{low}' AS DOUBLE)"
+
+
+def _literal(low, exact: bool) -> str:
+    """A column's smallest value as a literal that subtracts without overflow or loss."""
+    if low is None:
+        return "CAST(NULL AS DOUBLE)"
+    return f"CAST('{low}' AS DECIMAL(38,0))" if exact and abs(low) >= 1 << 53 else f"CAST('{low}' AS DOUBLE)"
+
+
+def _flagged(check: str, rows: DataFrame, limit: float) -> DataFrame:
+    return rows.select(
+        F.lit(check).alias("check"), "feature", "value", F.coalesce(F.col("value") > limit, F.lit(False)).alias("flagged")
     )
 
 
+def correlation_audit(df: DataFrame, target: str = TARGET, limit: float = CORRELATION_LIMIT) -> DataFrame:
+    """Absolute correlation of every numeric column with the target, in one pass over the numeric columns."""
+    return _flagged("correlation", _correlations(df, numeric_columns(df, without=(target,)), target), limit)
+
+
 def id_audit(df: DataFrame, id_col: str = ID, target: str = TARGET, limit: float = ID_CORRELATION_LIMIT) -> DataFrame:
     """Correlation of a numeric id with the target. A hashed id is text and yields no row."""
     if id_col not in numeric_columns(df):
         return df.sparkSession.createDataFrame([], "check string, feature string, value double, flagged boolean")
-    return _report("id", _correlations(df, [id_col], target), limit)
+    return _flagged("id", _correlations(df, [id_col], target), limit)
 
 
 def null_state_audit(
@@ -87,7 +103,7 @@ def null_state_audit(
 
 
 def audit_report(df: DataFrame, id_col: str = ID, target: str = TARGET) -> DataFrame:
-    """All three checks. Hand in a stored table: it is scanned several times.
+    """All three checks. Hand in a stored table: it is scanned once for each.
 
     A numeric id also takes part in the first check, like any other numeric column.
     """

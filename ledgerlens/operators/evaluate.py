@@ -23,18 +23,19 @@ def class_weight(df: DataFrame, label: str = TARGET) -> DataFrame:
 
 
 def stratified_folds(
-    df: DataFrame, id_col: str, label: str = TARGET, folds: int = 5, seed: int = SEED, fold: str = "fold"
+    df: DataFrame, id_col: str, label: str = TARGET, folds: int = 5, seed: int = SEED, fold: str = "fold", digits: int = 3
 ) -> DataFrame:
     """Deal the shuffled rows of each class to the folds in turn; sizes differ by one row per class at most."""
-    ranked = shuffled_rank(df, id_col, seed, [label], "_rank", "_size")
+    ranked = shuffled_rank(df, id_col, seed, [label], "_rank", "_size", digits)
     return ranked.withColumn(fold, ((F.col("_rank") - 1) % folds).cast("int")).drop("_rank", "_size")
 
 
 def stratified_holdout(
-    df: DataFrame, id_col: str, label: str = TARGET, one_in: int = 5, seed: int = SEED, flag: str = "holdout"
+    df: DataFrame, id_col: str, label: str = TARGET, one_in: int = 5, seed: int = SEED, flag: str = "holdout",
+    digits: int = 3,
 ) -> DataFrame:
     """Mark the first fifth (or other whole share) of each class's shuffled rows."""
-    ranked = shuffled_rank(df, id_col, seed, [label], "_rank", "_size")
+    ranked = shuffled_rank(df, id_col, seed, [label], "_rank", "_size", digits)
     return ranked.withColumn(flag, (F.col("_rank") * one_in <= F.col("_size")).cast("int")).drop("_rank", "_size")
 
 

@@ -60,13 +60,13 @@ def local_attribution(df: DataFrame, id_col: str, weights: Mapping[str, float],
     )
 
 
-def with_donors(df: DataFrame, id_col: str, features: Sequence[str], seeds: tuple[int, int] = (1, 2)) -> DataFrame:
+def with_donors(df: DataFrame, id_col: str, features: Sequence[str], seeds: tuple[int, int] = (1, 2), digits: int = 3) -> DataFrame:
     """Give every row the features of another row, as struct ``donor``: a random one-to-one exchange.
 
     Both sides number all rows by a seeded hash and are joined on that number, so no key is frequent.
     """
-    receivers = shuffled_rank(df, id_col, seeds[0], rank="_rank", size="_size").drop("_size")
-    donors = shuffled_rank(df.select(id_col, *features), id_col, seeds[1], rank="_rank", size="_size").select(
+    receivers = shuffled_rank(df, id_col, seeds[0], rank="_rank", size="_size", digits=digits).drop("_size")
+    donors = shuffled_rank(df.select(id_col, *features), id_col, seeds[1], rank="_rank", size="_size", digits=digits).select(
         "_rank", F.struct(*features).alias("donor")
     )
     return receivers.join(donors, "_rank").drop("_rank")
@@ -78,13 +78,14 @@ def permutation_importance(
     features: Sequence[str],
     score: Callable[[DataFrame], DataFrame],
     label: str = TARGET,
+    digits: int = 3,
 ) -> DataFrame:
     """Loss of AUC when one feature is exchanged between rows.
 
     ``score`` adds a column ``score``. The exchanged rows are stored once; every feature then scores them with that
     one feature replaced, and all AUCs come from one ordered pass over the narrow (feature, score, label) rows.
     """
-    exchanged = staged(with_donors(df, id_col, features), "exchanged")
+    exchanged = staged(with_donors(df, id_col, features, digits=digits), "exchanged")
     variants = {"": exchanged} | {name: exchanged.withColumn(name, F.col(f"donor.{name}")) for name in features}
     scored = [score(rows).select(F.lit(name).alias("feature"), "score", label) for name, rows in variants.items()]
     auc = roc_auc(reduce(DataFrame.unionByName, scored), "score", label, ["feature"])

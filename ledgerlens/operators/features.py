@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions import scalars as S
 from ledgerlens.operators.ingest import ID
+from ledgerlens.operators.ranked import running_by_key
 
 
 def count_where(condition) -> F.Column:
@@ -121,28 +122,28 @@ def credit_features(
 
 
 def history_known_by(
-    applications: DataFrame, history: DataFrame, app_date: str, event_date: str, amount: str
+    applications: DataFrame, history: DataFrame, key: str, app_date: str, event_date: str, amount: str
 ) -> DataFrame:
-    """Point-in-time join on absolute dates: per application, what its earlier history adds up to.
+    """Point-in-time join on absolute dates: for each application, what the applicant's history adds up to by its date.
 
-    Both frames carry the applicant id. The date test is part of the join, and the aggregate keeps applications
-    without earlier history.
+    ``key`` names the application; an applicant may have many. Events and applications of an applicant lie on one timeline
+    on which totals run, so an applicant with very many of both costs no more than their sum. Events without a date are
+    left out; an application without one knows nothing.
     """
-    a, h = applications.alias("a"), history.alias("h")
-    known = (F.col(f"a.{ID}") == F.col(f"h.{ID}")) & (F.col(f"h.{event_date}") <= F.col(f"a.{app_date}"))
-    # An inner join lets a busy applicant's history be split; applications without history come back afterwards.
-    totals = (
-        a.join(h, known)
-        .groupBy(F.col(f"a.{ID}").alias(ID))
-        .agg(
-            F.count("*").alias("known_count"),
-            S.exact_sum(f"h.{amount}").alias("known_amount"),
-            F.max(f"h.{event_date}").alias("last_known"),
-        )
+    events = history.filter(F.col(event_date).isNotNull()).select(
+        F.col(ID), F.col(event_date).alias("at"), F.lit(0).alias("is_application"),
+        F.expr(f"try_cast({S.quoted(amount)} AS DECIMAL(38,6))").alias("amount"), F.col(event_date).alias("event_at"),
     )
-    return applications.join(totals, ID, "left").select(
-        ID,
-        F.coalesce("known_count", F.lit(0)).alias("known_count"),
-        "known_amount",
-        F.datediff(app_date, "last_known").alias("days_since_last_known"),
+    asked = applications.select(
+        F.col(ID), F.col(key).alias("application"), F.col(app_date).alias("at"), F.lit(1).alias("is_application")
+    )
+    known = running_by_key(
+        events.unionByName(asked, allowMissingColumns=True), ID, ["at", "is_application"],
+        {"events": (1 - F.col("is_application")).cast("long"), "total": F.col("amount"), "valued": F.col("amount").isNotNull().cast("long")},
+        {"last": F.col("event_at")},
+    )
+    return known.filter("is_application = 1").select(
+        F.col("application").alias(key), ID, F.col("events").alias("known_count"),
+        F.when(F.col("valued") > 0, F.col("total").cast("double")).alias("known_amount"),
+        F.datediff("at", "last").alias("days_since_last_known"),
     )

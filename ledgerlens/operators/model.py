@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import Imputer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.scalars import present
-from ledgerlens.operators.evaluate import SEED, class_weight, stratified_folds, stratified_holdout
+from ledgerlens.operators.evaluate import SEED, class_weight, stratified_folds
 from ledgerlens.schemas import CATEGORICAL_FEATURES, MISSING_LABEL, NUMERIC_FEATURES, TARGET
 from ledgerlens.session import checkpoint_dir, staged
 
@@ -55,7 +55,8 @@ class TreeSettings:
     """Boosting settings.
 
     Trees have no missing-value branch here, so inputs are imputed and flagged first. Trees grow level by level to
-    the depth given, columns are drawn per node, and a run stops early when a held-out tenth no longer improves.
+    the depth given and columns are drawn per node. A tenth of the rows watches the loss; boosting ends once ``patience``
+    rounds have brought no gain, and the model is then fitted to all rows with the best number of rounds.
     """
 
     rounds: int = 1000
@@ -64,6 +65,8 @@ class TreeSettings:
     row_share: float = 0.8
     column_share: float = 0.8
     min_rows: int = 50
+    patience: int = 50
+    first_block: int = 100
     seed: int = SEED
 
 
@@ -73,29 +76,24 @@ def with_null_flags(df: DataFrame, names: Sequence[str]) -> DataFrame:
     )
 
 
-def _pipeline(numeric: Sequence[str], categorical: Sequence[str], settings: TreeSettings, early_stop: bool) -> Pipeline:
-    """Median imputation, label codes, assembly and boosting, all fitted on the training rows only."""
-    filled = [f"{c}_filled" for c in numeric]
-    codes = [f"{c}_code" for c in categorical]
-    stages = [Imputer(strategy="median", inputCols=list(numeric), outputCols=filled)]
-    if categorical:
-        stages.append(
-            StringIndexer(
-                inputCols=list(categorical), outputCols=codes, stringOrderType="alphabetAsc", handleInvalid="keep"
-            )
-        )
-    stages.append(
-        VectorAssembler(inputCols=[*filled, *[f"{c}_is_null" for c in numeric], *codes], outputCol="features")
+def label_codes(df: DataFrame) -> StringIndexerModel | None:
+    """Codes for the labels of all rows that a model is to know; a label beyond them raises when rows are scored."""
+    categorical = present(df, CATEGORICAL_FEATURES)
+    if not categorical:
+        return None
+    indexer = StringIndexer(
+        inputCols=categorical, outputCols=[f"{c}_code" for c in categorical], stringOrderType="alphabetAsc",
+        handleInvalid="error",
     )
-    trees = GBTClassifier(
-        labelCol=TARGET, weightCol="weight", maxIter=settings.rounds, stepSize=settings.step, maxDepth=settings.depth,
+    return indexer.fit(fill_missing_labels(df, categorical))
+
+
+def _booster(settings: TreeSettings, rounds: int, bins: int) -> GBTClassifier:
+    return GBTClassifier(
+        labelCol=TARGET, weightCol="weight", maxIter=rounds, stepSize=settings.step, maxDepth=settings.depth,
         subsamplingRate=settings.row_share, featureSubsetStrategy=str(settings.column_share),
-        minInstancesPerNode=settings.min_rows, seed=settings.seed, maxBins=256, cacheNodeIds=True, checkpointInterval=10,
+        minInstancesPerNode=settings.min_rows, seed=settings.seed, maxBins=bins, cacheNodeIds=True, checkpointInterval=10,
     )
-    if early_stop:
-        trees = trees.setValidationIndicatorCol("validation")
-    stages.append(trees)
-    return Pipeline(stages=stages)
 
 
 def _usable(df: DataFrame, names: Sequence[str]) -> list[str]:
@@ -104,20 +102,52 @@ def _usable(df: DataFrame, names: Sequence[str]) -> list[str]:
     return [c for c in names if known[c] > 0]
 
 
+def best_rounds(rows: DataFrame, settings: TreeSettings, bins: int) -> int:
+    """The number of rounds with the least loss on the watched rows.
+
+    Spark's booster cannot be continued, so it is fitted with twice as many rounds until the loss has not fallen for
+    ``patience`` rounds: at most twice the work of a single run.
+    """
+    length = min(settings.rounds, settings.first_block)
+    while True:
+        fitted = _booster(settings, length, bins).fit(rows.filter(~F.col("watched")))
+        losses = fitted.evaluateEachIteration(rows.filter("watched"))
+        best = min(range(length), key=losses.__getitem__) + 1
+        if length == settings.rounds or length - best >= settings.patience:
+            return best
+        length = min(settings.rounds, 2 * length)
+
+
 def fit_trees(
-    train: DataFrame, id_col: str, settings: TreeSettings = TreeSettings(), early_stop: bool = True
+    train: DataFrame, id_col: str, settings: TreeSettings = TreeSettings(), early_stop: bool = True,
+    codes: StringIndexerModel | None = None,
 ) -> PipelineModel:
-    """Fit on the given rows. Early stopping watches a tenth carved out of them, never the rows scored later."""
+    """Fit on the given rows: medians, then boosting. The loss is watched on a tenth of them, never on rows scored later.
+
+    ``codes`` names the labels the model is to know; by default those of the given rows.
+    """
     checkpoint_dir(train.sparkSession)
     numeric = _usable(train, present(train, NUMERIC_FEATURES))
-    categorical = present(train, CATEGORICAL_FEATURES)
-    prepared = prepare_inputs(train, numeric, categorical)
+    codes = codes or label_codes(train)
+    categorical = list(codes.getInputCols()) if codes else []
     weight = class_weight(train).first()["positive_weight"]
-    prepared = prepared.withColumn("weight", F.when(F.col(TARGET) == 1, F.lit(weight)).otherwise(F.lit(1.0)))
-    if early_stop:
-        prepared = stratified_holdout(prepared, id_col, one_in=10, seed=settings.seed + 1, flag="validation")
-        prepared = prepared.withColumn("validation", F.col("validation") == 1)
-    return _pipeline(numeric, categorical, settings, early_stop).fit(prepared)
+    prepared = prepare_inputs(train, numeric, categorical).withColumn(
+        "weight", F.when(F.col(TARGET) == 1, F.lit(weight)).otherwise(F.lit(1.0))
+    )
+    filled = [f"{c}_filled" for c in numeric]
+    imputer = Imputer(strategy="median", inputCols=numeric, outputCols=filled).fit(prepared)
+    coded = list(codes.getOutputCols()) if codes else []
+    assembler = VectorAssembler(inputCols=[*filled, *[f"{c}_is_null" for c in numeric], *coded], outputCol="features")
+    stages = [imputer, *([codes] if codes else []), assembler]
+    # A hash of the id picks the watched rows: no rank, no shuffle. Inputs are computed once and stored.
+    watched = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(settings.seed)), F.lit(10)) == 0
+    rows = staged(
+        PipelineModel(stages).transform(prepared).select("features", TARGET, "weight", watched.alias("watched")), "training"
+    )
+    bins = max(256, *[len(labels) + 1 for labels in codes.labelsArray]) if codes else 256
+    kinds = {r[0] for r in rows.filter("watched").select(TARGET).distinct().collect()} if early_stop else set()
+    rounds = best_rounds(rows, settings, bins) if len(kinds) > 1 else settings.rounds
+    return PipelineModel([*stages, _booster(settings, rounds, bins).fit(rows)])
 
 
 def prepare_inputs(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
@@ -152,9 +182,10 @@ def cross_validate(
 ) -> DataFrame:
     """Score every row by a model that has not seen its fold. Returns id, target, fold and score."""
     dealt = staged(stratified_folds(df, id_col, folds=folds, seed=settings.seed), "folds")
+    codes = label_codes(dealt)
     scored = []
     for k in range(folds):
-        model = fit_trees(dealt.filter(F.col("fold") != k).drop("fold"), id_col, settings)
+        model = fit_trees(dealt.filter(F.col("fold") != k).drop("fold"), id_col, settings, codes=codes)
         out = score(model, dealt.filter(F.col("fold") == k))
         scored.append(out.select(id_col, TARGET, "fold", "score"))
     rows = scored[0]

@@ -111,6 +111,22 @@ def pass_rate(results: DataFrame) -> DataFrame:
     )
 
 
+def quality_score(results: DataFrame, profile: DataFrame) -> DataFrame:
+    """One row: the pass rate of the rules, the column with the largest null share, and a score of both.
+
+    The score is the pass rate times the mean share of known values over all columns.
+    """
+    rows = results.select("rule", "failed_rows").unionByName(profile.select("column_name", "null_pct"), allowMissingColumns=True)
+    passed = F.when(F.col("rule").isNotNull(), (F.col("failed_rows") == 0).cast("int"))
+    share = F.round(F.avg(passed.cast("double")) * 100, 4)
+    return rows.agg(
+        F.count("rule").alias("rule_count"), F.sum(passed).cast("long").alias("passed_count"), share.alias("pass_rate_pct"),
+        F.max_by("column_name", F.struct("null_pct", "column_name")).alias("worst_column"),
+        F.max("null_pct").alias("max_null_pct"),
+        F.round(share * F.avg(100 - F.col("null_pct")) / 100, 4).alias("quality_score_pct"),
+    )
+
+
 def null_drift(baseline: DataFrame, current: DataFrame, alert_points: float = 5.0) -> DataFrame:
     """Null share of each shared column in two loads, flagged when it rose by more than the given points."""
     pct = F.col("null_count") * F.lit(100.0) / F.nullif(F.col("row_count"), F.lit(0))

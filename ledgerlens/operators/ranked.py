@@ -51,10 +51,45 @@ def running_totals(
     )
 
 
+def running_by_key(
+    df: DataFrame, key: str, order: Sequence[str], sums: Mapping[str, Column], latest: Mapping[str, Column]
+) -> DataFrame:
+    """Add, for each row, sums and maxima over the rows of its key up to it in the given order.
+
+    Unlike ``running_totals``, every key starts afresh. Rows are cut into ordered parts, so a busy key spreads over many
+    tasks; the totals of a key's earlier parts are joined, one row for each key and part. Rows that tie in the order are
+    taken one after the other.
+    """
+    cut = ordered_parts(df, [F.col(key), *map(F.col, order), F.rand(1)])
+    kinds = {**{n: (F.sum, c) for n, c in sums.items()}, **{n: (F.max, c) for n, c in latest.items()}}
+    totals = cut.groupBy(key, PART).agg(*[f(c).alias(n) for n, (f, c) in kinds.items()])
+    earlier = Window.partitionBy(key).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(
+        F.col(key).alias("_key"), F.col(PART).alias("_of"), *[f(n).over(earlier).alias(f"_start_{n}") for n, (f, _) in kinds.items()]
+    )
+    so_far = Window.partitionBy(PART, key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = cut.withColumns({f"_local_{n}": f(c).over(so_far) for n, (f, c) in kinds.items()})
+    both = local.join(starts, F.col(key).eqNullSafe(F.col("_key")) & (F.col(PART) == F.col("_of")))
+    zero = lambda n, kind: F.coalesce(F.col(f"_{kind}_{n}"), F.lit(0))
+    return both.select(
+        *df.columns,
+        *[(zero(n, "local") + zero(n, "start")).alias(n) for n in sums],
+        *[F.greatest(f"_local_{n}", f"_start_{n}").alias(n) for n in latest],
+    )
+
+
 def hash_order(id_text: Column, seed: int) -> Column:
     return F.sha2(F.concat(id_text, F.lit(str(seed))), 256)
 
 
+def digits_for(rows: int, rows_per_part: int = 1_000_000) -> int:
+    """Hex digits that cut so many rows into parts of about the given size; three are enough for some four billion."""
+    digits = 3
+    while 16**digits * rows_per_part < rows:
+        digits += 1
+    return digits
+
+
 def shuffled_rank(
     df: DataFrame, id_col: str, seed: int, within: Sequence[str] = (), rank: str = "rank", size: str = "size",
     digits: int = 3,
@@ -62,7 +97,7 @@ def shuffled_rank(
     """Number the rows 1..n of each group in a seeded random order, and add the group's size.
 
     The order is that of a hash of the id. Its leading hex digits cut every group into evenly filled parts by
-    themselves, so no sampling and no intermediate table is needed. Use more digits for more rows (16**digits parts).
+    themselves, so no sampling and no intermediate table is needed. ``digits_for`` gives the digits for a number of rows.
     """
     within = list(within)
     keyed = df.withColumn("_hash", hash_order(F.col(id_col).cast("string"), seed)).withColumn(

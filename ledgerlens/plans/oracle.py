@@ -9,7 +9,7 @@ from ledgerlens.schemas import (
     AUC_LIMIT, CATEGORICAL_FEATURES, CORRELATION_LIMIT, EXPLORER_COLUMNS, ID_CORRELATION_LIMIT, MANDATORY, MANIFEST,
     NUMERIC_FEATURES, SPECS,
 )
-from ledgerlens.sources.fixture_views import APPLICATION, APPLICATION_HELPERS, oracle_view
+from ledgerlens.sources.fixture_views import APPLICATION, APPLICATION_CUTOFF, APPLICATION_HELPERS, oracle_view
 
 RAW_COLUMNS = [c for c in APPLICATION if c not in APPLICATION_HELPERS]
 KEPT_COLUMNS = [c for c in RAW_COLUMNS if c != "own_car_age"]
@@ -24,7 +24,7 @@ def r6(expression: str, name: str | None = None) -> str:
 
 
 def money(expression: str) -> str:
-    return f"CAST(SUM(CAST({expression} AS DECIMAL(18,4))) AS DOUBLE)"
+    return f"CAST(SUM(CAST({expression} AS DECIMAL(38,6))) AS DOUBLE)"
 
 
 def div(num: str, den: str) -> str:
@@ -150,10 +150,10 @@ DOUBLES = {
 }
 TEXTS = {c for c in KEPT_COLUMNS if c.startswith(("name_", "code_", "flag_")) or c in ("occupation_type", "organization_type")}
 STEPS["audited"] = (
-    f"SELECT {', '.join(f'f.{c}' for c in FEATURE_COLUMNS)}, CAST(target * 100 + f.sk_id_curr % 3 AS DOUBLE) AS leak_score, "
+    f"SELECT {', '.join(f'f.{c}' for c in FEATURE_COLUMNS)}, 1000000000000000 + target * 100 AS leak_offset, CAST(target * 100 + f.sk_id_curr % 3 AS DOUBLE) AS leak_score, "
     "CASE WHEN target = 1 THEN CAST(1 AS DOUBLE) END AS leak_null, CAST(0 AS DOUBLE) AS constant_zero FROM features f"
 )
-AUDITED = [*FEATURE_COLUMNS, "leak_score", "leak_null", "constant_zero"]
+AUDITED = [*FEATURE_COLUMNS, "leak_offset", "leak_score", "leak_null", "constant_zero"]
 AUDITED_NUMERIC = [
     c for c in AUDITED if c not in TEXTS and c not in ("target", "worst_ever_bureau_status")
 ]
@@ -258,15 +258,23 @@ ORACLES["pit_audit"] = " UNION ALL ".join(
     f"(SELECT COUNT(*) FROM known_{t} WHERE {c} > 0) AS clean_rows_after"
     for t, c in DATED
 )
-ORACLES["quality_pass_rate"] = (
-    "SELECT COUNT(*) AS rule_count, COUNT(*) FILTER (WHERE failed_rows = 0) AS passed_count, "
-    "ROUND(100.0 * COUNT(*) FILTER (WHERE failed_rows = 0) / COUNT(*), 4) AS pass_rate_pct FROM ("
-    + ACCEPTED_RULES
+RULES = (
+    ACCEPTED_RULES
     + "".join(
         f" UNION ALL SELECT '{c}', (SELECT COUNT(*) FROM known_{t} WHERE {c} > 0)" for t, c in DATED
     )
-    + " UNION ALL SELECT 'unique id', COUNT(*) - COUNT(DISTINCT sk_id_curr) FROM application_train)"
+    + " UNION ALL SELECT 'unique id', COUNT(*) - COUNT(DISTINCT sk_id_curr) FROM application_train"
 )
+ORACLES["quality_pass_rate"] = f"""
+SELECT rule_count, passed_count, pass_rate_pct, worst_column, max_null_pct,
+  ROUND(pass_rate_pct * known / 100, 4) AS quality_score_pct
+FROM (SELECT COUNT(*) AS rule_count, COUNT(*) FILTER (WHERE failed_rows = 0) AS passed_count,
+        ROUND(100.0 * COUNT(*) FILTER (WHERE failed_rows = 0) / COUNT(*), 4) AS pass_rate_pct FROM ({RULES})),
+  (SELECT arg_max(column_name, (null_pct, column_name)) AS worst_column, MAX(null_pct) AS max_null_pct,
+     AVG(100 - null_pct) AS known FROM (SELECT column_name, ROUND({PCT}, 2) AS null_pct FROM ({PROFILE})))"""
+ORACLES["schema_drift"] = """
+SELECT * FROM (VALUES ('cnt_children', 'int', 'string'), ('own_car_age', 'double', NULL), ('tenure', NULL, 'int'))
+  AS t (column_name, baseline_type, current_type)"""
 
 
 def side_pct(condition: str) -> str:
@@ -314,11 +322,12 @@ ORACLES["application_features"] = (
 )
 ORACLES["credit_features"] = f"SELECT {project(FEATURE_COLUMNS)} FROM features"
 ORACLES["pit_join_absolute"] = f"""
-SELECT a.sk_id_curr, COUNT(o_orderkey) AS known_count, ROUND({money("o_totalprice")}, 6) AS known_amount,
-  CAST(date_diff('day', MAX(o_orderdate), MAX(a.app_date)) AS INT) AS days_since_last_known
-FROM application_train a LEFT JOIN orders o
-  ON o.o_custkey = a.sk_id_curr AND o.o_orderdate <= a.app_date AND o.o_orderkey <> a.app_orderkey
-GROUP BY 1"""
+SELECT a.o_orderkey, a.sk_id_curr, COUNT(o.o_orderkey) AS known_count, ROUND({money("o.o_totalprice")}, 6) AS known_amount,
+  CAST(date_diff('day', MAX(o.o_orderdate), MAX(a.app_date)) AS INT) AS days_since_last_known
+FROM (SELECT o_orderkey, o_custkey AS sk_id_curr, o_orderdate - INTERVAL 1 DAY AS app_date FROM orders
+      WHERE o_orderdate <= {APPLICATION_CUTOFF}) a
+LEFT JOIN orders o ON o.o_custkey = a.sk_id_curr AND o.o_orderdate <= a.app_date
+GROUP BY 1, 2"""
 
 SUMMARY_GRAINS = {
     "contract_type": "name_contract_type",
@@ -370,20 +379,22 @@ ORACLES["explorer_match_count"] = (
 ORACLES["explorer_options"] = (
     "SELECT DISTINCT occupation_type FROM application_train WHERE occupation_type IS NOT NULL ORDER BY 1"
 )
-ORACLES["explorer_sample"] = f"SELECT * FROM ({EXPLORER}) ORDER BY sk_id_curr LIMIT 50000"
+ORACLES["explorer_sample"] = f"SELECT * FROM ({EXPLORER}) ORDER BY sk_id_curr LIMIT {q.SAMPLE_ROWS}"
 ORACLES["explorer_page"] = (
     f"SELECT * EXCLUDE (target), target AS \"DEFAULT\" FROM ({EXPLORER} WHERE name_contract_type = 'Cash loans') "
-    "ORDER BY sk_id_curr LIMIT 1000"
+    f"ORDER BY sk_id_curr LIMIT {q.PAGE_ROWS}"
 )
 
 
 def corr(column: str, source: str, check: str) -> str:
     x = f"CAST({column} AS DOUBLE)"
     value = f"corr({x}, CAST(target AS DOUBLE))"
+    # Only floating point has a spread that is nothing but rounding.
+    noise = f"CAST(1e-15 AS DOUBLE) * GREATEST(abs(MAX({x})), abs(MIN({x})))"
+    noise = f"CASE WHEN any_value(typeof({column})) IN ('DOUBLE', 'FLOAT') THEN {noise} ELSE 0 END"
     return (
         f"SELECT '{check}' AS \"check\", '{column}' AS feature, abs(CASE WHEN isnan({value}) THEN NULL "
-        f"WHEN MAX({x}) - MIN({x}) > CAST(1e-12 AS DOUBLE) * GREATEST(abs(MAX({x})), abs(MIN({x}))) THEN {value} END) "
-        f"AS value FROM {source}"
+        f"WHEN MAX({x}) - MIN({x}) > {noise} THEN {value} END) AS value FROM {source}"
     )
 
 
@@ -579,12 +590,11 @@ WITH RECURSIVE numbered_events AS (
 SELECT event_id, user_id, accepted FROM walk"""
 
 ORACLES["throttle_stream"] = ORACLES["throttle_sliding_log"]
-ORACLES["synthetic_row_counts"] = " UNION ALL ".join(
-    f"SELECT '{table}' AS table_name, COUNT(*) * {per_customer} AS row_count FROM customer"
-    for table, per_customer in (
-        ("application_train", 1), ("bureau", 3), ("previous_application", 2), ("installments_payments", 10)
-    )
-)
+USED = [*NUMERIC_FEATURES, *CATEGORICAL_FEATURES]
+ORACLES["gbt_scores"] = f"""
+SELECT {HASH.replace("sk_id_curr", "f.sk_id_curr")} AS sk_id_curr, f.target, TRUE AS is_probability
+FROM features f JOIN held h ON h.sk_id_curr = f.sk_id_curr WHERE h.holdout = 1"""
+ORACLES["gbt_importance"] = " UNION ALL ".join(f"SELECT '{c}' AS feature, TRUE AS is_share" for c in USED)
 
 
 def oracle_sql() -> dict[str, str]:

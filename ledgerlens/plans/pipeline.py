@@ -5,10 +5,12 @@ from __future__ import annotations
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlens import session
-from ledgerlens.operators import audit, evaluate, features, ingest, model, quality, summary
+from ledgerlens.operators import audit, evaluate, explain, features, ingest, model, quality, summary
 from ledgerlens.operators.ingest import ID
+from ledgerlens.operators.ranked import digits_for
 from ledgerlens.schemas import AUC_LIMIT, MANDATORY, MANIFEST, TARGET
 from ledgerlens.sources.tables import load_all, write_csv, write_table
 
@@ -53,10 +55,17 @@ def run(
     The model is fitted on four fifths of the applications and judged on the rest.
     """
     session.configure(spark)
+    with session.run_scratch(spark):
+        return _run(spark, raw_dir, out_dir, run_id, trees, auc_limit, salt, pit, folds)
+
+
+def _run(spark, raw_dir, out_dir, run_id, trees, auc_limit, salt, pit, folds) -> Outcome:
     base = f"{out_dir}/{run_id}"
     raw = load_all(spark, raw_dir)
     for table, required in MANDATORY.items():
         quality.assert_contract(raw[table], table, required)
+    # Files are parsed once; the copies hold raw ids and go with the run's scratch folder.
+    raw = {name: session.staged(df, name) for name, df in raw.items()}
 
     stored: dict[str, DataFrame] = {}
 
@@ -64,7 +73,7 @@ def run(
         stored[name] = write_table(df, base, name)
         return stored[name]
 
-    application = ingest.prepare_application(raw["application_train"])
+    application = session.staged(ingest.prepare_application(raw["application_train"]), "application")
     keep(ingest.hash_ids(application, salt), "clean_application")
     for spec in MANIFEST[1:]:
         keep(ingest.clean_history(raw[spec.name], spec.name, pit, salt), f"clean_{spec.name}")
@@ -75,23 +84,37 @@ def run(
     findings = keep(audit.audit_report(table), "audit")
     leak_found = audit.audit_verdict(findings).first()["leak_found"]
 
-    cv = evaluate.cv_summary(model.cross_validate(table, ID, folds, trees), "score").first()
-    split = keep(evaluate.stratified_holdout(table, ID), "split")
-    fitted = model.fit_trees(split.filter("holdout = 0").drop("holdout"), ID, trees)
+    digits = digits_for(table.count())
+    scores = session.staged(model.cross_validate(table, ID, folds, trees), "cv-scores")
+    by_fold = {r["fold"]: r["auc"] for r in evaluate.roc_auc(scores, "score", by=["fold"]).collect()}
+    cv = evaluate.cv_summary(scores, "score").first()
+    split = keep(evaluate.stratified_holdout(table, ID, digits=digits), "split")
+    train = split.filter("holdout = 0").drop("holdout")
+    fitted = model.fit_trees(train, ID, trees, codes=model.label_codes(table))
     fitted.write().overwrite().save(f"{base}/model")
     scored = keep(
         model.score(fitted, split.filter("holdout = 1")).select(ID, TARGET, "score"), "holdout_scores"
     )
     keep(evaluate.classification_report(scored, "score"), "classification_report")
     keep(evaluate.roc_points(scored, "score"), "roc_points")
-    write_csv(summary.top(model.importance(fitted), "importance", "feature", 20), f"{base}/importance_csv")
+    importance = model.importance(fitted)
+    write_csv(importance.orderBy(F.desc("importance"), "feature"), f"{base}/importance_csv")
+    inputs = [r["feature"] for r in importance.select("feature").collect()]
+    explained = explain.permutation_importance(
+        table.select(ID, TARGET, *inputs), ID, inputs, lambda df: model.score(fitted, df), digits=digits
+    )
+    write_csv(explained.orderBy(F.desc("importance"), "feature"), f"{base}/explanation_csv")
 
     gate = evaluate.model_gate(scored, "score", threshold=auc_limit).first()
     precision = evaluate.average_precision(scored, "score").first()["average_precision"]
     metrics = {
         "cv_mean_auc": cv["mean_auc"], "cv_std_auc": cv["std_auc"], "cv_mean_ap": cv["mean_average_precision"],
         "holdout_auc": gate["auc"], "holdout_ap": precision,
+    } | {f"fold_{k + 1}_auc": auc for k, auc in sorted(by_fold.items())}
+    weight = evaluate.class_weight(train).first()["positive_weight"]
+    params = asdict(trees) | {
+        "cv_strategy": f"stratified-{folds}", "pit": pit, "scale_pos_weight": round(weight, 2), "n_features": len(inputs),
+        "trees": fitted.stages[-1].getNumTrees,
     }
-    params = asdict(trees) | {"cv_strategy": f"stratified-{folds}", "pit": pit}
     model.log_run(spark, f"{out_dir}/runs", run_id, params, metrics)
     return Outcome(stored, leak_found, gate["auc"], gate["passed"])

@@ -14,8 +14,7 @@ from ledgerlens.functions import scalars as S
 from ledgerlens.operators import audit, evaluate, explain, features, ingest, model, quality, summary, throttle
 from ledgerlens.operators.ingest import ID
 from ledgerlens.schemas import MANIFEST, SPECS, TARGET
-from ledgerlens.sources import synthetic
-from ledgerlens.sources.fixture_views import APPLICATION_HELPERS, CreditTables
+from ledgerlens.sources.fixture_views import APPLICATION_CUTOFF, APPLICATION_HELPERS, CreditTables
 from ledgerlens.sources.tables import row_counts
 from ledgerlens.streaming import throttle as stream_throttle
 
@@ -31,6 +30,8 @@ ACCEPTED = {
     "region_rating_client": (1, 2, 3),
 }
 EXPLORER_INCOMES = ("BUILDING", "MACHINERY")
+# Small enough to bind at every test scale.
+SAMPLE_ROWS, PAGE_ROWS = 100, 25
 THROTTLE_LIMIT, THROTTLE_WINDOW_S = 2, 86_400
 WEIGHTS = {
     "ext_source_2": -1.5,
@@ -39,8 +40,6 @@ WEIGHTS = {
     "age_years": -0.0625,
     "is_employed": -0.25,
 }
-# Fewer boosting rounds than the default of 1000, at a matching step; every row takes part.
-QUERY_TREES = model.TreeSettings(rounds=10, step=0.1, depth=4)
 
 
 def query(fn: Callable[[CreditTables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -115,9 +114,10 @@ def explorer_rows(t: CreditTables) -> DataFrame:
 
 
 def with_planted_leaks(t: CreditTables) -> DataFrame:
-    """The stored feature table with two columns that leak the target and one constant; the id stays numeric."""
+    """The stored feature table with three columns that leak the target and one constant; the id stays numeric."""
     planted = joined_features(t).withColumns(
         {
+            "leak_offset": F.lit(10**15) + F.col(TARGET) * 100,
             "leak_score": (F.col(TARGET) * 100 + F.col(ID) % 3).cast("double"),
             "leak_null": F.when(F.col(TARGET) == 1, F.lit(1.0)),
             "constant_zero": F.lit(0.0),
@@ -190,7 +190,15 @@ def quality_pass_rate(t):
             quality.failed_rows(history(t, table), quality.not_after_application(dated_columns(table)))
         )
     unique = quality.duplicate_keys(apps, ID).select(F.lit("unique id").alias("rule"), F.col("surplus_rows").alias("failed_rows"))
-    return quality.pass_rate(results.unionByName(unique))
+    return quality.quality_score(results.unionByName(unique), quality.null_profile(apps))
+
+
+@query
+def schema_drift(t):
+    """The application view against a load in which a column is gone, one is new and one has another type."""
+    apps = raw_application(t)
+    changed = apps.drop("own_car_age").withColumns({"cnt_children": F.col("cnt_children").cast("string"), "tenure": F.lit(1)})
+    return quality.schema_drift(apps, changed)
 
 
 @query
@@ -276,15 +284,10 @@ def credit_features(t):
 
 @query
 def pit_join_absolute(t):
-    apps = t.applications()
-    orders = t.source("orders").select(
-        F.col("o_custkey").alias(ID), "o_orderdate", "o_totalprice", F.col("o_orderkey").alias("order_id")
-    )
-    # The application itself is an order of the same customer; it is no history.
-    own = apps.select(F.col("app_orderkey").alias("order_id"))
-    return features.history_known_by(
-        apps.drop("app_orderkey"), orders.join(own, "order_id", "left_anti"), "app_date", "o_orderdate", "o_totalprice"
-    )
+    """Every order as an application, with what was known of its customer's orders the day before."""
+    orders = t.source("orders").select(F.col("o_custkey").alias(ID), "o_orderkey", "o_orderdate", "o_totalprice")
+    apps = orders.filter(f"o_orderdate <= {APPLICATION_CUTOFF}").withColumn("app_date", F.expr("o_orderdate - INTERVAL 1 DAY"))
+    return features.history_known_by(apps, orders, "o_orderkey", "app_date", "o_orderdate", "o_totalprice")
 
 
 # --- Reports ---
@@ -337,12 +340,12 @@ def explorer_options(t):
 
 @query
 def explorer_sample(t):
-    return summary.sample_of(explorer_rows(t))
+    return summary.sample_of(explorer_rows(t), SAMPLE_ROWS)
 
 
 @query
 def explorer_page(t):
-    return summary.page(summary.explore(explorer_rows(t), ["Cash loans"]))
+    return summary.page(summary.explore(explorer_rows(t), ["Cash loans"]), PAGE_ROWS)
 
 
 @query
@@ -471,17 +474,19 @@ def permutation_importance(t):
 def gbt_scores(t):
     rows = session.staged(joined_features(t), "features")
     held = session.staged(evaluate.stratified_holdout(rows, ID), "held")
-    trees = model.fit_trees(held.filter("holdout = 0"), ID, QUERY_TREES)
-    return ingest.hash_ids(model.score(trees, held.filter("holdout = 1")).select(ID, TARGET, "score"))
+    trees = model.fit_trees(held.filter("holdout = 0"), ID, codes=model.label_codes(held))
+    scored = model.score(trees, held.filter("holdout = 1"))
+    return ingest.hash_ids(scored.select(ID, TARGET, F.col("score").between(0, 1).alias("is_probability")))
 
 
 @query
 def gbt_importance(t):
     rows = session.staged(joined_features(t), "features")
-    return summary.top(model.importance(model.fit_trees(rows, ID, QUERY_TREES)), "importance", "feature", 20)
+    found = model.importance(model.fit_trees(rows, ID))
+    return found.select("feature", F.col("importance").between(0, 1).alias("is_share"))
 
 
-# --- Throttling and data generation ---
+# --- Throttling ---
 
 
 @query
@@ -507,26 +512,3 @@ def throttle_stream(t):
     out = session.scratch_path(t.spark, "flagged")
     stream_throttle.write_available(flagged, out, session.scratch_path(t.spark, "stream"))
     return t.spark.read.schema(flagged.schema).parquet(out).select("event_id", "user_id", "accepted")
-
-
-def customers(t: CreditTables) -> DataFrame:
-    return t.source("customer").select(F.col("c_custkey").alias(ID))
-
-
-@query
-def synthetic_applications(t):
-    """One drawn application per customer."""
-    return synthetic.applications(customers(t))
-
-
-@query
-def synthetic_explorer_sample(t):
-    """One ready-made explorer row per customer."""
-    return synthetic.explorer_sample(customers(t))
-
-
-@query
-def synthetic_row_counts(t):
-    """Rows drawn per customer in each table that has any."""
-    drawn = synthetic.all_tables(customers(t))
-    return row_counts({name: drawn[name] for name in ("application_train", "bureau", "previous_application", "installments_payments")})

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,9 +63,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_run_folders: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared checkpoint folder, within the folder of the current run if there is one."""
+    base = _run_folders[-1] if _run_folders else checkpoint_dir(spark)
+    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_scratch(spark: SparkSession) -> Iterator[None]:
+    """Keep a run's intermediate tables in a folder of their own, which is deleted when the run ends."""
+    folder = f"{checkpoint_dir(spark)}/run-{uuid.uuid4().hex}"
+    _run_folders.append(folder)
+    try:
+        yield
+    finally:
+        _run_folders.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,13 +21,20 @@ def read_csv(spark: SparkSession, raw_dir: str, spec: TableSpec) -> DataFrame:
     path = f"{raw_dir}/{spec.name}.csv"
     header = spark.read.csv(path, header=True).columns
     declared = {f.name: f.dataType for f in spec.schema}
-    # A whole number may be written as 3.0 where its column has gaps, so such columns are parsed as doubles first.
+    # A whole number may be written as 3.0 where its column has gaps, so such columns are parsed as doubles first; a
+    # fraction raises.
     parsed = {name: T.DoubleType() if kind == T.IntegerType() else kind for name, kind in declared.items()}
     layout = T.StructType([T.StructField(c, parsed.get(c.lower(), T.StringType())) for c in header])
     rows = spark.read.csv(path, schema=layout, header=True, mode="FAILFAST")
-    return rows.select(
-        *[F.col(f"`{c}`").cast(declared.get(c.lower(), T.StringType())).alias(c.lower()) for c in header]
-    )
+    return rows.select(*[_typed(c, declared.get(c.lower(), T.StringType())).alias(c.lower()) for c in header])
+
+
+def _typed(name: str, kind: T.DataType) -> Column:
+    value = F.col(f"`{name}`")
+    if kind != T.IntegerType():
+        return value.cast(kind)
+    told = F.concat(F.lit(f"{name} holds no whole number: "), value.cast("string"))
+    return F.when(value != F.floor(value), F.raise_error(told).cast(kind)).otherwise(value.cast(kind))
 
 
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:

@@ -1,4 +1,4 @@
-"""Synthetic credit data, drawn per applicant id on the executors."""
+"""Credit data drawn per applicant id, for tests."""
 
 from __future__ import annotations
 
@@ -26,9 +26,6 @@ LOAN_STATES = ("Closed", "Active")
 CREDIT_TYPES = ("Consumer credit", "Credit card")
 DECISIONS = ("Approved", "Refused", "Canceled")
 BUREAU_PER_APPLICANT, LOANS_PER_APPLICANT, INSTALMENTS_PER_LOAN = 3, 2, 5
-SAMPLE_INCOMES = ("Working", "Commercial associate", "Pensioner", "State servant")
-SAMPLE_INCOME_SHARES = (0.52, 0.23, 0.18, 0.07)
-SAMPLE_EDUCATIONS = ("Secondary / secondary special", "Higher education", "Incomplete higher")
 
 
 class Draws:
@@ -189,34 +186,3 @@ def all_tables(ids: DataFrame, seed: int = 42) -> dict[str, DataFrame]:
         "credit_card_balance": empty_table(spark, "credit_card_balance"),
         "pos_cash_balance": empty_table(spark, "pos_cash_balance"),
     }
-
-
-def explorer_sample(ids: DataFrame, seed: int = 123) -> DataFrame:
-    """Ready-made explorer rows with plausible marginals, one per applicant id."""
-    d = Draws(["sk_id_curr"], seed)
-    half_steps = lambda a2, b: _beta_by_halves(d, a2, b)
-    return ids.select("sk_id_curr").withColumns(
-        {
-            "name_contract_type": d.choice(CONTRACTS, (0.9, 0.1)),
-            "amt_credit": F.round(d.lognormal(13.2, 0.6)),
-            "amt_income_total": F.round(d.lognormal(11.7, 0.5)),
-            "credit_income_ratio": F.round(d.lognormal(0.9, 0.5), 3),
-            "name_income_type": d.choice(SAMPLE_INCOMES, SAMPLE_INCOME_SHARES),
-            "name_education_type": d.choice(SAMPLE_EDUCATIONS),
-            "age_years": F.round(d.between(21, 68), 1),
-            "is_employed": d.choice((0, 1), (0.18, 0.82)).cast(T.IntegerType()),
-            "ext_source_2": F.round(d.beta(3, 2), 4),
-            "bureau_debt_ratio": F.round(half_steps(3, 3), 4),
-            "late_payment_rate": F.round(d.beta(1, 8), 4),
-            "target": d.choice((0, 1), (1 - DEFAULT_SHARE, DEFAULT_SHARE)).cast(T.IntegerType()),
-        }
-    )
-
-
-def _beta_by_halves(d: Draws, twice_a: int, b: int) -> Column:
-    """Beta(twice_a / 2, b): half a unit of shape is half a squared normal."""
-    left = sum((-F.log(d.uniform()) for _ in range(twice_a // 2)), F.lit(0.0))
-    if twice_a % 2:
-        left = left + F.pow(d.normal(), F.lit(2.0)) / 2
-    right = sum((-F.log(d.uniform()) for _ in range(b)), F.lit(0.0))
-    return left / (left + right)

@@ -21,7 +21,7 @@ def frame(spark):
 
 
 def test_correlations(frame):
-    report = {r.feature: r for r in audit.correlation_audit(frame, chunk=3).collect()}
+    report = {r.feature: r for r in audit.correlation_audit(frame).collect()}
     assert set(report) == {"sk_id_curr", "constant", "noise", "leak_null", "gaps", "empty", "leak"}
     assert report["leak"].flagged and report["leak"].value > 0.99
     for name in ("constant", "noise", "leak_null", "empty"):
@@ -32,6 +32,13 @@ def test_correlations(frame):
     assert report["gaps"].value == pytest.approx(expected)
 
 
+def test_leaks_in_large_numbers(spark):
+    df = spark.range(200).select((F.col("id") % 10 == 0).cast("int").alias("target"), F.col("id"))
+    leaky = df.withColumns({"whole": F.lit(10**15) + F.col("target") * 100, "real": F.lit(1e15) + F.col("target") * 100.0})
+    report = {r.feature: r for r in audit.correlation_audit(leaky).collect()}
+    assert report["whole"].flagged and report["real"].flagged and report["whole"].value == pytest.approx(1.0)
+
+
 def test_id_check_skips_hashed_ids(frame):
     assert audit.id_audit(frame).count() == 1
     hashed = frame.withColumn("sk_id_curr", F.sha2(F.col("sk_id_curr").cast("string"), 256))

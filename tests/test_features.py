@@ -1,8 +1,10 @@
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerlens.functions import scalars as S
 from ledgerlens.operators import features
 from ledgerlens.plans import queries
 from ledgerlens.schemas import SPECS
@@ -77,15 +79,33 @@ def test_join_keeps_every_application_once(spark, small):
 
 def test_history_known_by(spark):
     day = lambda d: dt.date(2024, 1, d)
-    apps = spark.createDataFrame([(1, day(10)), (2, day(10))], "sk_id_curr long, app_date date")
+    apps = spark.createDataFrame([(1, 11, day(10)), (2, 12, day(10))], "sk_id_curr long, app long, app_date date")
     history = spark.createDataFrame(
         [(1, day(1), 5.0), (1, day(10), 2.0), (1, day(11), 9.0), (2, day(20), 1.0)], "sk_id_curr long, d date, amount double"
     )
-    rows = {r.sk_id_curr: r for r in features.history_known_by(apps, history, "app_date", "d", "amount").collect()}
+    rows = {r.sk_id_curr: r for r in features.history_known_by(apps, history, "app", "app_date", "d", "amount").collect()}
     assert (rows[1].known_count, rows[1].known_amount, rows[1].days_since_last_known) == (2, 7.0, 0)
     assert (rows[2].known_count, rows[2].known_amount, rows[2].days_since_last_known) == (0, None, None)
 
 
+def test_several_applications_of_one_id(spark):
+    day = lambda m, d: dt.date(2024, m, d)
+    apps = spark.createDataFrame([(1, "a", day(1, 10)), (1, "b", day(3, 10)), (1, "c", None)], "sk_id_curr long, app string, app_date date")
+    history = spark.createDataFrame([(1, day(1, 1), 10.0), (1, day(2, 1), 5.0), (1, day(2, 1), 5.0), (1, None, 1.0)],
+                                    "sk_id_curr long, d date, amount double")
+    rows = {r.app: tuple(r)[2:] for r in features.history_known_by(apps, history, "app", "app_date", "d", "amount").collect()}
+    assert rows == {"a": (1, 10.0, 9), "b": (3, 20.0, 38), "c": (0, None, None)}
+
+
+def test_sums_of_large_and_small_amounts(spark):
+    total = lambda values: spark.createDataFrame([(v,) for v in values], "x double").agg(S.exact_sum("x")).first()[0]
+    assert total([5e14, 5e14]) == 1e15
+    assert total([0.00004] * 1000) == pytest.approx(0.04)
+    values = [1e12 / 7, 3.3, -2e11 / 3] * 40
+    assert total(values) == pytest.approx(math.fsum(values), abs=1e-4)
+    assert total([float("nan"), 1.0]) == 1.0
+
+
 def test_one_applicant_with_most_of_the_rows(spark):
     bulk = spark.range(30_000).select(
         F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("sk_id_curr"),

@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators import evaluate, explain, model
 from ledgerlens.session import scratch_path
-from ledgerlens.sources import synthetic
+
+import synthetic
 
 
 def test_labels_are_coded_in_sorted_order(spark):
@@ -53,6 +54,31 @@ def test_trees_learn_save_and_load(spark, rows):
     assert strongest.feature == "ext_source_2"
 
 
+def test_boosting_looks_past_its_best_round(spark, rows):
+    noisy = rows.withColumn("target", F.when(F.xxhash64("sk_id_curr") % 4 == 0, 1 - F.col("target")).otherwise(F.col("target")))
+    settings = model.TreeSettings(rounds=120, step=0.1, depth=2, min_rows=5, patience=20, first_block=40)
+    fitted = model.fit_trees(noisy, "sk_id_curr", settings)
+    kept = fitted.stages[-1].getNumTrees
+    assert 1 < kept <= 120
+    one = model.fit_trees(noisy, "sk_id_curr", model.TreeSettings(rounds=1, depth=2, min_rows=5), early_stop=False)
+    auc = lambda trees: evaluate.roc_auc(model.score(trees, noisy), "score").first().auc
+    assert auc(fitted) >= auc(one)
+
+
+def test_a_saved_model_rejects_new_labels(spark, rows):
+    fitted = model.fit_trees(rows, "sk_id_curr", model.TreeSettings(rounds=1, depth=2, min_rows=5), early_stop=False)
+    path = scratch_path(spark, "model")
+    fitted.write().overwrite().save(path)
+    strange = rows.limit(3).withColumn("name_income_type", F.lit("Lottery"))
+    with pytest.raises(Exception, match="Unseen label"):
+        model.score(PipelineModel.load(path), strange).collect()
+    known = model.fit_trees(
+        rows, "sk_id_curr", model.TreeSettings(rounds=1, depth=2, min_rows=5), early_stop=False,
+        codes=model.label_codes(rows.unionByName(strange)),
+    )
+    assert model.score(known, strange).count() == 3
+
+
 def test_cross_validation_scores_every_row_once(rows):
     scored = model.cross_validate(rows, "sk_id_curr", 2, model.TreeSettings(rounds=1, depth=2, min_rows=5))
     assert scored.count() == 400 and scored.select("sk_id_curr").distinct().count() == 400

@@ -1,9 +1,15 @@
+import os
+
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlens.operators import quality
+from ledgerlens import __main__ as commands
 from ledgerlens.operators.model import TreeSettings
 from ledgerlens.plans import pipeline
-from ledgerlens.sources import synthetic
+from ledgerlens.session import checkpoint_dir
+
+import synthetic
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +23,8 @@ def raw_dir(spark, tmp_path_factory):
 def test_full_run(spark, raw_dir, tmp_path):
     settings = TreeSettings(rounds=2, step=0.3, depth=2, min_rows=5)
     outcome = pipeline.run(spark, str(raw_dir), str(tmp_path), "r1", settings, auc_limit=0.0, folds=2)
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    assert not [name for name in os.listdir(folder) if name.startswith("run-")]
     assert outcome.passed and 0 <= outcome.auc <= 1
     table = outcome.tables["credit_features"]
     assert table.count() == 300 and len(table.first().sk_id_curr) == 128
@@ -27,6 +35,22 @@ def test_full_run(spark, raw_dir, tmp_path):
     assert log["rounds"] == "2" and float(log["holdout_auc"]) == pytest.approx(outcome.auc, abs=1e-4)
     assert outcome.tables["holdout_scores"].count() < 75
     assert (tmp_path / "r1" / "model").exists()
+    folds = [float(log[f"fold_{k}_auc"]) for k in (1, 2)]
+    assert sum(folds) / 2 == pytest.approx(float(log["cv_mean_auc"]), abs=1e-4)
+    assert float(log["scale_pos_weight"]) > 1 and int(log["n_features"]) == len(csv_rows(tmp_path / "r1" / "importance_csv"))
+    shown = csv_rows(tmp_path / "r1" / "explanation_csv")
+    assert len(shown) == int(log["n_features"])
+    features, stored = str(tmp_path / "r1" / "credit_features"), str(tmp_path / "r1" / "model")
+    assert commands.main(["gate", stored, features, "--limit", "0.0"]) == 0
+    assert commands.main(["gate", stored, features, "--limit", "1.1"]) == 1
+    assert commands.main(["audit", features]) == int(outcome.leak_found)
+    leaky = spark.read.parquet(features).withColumn("leak", F.col("target") * 2)
+    leaky.write.parquet(str(tmp_path / "leaky"))
+    assert commands.main(["audit", str(tmp_path / "leaky")]) == 1
+
+
+def csv_rows(folder):
+    return next(folder.glob("part-*.csv")).read_text().splitlines()[1:]
 
 
 def test_a_missing_column_stops_the_run(spark, raw_dir, tmp_path):
