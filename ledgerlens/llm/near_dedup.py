@@ -9,9 +9,9 @@ meet in some node; ``trees`` independent trees of two branches at the root bring
 ``leaf`` sets are compared exhaustively. Sketches only propose pairs; every link is confirmed on the full sets.
 
 A larger node is first compared with one of its sets. Sets known to be connected need no further comparison with each
-other, so a node of one connected group is done, and a node of which all but a few belong to one group ends by comparing
-those few with every set of the node. Only other nodes branch on. What has not come apart after ``levels`` levels is
-compared exhaustively in blocks, so no candidate is ever dropped for the size of its node.
+other, so a node of one connected group is done, and a node of which all but ``few`` belong to one group ends by comparing
+those with every set of the node. Only other nodes branch on. What has not come apart after ``levels`` levels is compared
+exhaustively in blocks, so no candidate is ever dropped for the size of its node.
 
 * Words are runs without the six ASCII blanks, A-Z lower-cased. A text of fewer words than a shingle is one shingle of
   all its words; a missing text, and one without words, has the empty set and is linked with nothing.
@@ -43,6 +43,8 @@ class Settings:
     positions: int = 64
     trees: int = 8
     leaf: int = 64
+    #: A larger node ends once at most so many of its sets are outside its largest connected group.
+    few: int = 1024
     block: int = 256
     levels: int = 24
     #: Sketches propose a pair down to so far below the threshold: four standard errors of an estimate.
@@ -188,11 +190,10 @@ def confirmed(pairs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
 def connected(links: DataFrame) -> DataFrame:
     """(uid, root) for every linked number, the root being the smallest reachable: large and small stars in turn.
 
-    Every round writes its table, so lineage does not grow; only a count and a checksum come to the driver.
+    Every round writes its table, so lineage does not grow; only one count comes to the driver.
     """
     edges = staged(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
-    state = None
-    while True:
+    while not _only_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         # Larger neighbours move to the smallest number around.
@@ -201,14 +202,44 @@ def connected(links: DataFrame) -> DataFrame:
         low = moved.groupBy("u").agg(F.min("v").alias("m"))
         edges = moved.join(low, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
         edges = staged(edges.filter("u > v").distinct(), "links")
-        now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if now == state:
-            break
-        state = now
     roots = edges.select(F.col("u").alias("uid"), F.col("v").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("uid"), "root")).distinct()
 
 
+def _only_stars(edges: DataFrame) -> bool:
+    """Whether every number has one smaller neighbour at most, which has none itself."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("root")).unionByName(
+        edges.select(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("root"))
+    )
+    per = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("root").alias("root"))
+    return per.filter("up + root > 1").isEmpty()
+
+
+def _rooted(pairs: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """(a, b, root_a, root_b) of the pairs that are not known to be connected."""
+    if roots is None:
+        return pairs.select("a", "b", F.col("a").alias("root_a"), F.col("b").alias("root_b"))
+    side = lambda c: roots.select(F.col("uid").alias(c), F.col("root").alias(f"root_{c}"))
+    both = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    return both.select(
+        "a", "b", F.coalesce("root_a", "a").alias("root_a"), F.coalesce("root_b", "b").alias("root_b")
+    ).filter("root_a <> root_b")
+
+
+def _extended(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """The roots after more links: only the roots that the links connect are looked at again."""
+    if roots is None:
+        return staged(connected(links), "roots")
+    fresh = staged(_rooted(links, roots), "new-links")
+    if fresh.isEmpty():
+        return roots
+    top = connected(fresh.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+    moved = top.select(F.col("uid").alias("root"), F.col("root").alias("new"))
+    known = roots.join(moved, "root", "left").select("uid", F.coalesce("new", "root").alias("root"))
+    added = top.join(roots.select("uid"), "uid", "left_anti")
+    return staged(known.unionByName(added), "roots")
+
+
 # --- The join ---
 
 
@@ -257,7 +288,7 @@ def grouped(docs: DataFrame, s: Settings = Settings(), doc_id: str = "doc_id", t
         full.groupBy("set").agg(F.min(rank).alias("first"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")),
         "sets",
     )
-    roots = connected(_links(docs, sets, s, doc_id, text)).join(sets.select("uid", "set", "first"), "uid")
+    roots = _joined(docs, sets, s, doc_id, text).join(sets.select("uid", "set", "first"), "uid")
     smallest = roots.groupBy("root").agg(F.min("first").alias("smallest"))
     linked = roots.join(smallest, "root").select("set", "smallest")
     own = sets.select("set", "first").join(linked, "set", "left")
@@ -272,10 +303,10 @@ def row_key(doc_id: str, text: str) -> Column:
     return F.md5(F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.coalesce(F.col(text), F.lit(""))))
 
 
-def _links(docs: DataFrame, sets: DataFrame, s: Settings, doc_id: str, text: str) -> DataFrame:
-    """The confirmed links (a, b) between sets that connect every group."""
+def _joined(docs: DataFrame, sets: DataFrame, s: Settings, doc_id: str, text: str) -> DataFrame:
+    """(uid, root) of all sets with a confirmed link, the root naming the connected group."""
     sketches = sets.select("uid", "sketch")
-    proposed, links, full = [], [], None
+    proposed, roots, full = [], None, None
     frontier = _roots(sketches, s)
     for level in range(s.levels + 1):
         nodes = _populated(frontier, level)
@@ -285,20 +316,21 @@ def _links(docs: DataFrame, sets: DataFrame, s: Settings, doc_id: str, text: str
             break
         large = staged(big.join(sketches, "uid"), "large")
         pivots = large.filter("uid = pivot").select("node", F.lit(0).alias("part"), "uid", "sketch")
-        stars = staged(_node_pairs(large, pivots, s).distinct(), "pairs")
+        stars = staged(_rooted(_node_pairs(large, pivots, s).distinct(), roots).select("a", "b"), "pairs")
         if full is None:
-            wanted = union([nodes.filter(F.col("n") > s.leaf).select("uid"), *[_ends(p) for p in proposed]]).distinct()
+            wanted = union([big.select("uid"), *[_ends(p) for p in proposed]]).distinct()
             full = _stored_sets(docs, sets.join(wanted, "uid"), s, doc_id, text)
-        links.append(staged(confirmed(stars, full, s), "links"))
-        few, rest = _unconnected(large, connected(union(links)), s, last=level == s.levels)
+        roots = _extended(roots, confirmed(stars, full, s))
+        few, rest = _unconnected(large, roots, s, last=level == s.levels)
         proposed.append(staged(_node_pairs(large, few, s).distinct(), "pairs"))
-        if level == s.levels:
+        if rest is None or rest.isEmpty():
             break
-        frontier = staged(_next_nodes(large.join(rest, "node", "left_semi"), s), "frontier")
-    pairs = union(proposed).distinct()
+        frontier = staged(_next_nodes(large.join(rest.distinct(), "node", "left_semi"), s), "frontier")
+    pairs = _rooted(union(proposed).distinct(), roots).select("a", "b")
     if full is None:
+        pairs = staged(pairs, "pairs")
         full = _stored_sets(docs, sets.join(_ends(pairs).distinct(), "uid"), s, doc_id, text)
-    return union([*links, confirmed(pairs, full, s)])
+    return _extended(roots, confirmed(pairs, full, s))
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -312,15 +344,15 @@ def _stored_sets(docs: DataFrame, wanted: DataFrame, s: Settings, doc_id: str, t
     return staged(found.select("uid", "n", _full_sets(s)("text").alias("hashes")), "full-sets")
 
 
-def _unconnected(large: DataFrame, roots: DataFrame, s: Settings, last: bool) -> tuple[DataFrame, DataFrame]:
-    """The sets of a node outside its pivot's group: those of nodes with few of them, and the nodes with more."""
-    root = lambda c: roots.select(F.col("uid").alias(c), F.col("root").alias(f"root_{c}"))
-    labelled = large.join(root("uid"), "uid", "left").join(root("pivot"), "pivot", "left")
-    outside = staged(
-        labelled.filter(F.coalesce("root_uid", "uid") != F.coalesce("root_pivot", "pivot")).select("node", "uid", "sketch"), "outside"
-    )
-    counts = outside.groupBy("node").agg(F.count("*").alias("outside"))
-    parts = F.ceil(F.col("outside") / s.leaf)
-    few = counts if last else counts.filter(F.col("outside") <= s.leaf)
-    few = outside.join(few, "node").select("node", F.pmod(F.xxhash64("uid"), parts).alias("part"), "uid", "sketch")
-    return few, counts.filter(F.col("outside") > s.leaf).select("node")
+def _unconnected(large: DataFrame, roots: DataFrame, s: Settings, last: bool) -> tuple[DataFrame, DataFrame | None]:
+    """The sets of a node outside its largest connected group: those of nodes with few of them, and the nodes with more."""
+    labelled = large.join(roots, "uid", "left").withColumn("root", F.coalesce("root", "uid"))
+    sizes = labelled.groupBy("node", "root").agg(F.count("*").alias("size"))
+    largest = sizes.groupBy("node").agg(
+        F.max_by("root", F.struct("size", "root")).alias("main"), (F.sum("size") - F.max("size")).alias("outside")
+    ).filter("outside > 0")
+    outside = staged(labelled.join(largest, "node").filter("root <> main").select("node", "uid", "sketch", "outside"), "outside")
+    some = outside if last else outside.filter(F.col("outside") <= s.few)
+    part = F.pmod(F.xxhash64("uid"), F.ceil(F.col("outside") / s.leaf))
+    rest = None if last else outside.filter(F.col("outside") > s.few).select("node")
+    return some.select("node", part.alias("part"), "uid", "sketch"), rest
