@@ -43,6 +43,8 @@ class Rule:
 @dataclass(frozen=True)
 class Settings:
     least_support: float = 0.005
+    #: In small samples, a combination must also occur so often.
+    least_count: int = 5
     least_confidence: float = 0.8
     most_labelled: int = 50_000
     most_items: int = 10
@@ -101,7 +103,7 @@ def mined(urls: DataFrame, s: Settings = Settings()) -> DataFrame:
     """(antecedent, verdict, confidence, support, token) from rows (url, label allow or block); token is the rarest."""
     schema = "antecedent array<string>, verdict string, confidence double, support double, token string"
     sample = staged(_labelled(urls, s), "labelled")
-    rate = sample.agg(F.avg(F.col("blocked").cast("int"))).first()[0]
+    rate, n = sample.agg(F.avg(F.col("blocked").cast("int")), F.count("*")).first()
     if rate is None:
         return sample.sparkSession.createDataFrame([], schema)
     each = sample.select("url", "blocked", F.explode("tokens").alias("token"))
@@ -114,7 +116,8 @@ def mined(urls: DataFrame, s: Settings = Settings()) -> DataFrame:
     items = ranked.select(
         F.array_append(F.transform(F.slice("best", 1, s.most_items), lambda x: x["token"]), label).alias("items")
     )
-    model = FPGrowth(itemsCol="items", minSupport=s.least_support, minConfidence=s.least_confidence).fit(items)
+    support = min(1.0, max(s.least_support, s.least_count / n))
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=s.least_confidence).fit(items)
     found = model.associationRules.filter(F.element_at("consequent", 1).startswith(CLASS) & (F.col("lift") > 1))
     rules = staged(
         found.select(
