@@ -38,29 +38,36 @@ SELECT doc_id, size, source_size, target,
 FROM rated
 """
 
+def _places(n: int) -> str:
+    """Every run of n words of a document, if some item's window has n words."""
+    return f"""
+  SELECT doc_id, {n} AS n, pos,
+         string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND {n - 1} FOLLOWING) AS words
+  FROM words WHERE {n} IN (SELECT n FROM windows) QUALIFY pos + {n} - 1 <= size"""
+
+
 DECONTAMINATE = r"""
 WITH d AS (
   SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
   FROM documents
 ), i AS (
-  SELECT item_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  SELECT item_id, row_number() OVER () AS item,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
   FROM benchmark
 ), sized AS (SELECT *, least(13, len(w)) AS n FROM i WHERE len(w) > 0
 ), starts AS (SELECT *, unnest(range(1, len(w) - n + 2)) AS pos FROM sized
 ), windows AS (SELECT DISTINCT item_id, n, array_to_string(w[pos:pos + n - 1], ' ') AS words FROM starts
-), places AS (
-  SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS pos FROM d, (SELECT DISTINCT n FROM windows)
+), words AS (SELECT doc_id, len(w) AS size, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM d
+), places AS (""" + " UNION ALL ".join(_places(n) for n in range(1, 14)) + r"""
 ), found AS (
-  SELECT doc_id, pos, p.n, item_id
-  FROM (SELECT doc_id, n, pos, array_to_string(w[pos:pos + n - 1], ' ') AS words FROM places) p
-  JOIN windows x ON p.n = x.n AND p.words = x.words
+  SELECT doc_id, pos, p.n, item_id FROM places p JOIN windows x ON p.n = x.n AND p.words = x.words
 ), hit AS (
   SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + n)) AS word FROM found) GROUP BY doc_id
 ), items AS (
   SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
-  FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id
+  FROM (SELECT DISTINCT doc_id, item_id FROM found WHERE item_id IS NOT NULL) GROUP BY doc_id
 )
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256,
@@ -68,6 +75,7 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN items ON d.doc_id = items.doc_id
 """
 
+
 def _windows(n: int) -> str:
     """The words of windows of n words that occur twice or more in their text."""
     return f"""
