@@ -25,7 +25,7 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def bounded_batches(spark: SparkSession, limit: str = "16m") -> None:
+def bounded_batches(spark: SparkSession, limit: str = "4m") -> None:
     """Bound the bytes of an Arrow batch, so that a run of very long texts does not fill a Python worker.
 
     A bound that the session already has is kept.

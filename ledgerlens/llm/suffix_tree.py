@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import lower_words_of, numbered
+from ledgerlens.llm.common import lower_words_of, numbered, slices
 from ledgerlens.session import staged
 
 #: No word holds a blank, so these keys are free.
@@ -45,7 +45,9 @@ class Settings:
     smoothing: float = 8.0
     #: What an unseen symbol counts.
     prior: float = 0.1
-    batch_words: int = 2_000_000
+    #: Bounds what a task holds at a time: distinct symbols or keys counted so far, and codes in arrays.
+    held_keys: int = 400_000
+    run_codes: int = 400_000
 
 
 def _symbols(text: str | None) -> list[bytes]:
@@ -65,7 +67,7 @@ def _counted(settings: Settings):
             for text in batch["text"]:
                 for symbol in _symbols(text):
                     seen[symbol] = seen.get(symbol, 0) + 1
-                if len(seen) >= settings.batch_words:
+                if len(seen) >= settings.held_keys:
                     yield pd.DataFrame({"symbol": list(seen), "n": list(seen.values())})
                     seen = {}
         yield pd.DataFrame({"symbol": list(seen), "n": np.array(list(seen.values()), np.int64)})
@@ -230,6 +232,13 @@ def _joined(batch: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return codes, text, np.concatenate([[True], text[1:] != text[:-1]])[: len(codes)]
 
 
+def _runs(batch: pd.Series, most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The texts of a batch in runs of about so many codes, or one text."""
+    frame = batch.to_frame("codes")
+    for run in slices(frame, batch.map(len).to_numpy(np.int64), most):
+        yield _joined(run["codes"])
+
+
 def _next_counts(coded: DataFrame, tree: dict, settings: Settings) -> DataFrame:
     """(key, n): how often each numbered symbol follows each of the deepest contexts."""
     sent = coded.sparkSession.sparkContext.broadcast(tree)
@@ -241,15 +250,15 @@ def _next_counts(coded: DataFrame, tree: dict, settings: Settings) -> DataFrame:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys, ns, held = [], [], 0
         for batch in batches:
-            codes, _, first = _joined(batch["codes"])
-            context = _contexts(sent.value, codes, first)[-1]
-            use = (context >= 0) & (codes >= 0)
-            found, n = np.unique(_key(sent.value, context[use], codes[use]), return_counts=True)
-            keys, ns, held = [*keys, found], [*ns, n], held + len(found)
-            if held >= settings.batch_words:
-                found, n = merged(keys, ns)
-                yield pd.DataFrame({"key": found, "n": n})
-                keys, ns, held = [], [], 0
+            for codes, _, first in _runs(batch["codes"], settings.run_codes):
+                context = _contexts(sent.value, codes, first)[-1]
+                use = (context >= 0) & (codes >= 0)
+                found, n = np.unique(_key(sent.value, context[use], codes[use]), return_counts=True)
+                keys, ns, held = [*keys, found], [*ns, n], held + len(found)
+                if held >= settings.held_keys:
+                    found, n = merged(keys, ns)
+                    yield pd.DataFrame({"key": found, "n": n})
+                    keys, ns, held = [], [], 0
         if keys:
             found, n = merged(keys, ns)
             yield pd.DataFrame({"key": found, "n": n})
@@ -280,22 +289,23 @@ def _grown(coded: DataFrame, log_root: np.ndarray, counts: np.ndarray, end: int,
 # --- Scores ---
 
 
-def _scorer(tree):
+def _scorer(tree, settings: Settings):
     fields = "n_tokens bigint, n_numbered bigint, root_log double, tree_log double"
 
     @F.pandas_udf(fields)
     def score(batch: pd.Series) -> pd.DataFrame:
-        t = tree.value
-        codes, text, first = _joined(batch)
-        state = _state(t, _contexts(t, codes, first), len(codes))
-        numbered_ = codes >= 0
-        root = np.zeros(len(codes))
-        root[numbered_] = t["log_root"][codes[numbered_]]
-        per_text = lambda values: np.bincount(text, values, len(batch))
-        return pd.DataFrame({
-            "n_tokens": np.bincount(text, minlength=len(batch)), "n_numbered": per_text(numbered_).astype(np.int64),
-            "root_log": per_text(root), "tree_log": per_text(_log_probability(t, state, codes)),
-        })
+        t, parts = tree.value, []
+        for codes, text, first in _runs(batch, settings.run_codes):
+            state = _state(t, _contexts(t, codes, first), len(codes))
+            numbered_ = codes >= 0
+            root = np.zeros(len(codes))
+            root[numbered_] = t["log_root"][codes[numbered_]]
+            # Every text has its end, so none is missing here.
+            parts.append(pd.DataFrame({
+                "n_tokens": np.bincount(text), "n_numbered": np.bincount(text, numbered_).astype(np.int64),
+                "root_log": np.bincount(text, root), "tree_log": np.bincount(text, _log_probability(t, state, codes)),
+            }))
+        return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=[f.split()[0] for f in fields.split(", ")])
 
     return score
 
@@ -322,7 +332,7 @@ def scored(
     code = _coder(spark.sparkContext.broadcast(numbers))
     coded = numbered(rows.select("doc_id", "is_training", code("text").alias("c")).select("doc_id", "is_training", "c.*"), "coded")
     tree = _grown(coded.filter("is_training"), log_root, n, numbers.get(END, -1), total, settings)
-    own = coded.select("uid", "doc_id", "is_training", _scorer(spark.sparkContext.broadcast(tree))("codes").alias("s"))
+    own = coded.select("uid", "doc_id", "is_training", _scorer(spark.sparkContext.broadcast(tree), settings)("codes").alias("s"))
     rare = coded.select("uid", F.explode("rare").alias("r")).select("uid", "r.symbol", F.col("r.n").alias("times"))
     seen = rare.join(counts, "symbol", "left")
     share = F.log10((F.coalesce("n", F.lit(0)) + settings.prior) / divisor)
