@@ -59,8 +59,8 @@ def clean_application(raw: DataFrame, salt: str | None = None, **options) -> Dat
     return hash_ids(prepare_application(raw, **options), salt)
 
 
-def known_by_application(df: DataFrame, mode: str = "strict", spec: TableSpec | None = None) -> DataFrame:
-    """Keep rows that were known when the applicant applied.
+def known_rule(df: DataFrame, mode: str = "strict", spec: TableSpec | None = None) -> Column:
+    """Whether a row was known when the applicant applied.
 
     ``strict`` wants every ``days_*`` column at or before day 0 and drops rows where one is NULL. ``observed`` looks at
     the columns that date the observation itself, so a loan that ends in the future stays.
@@ -72,7 +72,12 @@ def known_by_application(df: DataFrame, mode: str = "strict", spec: TableSpec |
         rules += [F.col(c).isNull() | (F.col(c) <= 0) for c in spec.known_if_set]
     else:
         raise ValueError("mode is 'strict', or 'observed' with a table spec")
-    return df.filter(S.all_of(rules)) if rules else df
+    return S.all_of(rules) if rules else F.lit(True)
+
+
+def known_by_application(df: DataFrame, mode: str = "strict", spec: TableSpec | None = None) -> DataFrame:
+    """Keep the rows that were known when the applicant applied."""
+    return df.filter(known_rule(df, mode, spec))
 
 
 def prepare_history(raw: DataFrame, table: str, mode: str = "strict") -> DataFrame:

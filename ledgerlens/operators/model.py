@@ -66,7 +66,7 @@ class TreeSettings:
     column_share: float = 0.8
     min_rows: int = 50
     patience: int = 50
-    first_block: int = 100
+    first_block: int = 64
     seed: int = SEED
 
 

@@ -387,14 +387,15 @@ ORACLES["explorer_page"] = (
 
 
 def corr(column: str, source: str, check: str) -> str:
-    x = f"CAST({column} AS DOUBLE)"
+    # Distances from the smallest value, so that large numbers lose no digits.
+    x = f"CAST({column} - (SELECT MIN({column}) FROM {source}) AS DOUBLE)"
     value = f"corr({x}, CAST(target AS DOUBLE))"
     # Only floating point has a spread that is nothing but rounding.
-    noise = f"CAST(1e-15 AS DOUBLE) * GREATEST(abs(MAX({x})), abs(MIN({x})))"
+    noise = f"CAST(1e-15 AS DOUBLE) * GREATEST(abs(CAST(MAX({column}) AS DOUBLE)), abs(CAST(MIN({column}) AS DOUBLE)))"
     noise = f"CASE WHEN any_value(typeof({column})) IN ('DOUBLE', 'FLOAT') THEN {noise} ELSE 0 END"
     return (
         f"SELECT '{check}' AS \"check\", '{column}' AS feature, abs(CASE WHEN isnan({value}) THEN NULL "
-        f"WHEN MAX({x}) - MIN({x}) > {noise} THEN {value} END) AS value FROM {source}"
+        f"WHEN MAX({x}) > {noise} THEN {value} END) AS value FROM {source}"
     )
 
 
@@ -589,7 +590,11 @@ WITH RECURSIVE numbered_events AS (
 )
 SELECT event_id, user_id, accepted FROM walk"""
 
-ORACLES["throttle_stream"] = ORACLES["throttle_sliding_log"]
+# The watermark ends a delivery and the largest lateness behind the last event.
+ORACLES["throttle_stream"] = ORACLES["throttle_sliding_log"] + f"""
+WHERE event_id IN (
+  SELECT event_id FROM events, (SELECT MIN(epoch_ms(ts)) AS lo, MAX(epoch_ms(ts)) AS hi FROM events)
+  WHERE epoch_ms(ts) < hi - ((hi // 1000 - lo // 1000 + {q.LATEST_S}) // {q.DELIVERIES} + 1 + {q.LATEST_S}) * 1000)"""
 USED = [*NUMERIC_FEATURES, *CATEGORICAL_FEATURES]
 ORACLES["gbt_scores"] = f"""
 SELECT {HASH.replace("sk_id_curr", "f.sk_id_curr")} AS sk_id_curr, f.target, TRUE AS is_probability

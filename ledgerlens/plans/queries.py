@@ -86,8 +86,9 @@ def history(t: CreditTables, table: str, mode: str = "strict") -> DataFrame:
 
 
 def joined_features(t: CreditTables) -> DataFrame:
+    t.share_orders()
     return features.credit_features(
-        ingest.prepare_application(raw_application(t)),
+        ingest.prepare_application(session.staged(raw_application(t), "application")),
         features.bureau_features(history(t, "bureau"), history(t, "bureau_balance")),
         features.payment_features(history(t, "installments_payments")),
         features.previous_features(history(t, "previous_application")),
@@ -131,6 +132,7 @@ def with_planted_leaks(t: CreditTables) -> DataFrame:
 
 @query
 def ingest_row_counts(t):
+    t.share_orders()
     return row_counts({spec.name: t[spec.name] for spec in MANIFEST})
 
 
@@ -172,17 +174,26 @@ def dated_columns(table: str) -> list[str]:
 @query
 def pit_audit(t):
     """Rows dated after the application, per date column, before and after the point-in-time filter."""
+    t.share_orders()
     frames = []
     for table in ("bureau", "previous_application", "installments_payments"):
-        rules = quality.not_after_application(dated_columns(table))
-        before = quality.failed_rows(t[table], rules).withColumnRenamed("failed_rows", "raw_rows_after")
-        after = quality.failed_rows(history(t, table), rules).withColumnRenamed("failed_rows", "clean_rows_after")
-        frames.append(before.join(after, "rule").select(F.lit(table).alias("table_name"), "*"))
+        raw = t[table]
+        after = quality.not_after_application(dated_columns(table))
+        known = ingest.known_rule(raw, "strict", SPECS[table])
+        counted = quality.failed_rows(raw, after | {f"known {rule}": known & broken for rule, broken in after.items()})
+        is_known = F.col("rule").startswith("known ")
+        frames.append(
+            counted.groupBy(F.regexp_replace("rule", "^known ", "").alias("rule")).agg(
+                F.max(F.when(~is_known, F.col("failed_rows"))).alias("raw_rows_after"),
+                F.max(F.when(is_known, F.col("failed_rows"))).alias("clean_rows_after"),
+            ).select(F.lit(table).alias("table_name"), "*")
+        )
     return union(frames)
 
 
 @query
 def quality_pass_rate(t):
+    t.share_orders()
     apps = raw_application(t)
     results = quality.failed_rows(apps, quality.accepted_values(ACCEPTED))
     for table in ("bureau", "previous_application", "installments_payments"):
@@ -502,12 +513,32 @@ def throttle_sliding_log(t):
     return flagged.select("event_id", "user_id", "accepted")
 
 
+# Events arrive up to so many seconds late, in this many deliveries.
+LATEST_S, DELIVERIES = 3_600, 4
+
+
 @query
 def throttle_stream(t):
-    """The same decisions taken by a stream over the events file."""
-    events = stream_throttle.read_events(t.spark, t.sf_dir, t.source("events").schema, "events.parquet")
+    """The same decisions taken by a stream over deliveries whose order is not that of time.
+
+    The watermark stays a delivery and the largest lateness behind; events that it has not passed are undecided.
+    """
+    events = t.source("events")
+    late = F.pmod(F.xxhash64("event_id"), F.lit(LATEST_S))
+    second = F.unix_seconds(F.col("ts").cast("timestamp"))
+    first, last = events.agg(F.min(second), F.max(second)).first()
+    span = (last - first + LATEST_S) // DELIVERIES + 1
+    arrivals = events.withColumn("arrival", second + late)
+    folder = session.scratch_path(t.spark, "deliveries")
+    for k in range(DELIVERIES):
+        delivered = arrivals.filter(F.floor((F.col("arrival") - first) / span) == k)
+        delivered.drop("arrival").write.mode("append").parquet(folder)
+    files = len(t.spark.read.schema(events.schema).parquet(folder).inputFiles())
+    stream = stream_throttle.read_events(
+        t.spark, folder, events.schema, "*.parquet", batch_files=max(1, files // DELIVERIES)
+    )
     flagged = stream_throttle.throttle_stream(
-        events, "user_id", "ts", "event_id", THROTTLE_LIMIT, THROTTLE_WINDOW_S
+        stream, "user_id", "ts", "event_id", THROTTLE_LIMIT, THROTTLE_WINDOW_S, f"{span + LATEST_S} seconds"
     )
     out = session.scratch_path(t.spark, "flagged")
     stream_throttle.write_available(flagged, out, session.scratch_path(t.spark, "stream"))

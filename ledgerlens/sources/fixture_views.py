@@ -124,7 +124,7 @@ VIEWS = {
         "JOIN nation n ON n.n_nationkey = c.c_nationkey",
     ),
     "bureau": (BUREAU, _OTHER_ORDERS),
-    "bureau_balance": (BUREAU_BALANCE, "lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey"),
+    "bureau_balance": (BUREAU_BALANCE, "lineitem l"),
     "previous_application": (PREVIOUS_APPLICATION, _OTHER_ORDERS),
     "installments_payments": (INSTALLMENTS_PAYMENTS, _LINES_OF_APPLICANT),
     "credit_card_balance": (CREDIT_CARD_BALANCE, _HISTORY_OF_APPLICANT),
@@ -156,6 +156,7 @@ class CreditTables:
         self._sources: dict[str, DataFrame] = {}
         self._views: dict[str, DataFrame] = {}
         self._applications: DataFrame | None = None
+        self._shared: DataFrame | None = None
 
     def source(self, name: str) -> DataFrame:
         if name not in self._sources:
@@ -192,7 +193,21 @@ class CreditTables:
             self._applications = staged(keys, "applications")
         return self._applications
 
+    def share_orders(self) -> None:
+        """Store the orders of applicants, for queries that read several histories: their join then runs once."""
+        if self._shared is None:
+            joined = self._orders_of_applicants()
+            self._shared = staged(
+                joined.select(
+                    F.struct("o.o_orderkey", "o.o_orderdate", "o.o_orderstatus", "o.o_orderpriority", "o.o_totalprice").alias("o"),
+                    F.struct("a.sk_id_curr", *[f"a.{c}" for c in APPLICATION_HELPERS]).alias("a"),
+                ),
+                "orders-of-applicants",
+            )
+
     def _orders_of_applicants(self) -> DataFrame:
+        if self._shared is not None:
+            return self._shared
         applicants = self.applications().alias("a")
         return self.source("orders").alias("o").join(applicants, F.expr("a.sk_id_curr = o.o_custkey"))
 
@@ -200,9 +215,7 @@ class CreditTables:
         return self._orders_of_applicants().filter("o.o_orderkey <> a.app_orderkey")
 
     def _bureau_balance(self) -> DataFrame:
-        return self.source("lineitem").alias("l").join(
-            self.source("orders").alias("o"), F.expr("o.o_orderkey = l.l_orderkey")
-        )
+        return self.source("lineitem").alias("l")
 
     def _previous_application(self) -> DataFrame:
         return self._bureau()

@@ -19,62 +19,103 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 
 class SlidingLog(StatefulProcessor):
-    """Accept events of one key while fewer than ``limit`` accepted ones are younger than the window."""
+    """Accept events of one key while fewer than ``limit`` accepted ones are younger than the window.
 
-    def __init__(self, limit: int, window: int):
+    Events wait until the watermark has passed them, so that every earlier one has arrived, and are then judged in time
+    order. A timer lies on every moment that has an event waiting, and where none waits on the moment the log runs out;
+    then the key leaves the state.
+    """
+
+    def __init__(self, limit: int, window: int, tie: str):
         self.limit = limit
         self.window = window
+        self.tie = tie
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.log = handle.getValueState("log", "stamps array<long>")
+        self.waiting = handle.getListState("waiting", f"t long, tie {self.tie}")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values(["t", "tie"], ignore_index=True)
+        batch = pd.concat(list(rows))
+        self.waiting.appendList(list(zip(batch["t"].tolist(), batch["tie"].tolist(), strict=True)))
+        for moment in sorted(set((batch["t"] // 1000).tolist())):
+            self.handle.registerTimer(moment)
+        yield pd.DataFrame({"key": [], "t": [], "tie": [], "accepted": []}).astype({"t": "int64", "accepted": "bool"})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = max(expiredTimerInfo.getExpiryTimeInMs() + 1, timerValues.getCurrentWatermarkInMs())
+        events = sorted(tuple(e) for e in self.waiting.get()) if self.waiting.exists() else []
+        due = [e for e in events if e[0] // 1000 < passed]
+        left = events[len(due):]
         log = deque(self.log.get()[0] if self.log.exists() else ())
-        flags = accept(batch["t"].tolist(), log, self.limit, self.window)
-        self.log.update((list(log),))
-        yield batch.assign(accepted=flags)[["key", "t", "tie", "accepted"]]
+        flags = accept([t for t, _ in due], log, self.limit, self.window)
+        if due:
+            self.waiting.clear()
+            if left:
+                self.waiting.put(left)
+        ends = (log[-1] + self.window) // 1000 if log else passed
+        if left or ends >= passed:
+            self.log.update((list(log),))
+            if due and not left:
+                self.handle.registerTimer(ends)
+        else:
+            self.log.clear()
+            self.waiting.clear()
+        frame = pd.DataFrame({"t": [t for t, _ in due], "tie": [tie for _, tie in due], "accepted": flags})
+        frame.insert(0, "key", [key[0]] * len(due))
+        yield frame.astype({"t": "int64", "accepted": "bool"})
 
     def close(self) -> None:
         pass
 
 
 def throttle_stream(
-    events: DataFrame, key: str, ts: str, tie: str, limit: int = 20, window_s: int = 60
+    events: DataFrame, key: str, ts: str, tie: str, limit: int = 20, window_s: int = 60, delay: str = "1 minute"
 ) -> DataFrame:
-    """Flag every event of a stream. A micro-batch is taken in time order; batches in the order they arrive.
+    """Flag every event of a stream once the watermark, ``delay`` behind the newest event, has passed it.
 
-    The session must use the RocksDB state store. Bound the size of a micro-batch at the source, as a key's events of
-    one batch are sorted together.
+    The answer is that of the batch limiter however events are split and ordered within the delay. An event that arrives
+    behind the watermark is not judged; the engine counts it (``numRowsDroppedByWatermark``). Idle keys leave the state.
+    The session must use the RocksDB state store.
     """
+    moment = F.col(ts).cast("timestamp")
     shaped = events.select(
-        F.col(key).alias("key"), F.unix_micros(F.col(ts).cast("timestamp")).alias("t"), F.col(tie).alias("tie")
-    )
+        F.col(key).alias("key"), F.unix_micros(moment).alias("t"), F.col(tie).alias("tie"), moment.alias("at")
+    ).withWatermark("at", delay)
     kinds = {f.name: f.dataType.simpleString() for f in shaped.schema}
     flagged = shaped.groupBy("key").transformWithStateInPandas(
-        statefulProcessor=SlidingLog(limit, window_s * MICROS),
+        statefulProcessor=SlidingLog(limit, window_s * MICROS, kinds["tie"]),
         outputStructType=f"key {kinds['key']}, t long, tie {kinds['tie']}, accepted boolean",
         outputMode="Append",
-        timeMode="None",
+        timeMode="EventTime",
     )
     return flagged.withColumnsRenamed({"key": key, "tie": tie})
 
 
-def read_events(spark: SparkSession, folder: str, schema: StructType, pattern: str, batch_bytes: int = 256 << 20) -> DataFrame:
-    """Parquet files of a folder as a stream whose micro-batches are bounded in size."""
+def read_events(
+    spark: SparkSession, folder: str, schema: StructType, pattern: str, batch_bytes: int = 256 << 20, batch_files: int | None = None
+) -> DataFrame:
+    """Parquet files of a folder as a stream whose micro-batches are bounded in bytes, or in files where that is given."""
     reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
-    return reader.option("maxBytesPerTrigger", str(batch_bytes)).parquet(folder)
+    bound = ("maxBytesPerTrigger", batch_bytes) if batch_files is None else ("maxFilesPerTrigger", batch_files)
+    return reader.option(bound[0], str(bound[1])).parquet(folder)
 
 
 def write_available(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Process what is there, append it to Parquet and stop. A restart continues where the checkpoint ends."""
-    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    query = (
-        stream.writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start(path)
-    )
-    query.awaitTermination()
+    conf, name = stream.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    before = conf.get(name, None)
+    conf.set(name, ROCKSDB)
+    try:
+        query = (
+            stream.writeStream.format("parquet")
+            .option("checkpointLocation", checkpoint)
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start(path)
+        )
+        query.awaitTermination()
+    finally:
+        conf.set(name, before) if before else conf.unset(name)
     return query

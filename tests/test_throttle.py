@@ -68,16 +68,38 @@ def test_trailing_counts(spark):
         assert r.requests == rows.count((r.user_id, s))
 
 
-def test_stream_in_several_batches(spark):
-    rows = sorted(workload(3, 4, 300, 3000), key=lambda r: r[1])
+def delivered(spark, rows, parts):
+    """A folder with the rows in so many files, in the order given; and their schema."""
     frame = events(spark, rows)
     folder = scratch_path(spark, "arrivals").removeprefix("file:")
-    for part in range(3):
-        frame.filter(F.col("event_id").between(part * 100, part * 100 + 99)).coalesce(1).write.mode("append").parquet(folder)
-    stream = streaming.read_events(spark, folder, frame.schema, "*.parquet", batch_bytes=1)
-    flagged = streaming.throttle_stream(stream, "user_id", "ts", "event_id", 3, 60)
+    size = -(-len(rows) // parts)
+    for k in range(parts):
+        frame.filter(F.col("event_id").between(k * size, k * size + size - 1)).coalesce(1).write.mode("append").parquet(folder)
+    return folder, frame.schema
+
+
+def streamed(spark, folder, schema, delay):
+    stream = streaming.read_events(spark, folder, schema, "*.parquet", batch_bytes=1)
+    flagged = streaming.throttle_stream(stream, "user_id", "ts", "event_id", 3, 60, delay)
     out = scratch_path(spark, "flagged")
     query = streaming.write_available(flagged, out, scratch_path(spark, "stream"))
+    return {r.event_id: r.accepted for r in spark.read.schema(flagged.schema).parquet(out).collect()}, query
+
+
+def test_stream_out_of_order_agrees_with_batch(spark):
+    rng = random.Random(4)
+    rows = sorted(workload(3, 4, 300, 3000), key=lambda r: r[1] + rng.randrange(200))
+    got, query = streamed(spark, *delivered(spark, rows, 3), "200 seconds")
     assert len([p for p in query.recentProgress if p["numInputRows"]]) == 3
-    got = {r.event_id: r.accepted for r in spark.read.parquet(out).collect()}
-    assert got == brute_force(rows, 3, 60)
+    end = max(s for _, s in rows) - 200
+    expected = {i: ok for i, ok in brute_force(rows, 3, 60).items() if rows[i][1] < end}
+    assert got == expected and len(got) > 200
+
+
+def test_idle_keys_leave_the_state_and_late_events_are_counted(spark):
+    rows = [(k, k) for k in range(20)] + [(99, 5000)] + [(99, 9000), (3, 10)]
+    got, query = streamed(spark, *delivered(spark, rows, 23), "10 seconds")
+    assert got == {i: True for i in range(21)}
+    last = [p for p in query.recentProgress if p["stateOperators"]]
+    assert sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in last) == 1
+    assert last[-1]["stateOperators"][0]["numRowsTotal"] < 10
