@@ -8,9 +8,10 @@ chosen by the path that led there, 1/similarity of them on average, so that a pa
 meet in some node; ``trees`` independent trees of two branches at the root bring the recall to its target. Nodes of at most
 ``leaf`` sets are compared exhaustively. Sketches only propose pairs; every link is confirmed on the full sets.
 
-A larger node is first compared with one of its sets. Sets known to be connected need no further comparison with each
-other, so a node of one connected group is done, and a node of which all but ``few`` belong to one group ends by comparing
-those with every set of the node. Only other nodes branch on. What has not come apart after ``levels`` levels is compared
+Sets known to be connected need no further comparison with each other. So a small node first proposes the most alike
+pairs that span it, a larger one pairs with one of its sets; once those are confirmed, only pairs between different
+connected groups are left to propose. A larger node of which all but ``few`` sets belong to one group ends by comparing
+those with every set of the node; only other nodes branch on. What has not come apart after ``levels`` levels is compared
 exhaustively in blocks, so no candidate is ever dropped for the size of its node.
 
 * Words are runs without the six ASCII blanks, A-Z lower-cased. A text of fewer words than a shingle is one shingle of
@@ -40,15 +41,15 @@ PAIRS = "array<struct<a:bigint,b:bigint>>"
 class Settings:
     shingle: int = 5
     percent: int = 80
-    positions: int = 64
-    trees: int = 8
+    positions: int = 128
+    trees: int = 6
     leaf: int = 64
     #: A larger node ends once at most so many of its sets are outside its largest connected group.
     few: int = 1024
     block: int = 256
     levels: int = 24
     #: Sketches propose a pair down to so far below the threshold: four standard errors of an estimate.
-    slack: float = 0.2
+    slack: float = 0.13
     batch_chars: int = 4_000_000
     seed: int = 41
 
@@ -131,21 +132,46 @@ def _full_sets(s: Settings):
 # --- Comparing sketches within a node ---
 
 
-def _proposer(s: Settings):
+def _spanning(order: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[int]:
+    """Of pairs between groups, taken in the given order, those that join what is not yet joined."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.get(x, x)) != x:
+            root[x] = root.get(up, up)
+            x = up
+        return x
+
+    kept = []
+    for k in order.tolist():
+        x, y = find(int(a[k])), find(int(b[k]))
+        if x != y:
+            root[x] = y
+            kept.append(k)
+    return kept
+
+
+def _proposer(s: Settings, spanning: bool):
     least = int((s.percent / 100 - s.slack) * s.positions)
 
     @F.pandas_udf(PAIRS)
-    def propose(ids: pd.Series, sketches: pd.Series, other_ids: pd.Series, other_sketches: pd.Series) -> pd.Series:
-        """Pairs of a set here and another there whose sketches agree often enough."""
+    def propose(
+        ids: pd.Series, roots: pd.Series, sketches: pd.Series, few: pd.Series, few_roots: pd.Series, few_sketches: pd.Series
+    ) -> pd.Series:
+        """Pairs of different groups whose sketches agree often enough; if ``spanning``, only the most alike that span them."""
         found = []
-        for a, x, b, y in zip(ids, sketches, other_ids, other_sketches, strict=True):
+        for a, ra, x, b, rb, y in zip(ids, roots, sketches, few, few_roots, few_sketches, strict=True):
+            a, ra, b, rb = map(np.asarray, (a, ra, b, rb))
             left = np.frombuffer(b"".join(x), np.uint32).reshape(len(a), -1)
             right = np.frombuffer(b"".join(y), np.uint32).reshape(len(b), -1)
             alike = np.zeros((len(a), len(b)), np.int16)
-            for i in range(s.positions):
-                alike += left[:, i, None] == right[None, :, i]
-            i, j = np.nonzero((alike >= least) & (np.asarray(a)[:, None] != np.asarray(b)[None, :]))
-            pairs = {(min(u, v), max(u, v)) for u, v in zip(np.asarray(a)[i].tolist(), np.asarray(b)[j].tolist(), strict=True)}
+            for k in range(s.positions):
+                alike += left[:, k, None] == right[None, :, k]
+            i, j = np.nonzero((alike >= least) & (ra[:, None] != rb[None, :]))
+            if spanning:
+                kept = _spanning(np.argsort(-alike[i, j], kind="stable"), ra[i], rb[j])
+                i, j = i[kept], j[kept]
+            pairs = set(zip(np.minimum(a[i], b[j]).tolist(), np.maximum(a[i], b[j]).tolist(), strict=True))
             found.append([{"a": u, "b": v} for u, v in pairs])
         return pd.Series(found, dtype=object)
 
@@ -156,22 +182,36 @@ def _pairs(rows: DataFrame, proposed: Column) -> DataFrame:
     return rows.select(F.explode(proposed).alias("p")).select("p.a", "p.b")
 
 
-def _leaf_pairs(leaves: DataFrame, sketches: DataFrame, s: Settings) -> DataFrame:
-    """All pairs of each small node whose sketches agree; nodes of the same sets are compared once."""
+def _listed(rows: DataFrame, *by: str, names: tuple[str, str, str] = ("ids", "roots", "sketches")) -> DataFrame:
+    """The members of each unit as three lists."""
+    lists = zip(("uid", "root", "sketch"), names, strict=True)
+    return rows.groupBy(*by).agg(*[F.collect_list(c).alias(name) for c, name in lists])
+
+
+def _leaf_pairs(leaves: DataFrame, sketches: DataFrame, roots: DataFrame | None, s: Settings) -> DataFrame:
+    """Pairs of each small node; nodes of the same sets are compared once. Spanning pairs at first, all that is open later."""
     members = leaves.groupBy("node").agg(F.sort_array(F.collect_list("uid")).alias("ids")).select("ids").distinct()
     one = members.select(F.xxhash64("ids").alias("group"), F.explode("ids").alias("uid")).join(sketches, "uid")
-    groups = one.groupBy("group").agg(F.collect_list("uid").alias("ids"), F.collect_list("sketch").alias("sketches"))
-    return _pairs(groups, _proposer(s)("ids", "sketches", "ids", "sketches"))
+    units = _listed(_with_roots(one, roots), "group")
+    if roots is not None:
+        units = units.filter(F.size(F.array_distinct("roots")) > 1)
+    three = ("ids", "roots", "sketches")
+    return _pairs(units, _proposer(s, spanning=roots is None)(*three, *three))
 
 
-def _node_pairs(large: DataFrame, few: DataFrame, s: Settings) -> DataFrame:
-    """Each of a node's few (node, part, uid, sketch) against all its sets, in blocks of bounded size."""
+def _with_roots(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
+    if roots is None:
+        return rows.withColumn("root", F.col("uid"))
+    return rows.join(roots, "uid", "left").withColumn("root", F.coalesce("root", "uid"))
+
+
+def _node_pairs(members: DataFrame, few: DataFrame, s: Settings) -> DataFrame:
+    """Each of a node's few (node, part, uid, root, sketch) against all its sets, in blocks of bounded size."""
     block = F.pmod(F.xxhash64("uid"), F.ceil(F.col("n") / s.block))
-    blocks = large.groupBy("node", block.alias("block")).agg(
-        F.collect_list("uid").alias("ids"), F.collect_list("sketch").alias("sketches")
-    )
-    some = few.groupBy("node", "part").agg(F.collect_list("uid").alias("few"), F.collect_list("sketch").alias("few_sketches"))
-    return _pairs(blocks.join(some, "node"), _proposer(s)("ids", "sketches", "few", "few_sketches"))
+    blocks = _listed(members.withColumn("block", block), "node", "block")
+    names = ("few", "few_roots", "few_sketches")
+    units = blocks.join(_listed(few, "node", "part", names=names), "node")
+    return _pairs(units, _proposer(s, spanning=False)("ids", "roots", "sketches", *names))
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
@@ -187,14 +227,23 @@ def confirmed(pairs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
 # --- Connected groups ---
 
 
+#: Rows of the graph that a task takes at least; smaller tables need no shuffle.
+GRAPH_ROWS = 100_000
+
+
 def connected(links: DataFrame) -> DataFrame:
     """(uid, root) for every linked number, the root being the smallest reachable: large and small stars in turn.
 
-    Every round writes its table, so lineage does not grow; only one count comes to the driver.
+    Every round writes its table, so lineage does not grow; only two counts come to the driver.
     """
     edges = staged(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
-    while not _only_stars(edges):
+    while True:
+        entangled, n = _entangled(edges)
+        edges = edges.coalesce(-(-n // GRAPH_ROWS) or 1)
+        if not entangled:
+            break
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = both.coalesce(-(-n // GRAPH_ROWS))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         # Larger neighbours move to the smallest number around.
         moved = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -206,13 +255,14 @@ def connected(links: DataFrame) -> DataFrame:
     return roots.unionByName(roots.select(F.col("root").alias("uid"), "root")).distinct()
 
 
-def _only_stars(edges: DataFrame) -> bool:
-    """Whether every number has one smaller neighbour at most, which has none itself."""
+def _entangled(edges: DataFrame) -> tuple[int, int]:
+    """How many numbers have more than one smaller neighbour, or one and are one themselves; and how many edges there are."""
     ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("root")).unionByName(
         edges.select(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("root"))
     )
     per = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("root").alias("root"))
-    return per.filter("up + root > 1").isEmpty()
+    row = per.agg(F.count_if(F.col("up") + F.col("root") > 1), F.coalesce(F.sum("up"), F.lit(0))).first()
+    return row[0], row[1]
 
 
 def _rooted(pairs: DataFrame, roots: DataFrame | None) -> DataFrame:
@@ -230,7 +280,7 @@ def _extended(roots: DataFrame | None, links: DataFrame) -> DataFrame:
     """The roots after more links: only the roots that the links connect are looked at again."""
     if roots is None:
         return staged(connected(links), "roots")
-    fresh = staged(_rooted(links, roots), "new-links")
+    fresh = staged(_rooted(links, roots).distinct(), "new-links")
     if fresh.isEmpty():
         return roots
     top = connected(fresh.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
@@ -310,27 +360,25 @@ def _joined(docs: DataFrame, sets: DataFrame, s: Settings, doc_id: str, text: st
     frontier = _roots(sketches, s)
     for level in range(s.levels + 1):
         nodes = _populated(frontier, level)
-        proposed.append(staged(_leaf_pairs(nodes.filter(F.col("n") <= s.leaf), sketches, s).distinct(), "pairs"))
-        big = nodes.filter(F.col("n") > s.leaf)
-        if big.isEmpty():
-            break
-        large = staged(big.join(sketches, "uid"), "large")
-        pivots = large.filter("uid = pivot").select("node", F.lit(0).alias("part"), "uid", "sketch")
-        stars = staged(_rooted(_node_pairs(large, pivots, s).distinct(), roots).select("a", "b"), "pairs")
+        leaves, large = nodes.filter(F.col("n") <= s.leaf), nodes.filter(F.col("n") > s.leaf).join(sketches, "uid")
+        pivots = F.col("uid") == F.col("pivot")
+        rooted = _with_roots(large, roots)
+        stars = _node_pairs(rooted, rooted.filter(pivots).withColumn("part", F.lit(0)), s)
+        first = staged(_leaf_pairs(leaves, sketches, None, s).unionByName(stars).distinct(), "pairs")
         if full is None:
-            wanted = union([big.select("uid"), *[_ends(p) for p in proposed]]).distinct()
+            # Whatever a later pair holds is in a first pair, or in a large node.
+            wanted = union([nodes.filter(F.col("n") > s.leaf).select("uid"), _ends(first)]).distinct()
             full = _stored_sets(docs, sets.join(wanted, "uid"), s, doc_id, text)
-        roots = _extended(roots, confirmed(stars, full, s))
-        few, rest = _unconnected(large, roots, s, last=level == s.levels)
-        proposed.append(staged(_node_pairs(large, few, s).distinct(), "pairs"))
+        open_ = _rooted(first, roots).select("a", "b")
+        roots = _extended(roots, confirmed(open_, full, s))
+        labelled = _with_roots(large, roots)
+        few, rest = _unconnected(labelled, s, last=level == s.levels)
+        later = _leaf_pairs(leaves, sketches, roots, s).unionByName(_node_pairs(labelled, few, s))
+        proposed.append(staged(later.distinct().join(first, ["a", "b"], "left_anti"), "pairs"))
         if rest is None or rest.isEmpty():
             break
         frontier = staged(_next_nodes(large.join(rest.distinct(), "node", "left_semi"), s), "frontier")
-    pairs = _rooted(union(proposed).distinct(), roots).select("a", "b")
-    if full is None:
-        pairs = staged(pairs, "pairs")
-        full = _stored_sets(docs, sets.join(_ends(pairs).distinct(), "uid"), s, doc_id, text)
-    return _extended(roots, confirmed(pairs, full, s))
+    return _extended(roots, confirmed(_rooted(union(proposed).distinct(), roots).select("a", "b"), full, s))
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -344,15 +392,16 @@ def _stored_sets(docs: DataFrame, wanted: DataFrame, s: Settings, doc_id: str, t
     return staged(found.select("uid", "n", _full_sets(s)("text").alias("hashes")), "full-sets")
 
 
-def _unconnected(large: DataFrame, roots: DataFrame, s: Settings, last: bool) -> tuple[DataFrame, DataFrame | None]:
+def _unconnected(labelled: DataFrame, s: Settings, last: bool) -> tuple[DataFrame, DataFrame | None]:
     """The sets of a node outside its largest connected group: those of nodes with few of them, and the nodes with more."""
-    labelled = large.join(roots, "uid", "left").withColumn("root", F.coalesce("root", "uid"))
     sizes = labelled.groupBy("node", "root").agg(F.count("*").alias("size"))
     largest = sizes.groupBy("node").agg(
         F.max_by("root", F.struct("size", "root")).alias("main"), (F.sum("size") - F.max("size")).alias("outside")
     ).filter("outside > 0")
-    outside = staged(labelled.join(largest, "node").filter("root <> main").select("node", "uid", "sketch", "outside"), "outside")
+    outside = staged(
+        labelled.join(largest, "node").filter("root <> main").select("node", "uid", "root", "sketch", "outside"), "outside"
+    )
     some = outside if last else outside.filter(F.col("outside") <= s.few)
     part = F.pmod(F.xxhash64("uid"), F.ceil(F.col("outside") / s.leaf))
     rest = None if last else outside.filter(F.col("outside") > s.few).select("node")
-    return some.select("node", part.alias("part"), "uid", "sketch"), rest
+    return some.select("node", part.alias("part"), "uid", "root", "sketch"), rest
