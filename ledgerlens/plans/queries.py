@@ -521,7 +521,8 @@ LATEST_S, DELIVERIES = 3_600, 4
 def throttle_stream(t):
     """The same decisions taken by a stream over deliveries whose order is not that of time.
 
-    The watermark stays a delivery and the largest lateness behind; events that it has not passed are undecided.
+    The watermark stays a delivery and the largest lateness behind. A closing delivery, read after all others, takes it past
+    every event.
     """
     events = t.source("events")
     late = F.pmod(F.xxhash64("event_id"), F.lit(LATEST_S))
@@ -537,9 +538,16 @@ def throttle_stream(t):
     stream = stream_throttle.read_events(
         t.spark, folder, events.schema, "*.parquet", batch_files=max(1, files // DELIVERIES)
     )
+    delay = span + LATEST_S
     flagged = stream_throttle.throttle_stream(
-        stream, "user_id", "ts", "event_id", THROTTLE_LIMIT, THROTTLE_WINDOW_S, f"{span + LATEST_S} seconds"
+        stream, "user_id", "ts", "event_id", THROTTLE_LIMIT, THROTTLE_WINDOW_S, f"{delay} seconds"
     )
-    out = session.scratch_path(t.spark, "flagged")
-    stream_throttle.write_available(flagged, out, session.scratch_path(t.spark, "stream"))
+    out, checkpoint = session.scratch_path(t.spark, "flagged"), session.scratch_path(t.spark, "stream")
+    stream_throttle.write_available(flagged, out, checkpoint)
+    # One event, later than the last by more than the delay and the window. The watermark stays behind it, so it is never
+    # judged itself, and it is too late to count for any other of its key.
+    end = F.col("ts") + F.make_dt_interval(secs=F.lit(delay + THROTTLE_WINDOW_S + 1))
+    closing = events.orderBy(F.col("ts").desc()).limit(1).withColumn("ts", end.cast(events.schema["ts"].dataType))
+    closing.write.mode("append").parquet(folder)
+    stream_throttle.write_available(flagged, out, checkpoint)
     return t.spark.read.schema(flagged.schema).parquet(out).select("event_id", "user_id", "accepted")

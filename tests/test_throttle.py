@@ -2,10 +2,13 @@ import datetime as dt
 import random
 from collections import deque
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import throttle
+from ledgerlens.plans.oracle import ORACLES
+from ledgerlens.plans.queries import QUERIES
 from ledgerlens.session import scratch_path
 from ledgerlens.streaming import throttle as streaming
 
@@ -103,3 +106,11 @@ def test_idle_keys_leave_the_state_and_late_events_are_counted(spark):
     last = [p for p in query.recentProgress if p["stateOperators"]]
     assert sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in last) == 1
     assert last[-1]["stateOperators"][0]["numRowsTotal"] < 10
+
+
+def test_the_stream_query_judges_every_event(spark, small):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{small}/events.parquet'")
+    expected = sorted(con.execute(ORACLES["throttle_sliding_log"]).fetchall())
+    got = sorted((r.event_id, r.user_id, r.accepted) for r in QUERIES["throttle_stream"](spark, small).collect())
+    assert got == expected and len(got) == 1000
