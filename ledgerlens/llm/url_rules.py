@@ -6,9 +6,10 @@ rule's rarest token to the rule finds the rules of a URL, and the most confident
 
 * Different URLs count once, in mining and in matching, so copies of a URL cost nothing. Of several labels for a URL the
   most frequent one counts, ties block.
-* Fitting takes at most ``most_labelled`` labelled URLs, those with the smallest hash, and of each the ``most_items``
-  tokens that tell most about the label. That bounds the miner: at most 2**most_items / support combinations. Matching
-  reads every token of every URL.
+* Fitting takes at most ``most_labelled`` labelled URLs, those with the smallest hash, with every token of each; support
+  alone bounds the miner. Tokens that the same URLs have are mined as one, and a rule of theirs holds for each of them.
+  Tokens of every URL are left out: a rule with one is never more confident than the same without. Matching reads every
+  token of every URL.
 * A missing URL, or one without ``://``, has no host, path or tokens, fits no rule and is allowed; so is a URL that no rule
   decides, and every URL where nothing is labelled. Repeated rows get equal verdicts. Extra columns are kept.
 """
@@ -47,7 +48,6 @@ class Settings:
     least_count: int = 5
     least_confidence: float = 0.8
     most_labelled: int = 50_000
-    most_items: int = 10
 
 
 def _after_scheme(url: Column) -> Column:
@@ -106,16 +106,21 @@ def mined(urls: DataFrame, s: Settings = Settings()) -> DataFrame:
     rate, n = sample.agg(F.avg(F.col("blocked").cast("int")), F.count("*")).first()
     if rate is None:
         return sample.sparkSession.createDataFrame([], schema)
-    each = sample.select("url", "blocked", F.explode("tokens").alias("token"))
-    counts = each.groupBy("token").agg(F.count("*").alias("n"), F.avg(F.col("blocked").cast("int")).alias("share"))
-    telling = F.abs(F.col("share") - F.lit(rate)) * F.sqrt("n")
-    ranked = each.join(counts, "token").groupBy("url", "blocked").agg(
-        F.array_sort(F.collect_list(F.struct((-telling).alias("rank"), "token"))).alias("best")
+    each = sample.select("url", F.explode("tokens").alias("token"))
+    counts = staged(
+        each.groupBy("token").agg(
+            F.count("*").alias("n"), F.bit_xor(F.xxhash64("url")).alias("mark"), F.bit_xor(F.xxhash64("url", F.lit(1))).alias("mark2")
+        ),
+        "tokens",
     )
-    label = F.concat(F.lit(CLASS), F.when(F.col("blocked"), BLOCK).otherwise(ALLOW))
-    items = ranked.select(
-        F.array_append(F.transform(F.slice("best", 1, s.most_items), lambda x: x["token"]), label).alias("items")
+    # A token of every URL tells nothing, alone or beside others. Of tokens that the same URLs have, one is mined.
+    alike = counts.filter(F.col("n") < n).groupBy("n", "mark", "mark2").agg(
+        F.min("token").alias("item"), F.sort_array(F.collect_list("token")).alias("tokens")
     )
+    of_url = each.join(alike.select(F.col("item").alias("token")), "token").groupBy("url").agg(F.collect_list("token").alias("found"))
+    label = F.concat(F.lit(CLASS), F.when(F.col("blocked"), BLOCK).otherwise(ALLOW))
+    none = F.array().cast("array<string>")
+    items = sample.join(of_url, "url", "left").select(F.array_append(F.coalesce("found", none), label).alias("items"))
     support = min(1.0, max(s.least_support, s.least_count / n))
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=s.least_confidence).fit(items)
     found = model.associationRules.filter(F.element_at("consequent", 1).startswith(CLASS) & (F.col("lift") > 1))
@@ -133,11 +138,24 @@ def mined(urls: DataFrame, s: Settings = Settings()) -> DataFrame:
     parts = rules.select(F.col("antecedent").alias("part"), "verdict", F.col("confidence").alias("part_confidence"))
     needless = shorter.join(parts, ["part", "verdict"]).filter("part_confidence >= confidence").select("antecedent", "verdict")
     pruned = rules.join(needless, ["antecedent", "verdict"], "left_anti")
-    by_token = pruned.withColumn("token", F.explode("antecedent")).join(counts.select("token", "n"), "token")
+    by_token = _spelled(pruned, alike).withColumn("token", F.explode("antecedent")).join(counts.select("token", "n"), "token")
     rarest = by_token.groupBy("antecedent", "verdict", "confidence", "support").agg(F.min(F.struct("n", "token")).alias("rare"))
     return staged(rarest.select("antecedent", "verdict", "confidence", "support", "rare.token"), "rules")
 
 
+def _spelled(rules: DataFrame, alike: DataFrame) -> DataFrame:
+    """The rules in every spelling: each item of an antecedent stands for any one of the tokens that the same URLs have."""
+    each = rules.withColumn("item", F.explode("antecedent")).join(alike.select("item", "tokens"), "item")
+    lists = each.groupBy("antecedent", "verdict", "confidence", "support").agg(F.collect_list("tokens").alias("lists"))
+    longer = lambda found, tokens: F.flatten(
+        F.transform(found, lambda part: F.transform(tokens, lambda token: F.array_append(part, token)))
+    )
+    spellings = F.aggregate("lists", F.array(F.array().cast("array<string>")), longer)
+    return lists.select(F.explode(spellings).alias("spelling"), "verdict", "confidence", "support").select(
+        F.array_sort("spelling").alias("antecedent"), "verdict", "confidence", "support"
+    )
+
+
 def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """(url, verdict, confidence, antecedent) for the different URLs that some mined rule fits."""
     once = urls.select("url").distinct().withColumn("tokens", tokens(F.col("url")))

@@ -5,6 +5,7 @@ import re
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerlens.llm import personal, url_rules
@@ -99,3 +100,22 @@ def test_rules_are_found_by_index(spark):
     assert {tuple(r.antecedent) for r in rules.collect()} == {("first=de",), ("first=fr",), ("path=de",), ("path=fr",)}
     new = spark.createDataFrame([("http://other.test/de/x",), ("http://other.test/it/x",), (None,)], "url string")
     assert {r.url: r.verdict for r in url_rules.matched(new, rules).collect()} == {"http://other.test/de/x": "block"}
+
+
+def test_rules_count_every_token_of_a_url(spark):
+    rows = []
+    for i in range(400):
+        x, y = i % 2, i // 2 % 2
+        # Ten keys that agree with the label three times in five, and two that tell it together and nothing alone.
+        noise = [f"f{j}{(x == y) ^ ((i // 4 + j) % 5 < 2):d}" for j in range(10)]
+        rows.append((f"http://h.test/p/{i}?" + "&".join([*noise, f"x{x}", f"y{y}"]), "block" if x == y else "allow"))
+    df = spark.createDataFrame(rows, "url string, label string")
+    rules = url_rules.mined(df, url_rules.Settings(least_support=0.2)).collect()
+    found = {tuple(r.antecedent): r.verdict for r in rules}
+    assert found[("key=x0", "key=y0")] == found[("key=x1", "key=y1")] == "block"
+    assert found[("key=x0", "key=y1")] == found[("key=x1", "key=y0")] == "allow"
+    sets = {r.url: set(r.t) for r in df.select("url", url_rules.tokens(F.col("url")).alias("t")).collect()}
+    for r in rules:
+        labels = [label for url, label in rows if sets[url] >= set(r.antecedent)]
+        assert abs(labels.count(r.verdict) / len(labels) - r.confidence) < 1e-9
+        assert abs(labels.count(r.verdict) / len(rows) - r.support) < 1e-9
