@@ -1,16 +1,16 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
 Symbols are the words of a text and one end. A node of the tree is a context of one to ``depth`` words with a distribution
-of the next symbol. A context is a candidate if it makes up a share of the training words, and is retained if its
+of the next symbol. A context is a candidate if it occurs twice, in a corpus of any size, and is retained if its
 distribution diverges from that of its longest retained suffix by a likelihood-ratio test. A text is scored symbol by
 symbol in the state of the longest retained context.
 
 * Smoothing: a counted next symbol has (n + k P(symbol | parent)) / (n(context) + k); the others share what is left in
   proportion to the parent's distribution, down to the smoothed counts of single symbols. Every distribution adds up to 1.
-* Counts cover all training texts. A context's next symbols are counted one by one where the pair makes up
-  ``entry_share`` of the training words, and as one class otherwise. So there are at most 1 / entry_share words that can be
-  next symbols, and as many entries for each depth: the tree has a proven bound at any input size and is broadcast. Words
-  below that share are never hot; their counts, a table that grows with the corpus, are joined.
+* Counts cover all training texts. A context's next symbols are counted one by one where the pair occurs twice, and as one
+  class otherwise. So what is learned from a passage does not depend on how much else there is, and the tree grows with
+  the corpus; it passes through the driver and is broadcast. Words that occur once are never hot; their counts, a table,
+  are joined.
 * Words are runs without the six ASCII blanks, A-Z lower-cased. A missing text counts as empty: it has the end only.
   Without training texts every symbol is unknown and has the smoothed share of one unseen symbol. Repeated rows get equal
   scores. Extra columns are not read.
@@ -38,8 +38,12 @@ LONG = 48
 @dataclass(frozen=True)
 class Settings:
     depth: int = 3
-    context_share: float = 1e-4
-    entry_share: float = 1e-6
+    #: How often a context, and a next symbol that is counted, must occur.
+    least_context: int = 2
+    least_entry: int = 2
+    #: Shares of the training words that they must make up besides; with these the tree is bounded, but not whole.
+    context_share: float = 0.0
+    entry_share: float = 0.0
     #: A context is kept if its occurrences times its divergence in nats reach this.
     least_gain: float = 12.0
     smoothing: float = 8.0
@@ -269,7 +273,7 @@ def _next_counts(coded: DataFrame, tree: dict, settings: Settings) -> DataFrame:
 def _grown(coded: DataFrame, log_root: np.ndarray, counts: np.ndarray, end: int, total: int, s: Settings) -> dict:
     """The tree, depth after depth. Candidates come from the counts before, so no context is counted in vain."""
     tree = _empty_tree(log_root)
-    least_context, least_entry = max(2.0, s.context_share * total), max(2.0, s.entry_share * total)
+    least_context, least_entry = max(s.least_context, s.context_share * total), max(s.least_entry, s.entry_share * total)
     width = len(log_root)
     symbols = np.flatnonzero((counts >= least_context) & (np.arange(width) != end))
     contexts, totals = np.full(len(symbols), -1, np.int64), counts[symbols]
@@ -278,8 +282,11 @@ def _grown(coded: DataFrame, log_root: np.ndarray, counts: np.ndarray, end: int,
             break
         first_new = len(tree["parent"])
         tree = _extended(tree, contexts, symbols)
-        found = _next_counts(coded, tree, s).filter(F.col("n") >= least_entry).toPandas().sort_values("key")
-        keys, n = found["key"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
+        # As Arrow columns: rows of Python objects would take many times the memory.
+        found = _next_counts(coded, tree, s).filter(F.col("n") >= least_entry).toArrow()
+        keys, n = found["key"].to_numpy(), found["n"].to_numpy()
+        order = np.argsort(keys)
+        keys, n = keys[order], n[order]
         _deeper(tree, keys, n, totals, first_new, s)
         deeper = (n >= least_context) & (keys % width != end)
         contexts, symbols, totals = keys[deeper] // width - 1, keys[deeper] % width, n[deeper]
@@ -323,10 +330,9 @@ def scored(
     total, distinct = counts.agg(F.sum("n"), F.count("*")).first()
     total = total or 0
     divisor = total + settings.prior * (distinct + 1)
-    least = max(2.0, settings.entry_share * total)
-    # At most 1 / entry_share words.
-    frequent = counts.filter((F.col("n") >= least) | (F.col("symbol") == F.lit(END))).toPandas()
-    names, n = [bytes(b) for b in frequent["symbol"]], frequent["n"].to_numpy(np.int64)
+    least = max(settings.least_entry, settings.entry_share * total)
+    frequent = counts.filter((F.col("n") >= least) | (F.col("symbol") == F.lit(END))).toArrow()
+    names, n = frequent["symbol"].to_pylist(), frequent["n"].to_numpy()
     numbers = {name: i for i, name in enumerate(names)}
     log_root = np.log10((n + settings.prior) / divisor)
     code = _coder(spark.sparkContext.broadcast(numbers))

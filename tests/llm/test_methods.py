@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerlens.llm import decontaminate, near_dedup, personal, repetition, secrets, suffix_tree
@@ -164,6 +165,16 @@ def test_suffix_tree_distributions_add_up(spark):
         assert math.isclose((10 ** log[1:]).sum() + 10 ** log[0] * outside, 1, rel_tol=1e-9)
 
 
+@pytest.mark.parametrize("others", [10, 300])
+def test_suffix_tree_learns_a_passage_in_a_corpus_of_any_size(spark, others):
+    rng = random.Random(8)
+    passage = "the fox saw nine old crows"
+    texts = [passage] * 20 + [" ".join(f"w{rng.randrange(50)}" for _ in range(1000)) for _ in range(others)]
+    df = spark.createDataFrame([*enumerate(texts), (-1, passage)], "doc_id long, text string")
+    row = suffix_tree.scored(df, F.col("doc_id") >= 0).filter("doc_id = -1").first()
+    assert row.score - row.base_score > 5
+
+
 KEY = "Xk29fLq8ZpW3vN7tYb4RmC6dQz"
 DIGEST = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b2b0b822cd15d6c15b0f00a08"
 
