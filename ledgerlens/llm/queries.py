@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import chat, decontaminate, mixing, near_dedup, oracles, personal, quality_rank, repetition, secrets, suffix_tree, url_rules
+from ledgerlens.llm import chat, decontaminate, mixing, near_dedup, oracles, packing, personal, quality_rank, repetition, secrets, suffix_tree, url_rules
 from ledgerlens.llm.common import bounded_batches, read
 from ledgerlens.session import staged
 
@@ -146,3 +146,8 @@ def op8_url_rules(spark, sf_dir):
     labelled = pages.join(known, "page_id", "left").select("url", label.alias("label"))
     found = url_rules.judged(pages, labelled, LISTED)
     return found.select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict")
+
+
+@query
+def op11_pack_sequences(spark, sf_dir):
+    return packing.packed(read(spark, sf_dir, "documents"))
