@@ -26,6 +26,7 @@ from bisect import bisect_right
 from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -34,6 +35,13 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import numbered, slices, words_of
 
+#: Signs that the vocabulary's cut joins to each other, but not to letters before them: not so the apostrophe.
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+LAST_PLAIN = "\xff"
+#: The vocabulary spells a byte that is no visible sign of Latin-1 as the next free character from U+0100.
+HIDDEN = [*range(0x21), *range(0x7F, 0xA1), 0xAD]
+BYTE_SIGNS = {byte: 0x100 + i for i, byte in enumerate(HIDDEN)}
+
 PIECES = "array<struct<piece:int,start:bigint,length:bigint,ids_crc32:bigint>>"
 #: A number given by ``numbered`` has the partition above this bit.
 PARTITION_BIT = 33
@@ -46,46 +54,62 @@ class Settings:
     end_id: int = 1
     batch_chars: int = 1_000_000
     #: A worker forgets its words beyond so many words or ids.
-    held_words: int = 400_000
-    held_ids: int = 2_000_000
+    held_words: int = 1_000_000
+    held_ids: int = 5_000_000
 
 
 # --- Tokens ---
 
 
-class WordIds:
-    """Token ids of words, each tokenized once: all ids in one array, with where each word's begin and how many there are."""
+class WordIds(dict):
+    """The number of each word seen, given when it is first looked up; and all words' ids, with where each one's end.
+
+    A word of letters up to ``LAST_PLAIN`` is one piece for the vocabulary's cut and has no other normal form than its lower case,
+    so its merges are taken as they are; ``SIGNS`` behind one are a piece of their own. All other words go through
+    the whole tokenizer.
+    """
 
     def __init__(self, vocabulary: str, settings: Settings):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer, self.settings = Tokenizer.from_str(vocabulary), settings
-        self.forget()
-
-    def forget(self) -> None:
-        self.number: dict[bytes, int] = {}
-        self.ids, self.starts = array("I"), array("q", [0])
+        self.merges = self.tokenizer.model.tokenize
+        self.ids, self.ends = array("I"), array("q", [0])
+
+    def __missing__(self, word: bytes) -> int:
+        if word.isalpha():
+            ids = [token.id for token in self.merges(word.lower().decode())]
+        else:
+            ids = self._other(word.decode())
+        self.ids.extend(ids)
+        self[word] = number = len(self.ends) - 1
+        self.ends.append(len(self.ids))
+        return number
+
+    def _other(self, text: str) -> list[int]:
+        letters = text.rstrip(SIGNS)
+        if not letters.isalpha() or max(letters) > LAST_PLAIN:
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+        if letters == text:
+            return [token.id for token in self.merges(text.lower().encode().decode("latin-1").translate(BYTE_SIGNS))]
+        parts = [self[letters.encode()], self[text[len(letters) :].encode()]]
+        return [i for part in parts for i in self.ids[self.ends[part] : self.ends[part + 1]]]
 
     def ids_of(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text, without an end."""
-        if len(self.number) > self.settings.held_words or len(self.ids) > self.settings.held_ids:
-            self.forget()
+        if len(self) > self.settings.held_words or len(self.ids) > self.settings.held_ids:
+            self.clear()
+            self.ids, self.ends = array("I"), array("q", [0])
         per_text = [words_of(text) for text in texts]
-        new = list(dict.fromkeys(w for words in per_text for w in words if w not in self.number))
-        if new:
-            for encoded in self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False):
-                self.ids.extend(encoded.ids)
-                self.starts.append(len(self.ids))
-            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
-        ids, starts = np.array(self.ids, np.uint32), np.array(self.starts, np.int64)
-        found = []
-        for words in per_text:
-            at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-            first, length = starts[at], starts[at + 1] - starts[at]
-            ends = np.cumsum(length)
-            found.append(ids[np.repeat(first - (ends - length), length) + np.arange(int(length.sum()))])
-        return found
+        n_words = np.array([len(words) for words in per_text], np.int64)
+        at = np.fromiter(map(self.__getitem__, chain.from_iterable(per_text)), np.int64, n_words.sum())
+        ids, ends = np.array(self.ids, np.uint32), np.array(self.ends, np.int64)
+        length = ends[at + 1] - ends[at]
+        after = np.cumsum(length)
+        found = ids[np.repeat(ends[at] - (after - length), length) + np.arange(after[-1] if len(after) else 0)]
+        return np.split(found, np.concatenate([[0], after])[np.cumsum(n_words)[:-1]])
 
 
 @lru_cache(maxsize=1)

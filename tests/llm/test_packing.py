@@ -99,6 +99,7 @@ def test_words_split_like_whole_texts():
     tokenizer = Tokenizer.from_file(packing.Settings().vocabulary)
     rng = random.Random(1)
     signs = ["<|endoftext|>", " ", "\n", "\x1c", "\x85", "　", "̈", "é", "e", "ΑΣ", "'ll", "don't", "5", "½", "한", "中文", "\t", "!?", "ﬁ", "İ"]
+    signs += ["àÀß", "Straße,", "ÿ", "µ", "ªº", "e\u0301)", "I\u0307", "ñandú:", "×÷", ".$$$", "-", "_", "<", "|>", "a"]
     texts = ["".join(rng.choices(signs, k=rng.randrange(30))) for _ in range(2000)] + ["".join(p) for p in product(signs, repeat=2)]
     for text, ids in zip(texts, words.ids_of(texts), strict=True):
         assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
