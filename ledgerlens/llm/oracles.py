@@ -175,10 +175,82 @@ SELECT conv_id, perspective, CAST(block AS BIGINT) AS block, CAST(count(*) AS IN
 FROM spans GROUP BY conv_id, perspective, block
 """
 
+def _vector_codes(rounds: int = 4, entries: int = 256, parts: int = 4) -> str:
+    """One step of SQL for each round: distances from exact products of whole numbers, then means."""
+    steps = [f"""
+kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST) AS uid, vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS place, v
+  FROM (
+    SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024.0::DOUBLE * x)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  )
+), part AS MATERIALIZED (
+  SELECT uid, place, p, list_slice(v, p * w + 1, p * w + w) AS x
+  FROM (SELECT *, len(v) // {parts} AS w FROM kept), range({parts}) t(p)
+), book0 AS MATERIALIZED (
+  SELECT p, place - 1 AS k, x AS e FROM part WHERE place <= {entries}
+)"""]
+    for i in range(rounds + 1):
+        steps.append(f"""near{i} AS MATERIALIZED (
+  SELECT uid, p, min({{'d': d, 'k': k}}) AS best
+  FROM (
+    SELECT uid, p, k, list_dot_product(x, x) - 2 * list_dot_product(x, e) + list_dot_product(e, e) AS d
+    FROM part JOIN book{i} USING (p)
+  ) GROUP BY uid, p
+)""")
+        if i < rounds:
+            steps.append(f"""mean{i} AS MATERIALIZED (
+  SELECT p, k, list(m ORDER BY j) AS e FROM (
+    SELECT p, best.k AS k, j, floor(sum(x[j]) / count(*)) AS m
+    FROM near{i} JOIN part USING (uid, p), (SELECT unnest(generate_series(1, (SELECT max(len(x)) FROM part))) AS j)
+    GROUP BY p, best.k, j
+  ) GROUP BY p, k
+), book{i + 1} AS MATERIALIZED (
+  SELECT b.p, b.k, coalesce(m.e, b.e) AS e FROM book{i} b LEFT JOIN mean{i} m ON b.p = m.p AND b.k = m.k
+)""")
+    return "WITH " + ", ".join(steps) + f""", coded AS (
+  SELECT uid, string_agg(printf('%02x', best.k), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error
+  FROM near{rounds} GROUP BY uid
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(list_transform(e, lambda c: CAST(CAST(c AS BIGINT) AS VARCHAR)), ','), ',' ORDER BY p, k))
+        FROM book{rounds}) AS codebooks_sha256
+FROM coded JOIN kept USING (uid)
+"""
+
+
+VECTOR_CODES = _vector_codes()
+
+HARD_NEGATIVES = """
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS uid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256.0::DOUBLE * x)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS MATERIALIZED (
+  SELECT a.uid AS a, a.vec_id AS anchor_id, r.uid AS r, r.vec_id AS id, a.label = r.label AS same,
+         CAST(list_dot_product(a.v, r.v) AS BIGINT) AS score
+  FROM kept a JOIN kept r ON a.uid <> r.uid
+  WHERE a.vec_id % 100 = 0
+), positive AS (
+  SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, id NULLS LAST, r) AS place FROM scored WHERE same
+), ranked AS (
+  SELECT p.anchor_id, p.id AS positive_id, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.a, p.place ORDER BY n.score DESC, n.id NULLS LAST, n.r) AS INTEGER) AS rank
+  FROM positive p JOIN scored n ON n.a = p.a AND NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+  WHERE p.place <= 5
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5
+"""
+
+
 ORACLES = {
     "op1_chat_perspectives": CHAT_PERSPECTIVES,
     "op5_near_dedup": NEAR_DEDUP,
     "op6_repetition_rules": REPETITION,
     "op3_decontaminate": DECONTAMINATE,
     "op4_mix_sources": MIX_SOURCES,
+    "op12_vector_codes": VECTOR_CODES,
+    "op13_hard_negatives": HARD_NEGATIVES,
 }

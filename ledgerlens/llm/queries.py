@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import chat, decontaminate, mixing, near_dedup, oracles, packing, personal, quality_rank, repetition, secrets, suffix_tree, url_rules
+from ledgerlens.llm import (
+    chat, decontaminate, hard_negatives, mixing, near_dedup, oracles, packing, personal, quality_rank, repetition, secrets,
+    suffix_tree, url_rules, vector_codes,
+)
 from ledgerlens.llm.common import bounded_batches, read
 from ledgerlens.session import staged
 
@@ -151,3 +154,20 @@ def op8_url_rules(spark, sf_dir):
 @query
 def op11_pack_sequences(spark, sf_dir):
     return packing.packed(read(spark, sf_dir, "documents"))
+
+
+@query
+def op12_vector_codes(spark, sf_dir):
+    coded, books = vector_codes.compressed(read(spark, sf_dir, "embeddings"))
+    return vector_codes.with_label_error(coded).select(
+        "vec_id", "code", "error", "label_error", F.lit(vector_codes.digest(books)).alias("codebooks_sha256")
+    )
+
+
+@query
+def op13_hard_negatives(spark, sf_dir):
+    """Every seventh id has a wrong label, as the contract has it."""
+    vec_id, label = F.col("vec_id"), F.col("label")
+    wrong = F.coalesce(F.pmod(vec_id, F.lit(7)) == 0, F.lit(False))
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.when(wrong, (label + 1) % 10).otherwise(label).alias("label"))
+    return hard_negatives.mined(rows, F.pmod(vec_id, F.lit(100)) == 0)

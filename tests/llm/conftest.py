@@ -5,7 +5,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
-TABLES = ("documents", "labels", "pages", "benchmark", "conversations")
+TABLES = ("documents", "labels", "pages", "benchmark", "conversations", "embeddings")
 LONG = " ".join(f"word{i % 977} and{i % 13}" for i in range(3_000))
 ROWS = [
     (1, None, "a"), (2, "", "a"), (3, " \n\t ", "b"), (4, "one", "b"), (5, LONG, "a"), (6, LONG, None), (6, LONG, None),
@@ -36,7 +36,14 @@ def frames():
     talk += [(3, i, ("ann", "bob", "cy")[i % 3], f"turn {i} é") for i in range(300)]
     conv = {"conv_id": pa.array([t[0] for t in talk], pa.int64()), "turn": pa.array([t[1] for t in talk], pa.int64()),
             "role": pa.array([t[2] for t in talk], pa.string()), "text": pa.array([t[3] for t in talk], pa.string())}
-    return dict(zip(TABLES, (docs, labels, pages, bench, conv)))
+    nan, inf = float("nan"), float("inf")
+    vectors = [None, [1.0] * 7 + [None], [nan] + [0.0] * 7, [inf] * 8, [-inf] + [1.0] * 7, [0.0] * 8, [-0.0] * 8]
+    vectors += [[((i * 37 + k * 11) % 23 - 9) / 7 for k in range(8)] for i in range(150)] + [[0.5] * 8, [0.5] * 8, [-0.125] * 8]
+    ids = [*range(1, 8), *range(100, 250), 300, 300, None]
+    kinds = [i % 4 if i % 9 else None for i in range(len(ids))]
+    kinds[-3:] = [2, 2, 2]
+    emb = {"vec_id": pa.array(ids, pa.int64()), "embedding": pa.array(vectors, pa.list_(pa.float32())), "label": pa.array(kinds, pa.int32())}
+    return dict(zip(TABLES, (docs, labels, pages, bench, conv, emb)))
 
 
 def write(folder, empty):
