@@ -6,13 +6,13 @@ their union in common. Equal sets are joined first; what follows sees one row fo
 Every set gets a sketch of minwise tokens. A tree branches the sets by the tokens at a few of the sketch's positions,
 chosen by the path that led there, 1/similarity of them on average, so that a path splits what is unlike and linked sets
 meet in some node; ``trees`` independent trees of two branches at the root bring the recall to its target. Nodes of at most
-``leaf`` sets are compared exhaustively. Sketches only propose pairs; every link is confirmed on the full sets.
+``leaf`` sets are compared exhaustively. Sketches only propose groups of sets that may be linked; within a group every pair
+is compared on the full sets, and one pair less than there are connected sets goes on, however many links there are.
 
-Sets known to be connected need no further comparison with each other. So a small node first proposes the most alike
-pairs that span it, a larger one pairs with one of its sets; once those are confirmed, only pairs between different
-connected groups are left to propose. A larger node of which all but ``few`` sets belong to one group ends by comparing
-those with every set of the node; only other nodes branch on. What has not come apart after ``levels`` levels is compared
-exhaustively in blocks, so no candidate is ever dropped for the size of its node.
+Sets known to be connected need no further comparison with each other. A larger node first compares its sets with one of
+them. If all but ``few`` then belong to one connected group, it ends by comparing those with every set of the node; only
+other nodes branch on. What has not come apart after ``levels`` levels is compared exhaustively in blocks, so no candidate
+is ever dropped for the size of its node.
 
 * Words are runs without the six ASCII blanks, A-Z lower-cased. A text of fewer words than a shingle is one shingle of
   all its words; a missing text, and one without words, has the empty set and is linked with nothing.
@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import codes_of, lower_words_of, numbered, slices, union
+from ledgerlens.llm.common import codes_of, lower_words_of, numbered, slices
 from ledgerlens.session import staged
 
 PAIRS = "array<struct<a:bigint,b:bigint>>"
@@ -46,7 +46,9 @@ class Settings:
     leaf: int = 64
     #: A larger node ends once at most so many of its sets are outside its largest connected group.
     few: int = 1024
-    block: int = 256
+    #: Sets, and about how many of their shingles, that are compared with each other in one unit.
+    block: int = 512
+    block_shingles: int = 1_000_000
     levels: int = 24
     #: Sketches propose a pair down to so far below the threshold: four standard errors of an estimate.
     slack: float = 0.13
@@ -129,36 +131,31 @@ def _full_sets(s: Settings):
     return full_set
 
 
-# --- Comparing sketches within a node ---
+# --- Comparing the sets of a unit ---
 
 
-def _spanning(order: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[int]:
-    """Of pairs between groups, taken in the given order, those that join what is not yet joined."""
-    root: dict[int, int] = {}
-
-    def find(x: int) -> int:
-        while (up := root.get(x, x)) != x:
-            root[x] = root.get(up, up)
-            x = up
-        return x
-
-    kept = []
-    for k in order.tolist():
-        x, y = find(int(a[k])), find(int(b[k]))
-        if x != y:
-            root[x] = y
-            kept.append(k)
-    return kept
+def components(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers that pairs connect, in order, and for each the place of the smallest one it is connected with."""
+    names, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b, label = at[: len(u)], at[len(u) :], np.arange(len(names))
+    while True:
+        least, low = label.copy(), np.minimum(label[a], label[b])
+        np.minimum.at(least, a, low)
+        np.minimum.at(least, b, low)
+        least = least[least]
+        if (least == label).all():
+            return names, label
+        label = least
 
 
-def _proposer(s: Settings, spanning: bool):
+def _grouper(s: Settings):
     least = int((s.percent / 100 - s.slack) * s.positions)
 
-    @F.pandas_udf(PAIRS)
-    def propose(
+    @F.pandas_udf("array<array<bigint>>")
+    def group(
         ids: pd.Series, roots: pd.Series, sketches: pd.Series, few: pd.Series, few_roots: pd.Series, few_sketches: pd.Series
     ) -> pd.Series:
-        """Pairs of different groups whose sketches agree often enough; if ``spanning``, only the most alike that span them."""
+        """The sets of a unit, grouped by sketches that agree often enough, of sets that are not known to be connected."""
         found = []
         for a, ra, x, b, rb, y in zip(ids, roots, sketches, few, few_roots, few_sketches, strict=True):
             a, ra, b, rb = map(np.asarray, (a, ra, b, rb))
@@ -168,18 +165,46 @@ def _proposer(s: Settings, spanning: bool):
             for k in range(s.positions):
                 alike += left[:, k, None] == right[None, :, k]
             i, j = np.nonzero((alike >= least) & (ra[:, None] != rb[None, :]))
-            if spanning:
-                kept = _spanning(np.argsort(-alike[i, j], kind="stable"), ra[i], rb[j])
-                i, j = i[kept], j[kept]
-            pairs = set(zip(np.minimum(a[i], b[j]).tolist(), np.maximum(a[i], b[j]).tolist(), strict=True))
-            found.append([{"a": u, "b": v} for u, v in pairs])
+            names, label = components(a[i], b[j])
+            order = np.argsort(label, kind="stable")
+            found.append(np.split(names[order], np.flatnonzero(np.diff(label[order])) + 1) if len(names) else [])
         return pd.Series(found, dtype=object)
 
-    return propose
-
+    return group
+
+
+def linked_pairs(sets: list[np.ndarray], percent: int, columns: int = 4096) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of sets that are similar enough, from exact counts of what they share."""
+    sizes = np.array([len(x) for x in sets], np.int64)
+    of = np.repeat(np.arange(len(sets)), sizes)
+    _, token, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(times[token] > 1)
+    column = (np.cumsum(times > 1) - 1)[token[shared]]
+    order = np.argsort(column, kind="stable")
+    column, of = column[order], of[shared[order]]
+    common = np.zeros((len(sets), len(sets)), np.float32)
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, columns):
+        run = slice(*np.searchsorted(column, [start, start + columns]))
+        has = np.zeros((len(sets), columns), np.float32)
+        has[of[run], column[run] - start] = 1
+        common += has @ has.T
+    common = common.astype(np.int64)
+    return np.nonzero(np.triu(100 * common >= percent * (sizes[:, None] + sizes[None, :] - common), 1))
+
+
+def _linker(s: Settings):
+    @F.pandas_udf(PAIRS)
+    def link(ids: pd.Series, sets: pd.Series) -> pd.Series:
+        """Every set of a group that has a link there, with the smallest one it is connected with: one pair less than sets."""
+        found = []
+        for own, hashes in zip(ids, sets, strict=True):
+            own = np.asarray(own)
+            names, label = components(*linked_pairs([np.asarray(h) for h in hashes], s.percent))
+            pairs = zip(own[names].tolist(), own[names[label]].tolist(), strict=True)
+            found.append([{"a": a, "b": b} for a, b in pairs if a != b])
+        return pd.Series(found, dtype=object)
 
-def _pairs(rows: DataFrame, proposed: Column) -> DataFrame:
-    return rows.select(F.explode(proposed).alias("p")).select("p.a", "p.b")
+    return link
 
 
 def _listed(rows: DataFrame, *by: str, names: tuple[str, str, str] = ("ids", "roots", "sketches")) -> DataFrame:
@@ -188,40 +213,40 @@ def _listed(rows: DataFrame, *by: str, names: tuple[str, str, str] = ("ids", "ro
     return rows.groupBy(*by).agg(*[F.collect_list(c).alias(name) for c, name in lists])
 
 
-def _leaf_pairs(leaves: DataFrame, sketches: DataFrame, roots: DataFrame | None, s: Settings) -> DataFrame:
-    """Pairs of each small node; nodes of the same sets are compared once. Spanning pairs at first, all that is open later."""
-    members = leaves.groupBy("node").agg(F.sort_array(F.collect_list("uid")).alias("ids")).select("ids").distinct()
-    one = members.select(F.xxhash64("ids").alias("group"), F.explode("ids").alias("uid")).join(sketches, "uid")
-    units = _listed(_with_roots(one, roots), "group")
-    if roots is not None:
-        units = units.filter(F.size(F.array_distinct("roots")) > 1)
-    three = ("ids", "roots", "sketches")
-    return _pairs(units, _proposer(s, spanning=roots is None)(*three, *three))
-
-
 def _with_roots(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
     if roots is None:
         return rows.withColumn("root", F.col("uid"))
     return rows.join(roots, "uid", "left").withColumn("root", F.coalesce("root", "uid"))
 
 
-def _node_pairs(members: DataFrame, few: DataFrame, s: Settings) -> DataFrame:
+def _leaf_groups(leaves: DataFrame, sketches: DataFrame, roots: DataFrame | None, s: Settings) -> DataFrame:
+    """Alike sets of each small node; nodes of the same sets are compared once."""
+    members = leaves.groupBy("node").agg(F.sort_array(F.collect_list("uid")).alias("ids")).select("ids").distinct()
+    one = members.select(F.xxhash64("ids").alias("group"), F.explode("ids").alias("uid")).join(sketches, "uid")
+    units = _listed(_with_roots(one, roots), "group").filter(F.size(F.array_distinct("roots")) > 1)
+    three = ("ids", "roots", "sketches")
+    return units.select(F.explode(_grouper(s)(*three, *three)).alias("ids"))
+
+
+def _node_groups(members: DataFrame, few: DataFrame, s: Settings) -> DataFrame:
     """Each of a node's few (node, part, uid, root, sketch) against all its sets, in blocks of bounded size."""
-    block = F.pmod(F.xxhash64("uid"), F.ceil(F.col("n") / s.block))
+    block = F.pmod(F.xxhash64("uid"), _blocks(F.col("n"), F.col("total"), s))
     blocks = _listed(members.withColumn("block", block), "node", "block")
     names = ("few", "few_roots", "few_sketches")
     units = blocks.join(_listed(few, "node", "part", names=names), "node")
-    return _pairs(units, _proposer(s, spanning=False)("ids", "roots", "sketches", *names))
+    return units.select(F.explode(_grouper(s)("ids", "roots", "sketches", *names)).alias("ids"))
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
-    side = lambda c: sets.select(F.col("uid").alias(c), F.col("n").alias(f"n_{c}"), F.col("hashes").alias(f"set_{c}"))
-    both = pairs.distinct().join(side("a"), "a").join(side("b"), "b")
-    shorter, longer = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-    common = F.size(F.array_intersect("set_a", "set_b"))
-    near = 100 * common >= s.percent * (F.col("n_a") + F.col("n_b") - common)
-    return both.filter((100 * shorter >= s.percent * longer) & near).select("a", "b")
+def _blocks(n: Column, total: Column, s: Settings) -> Column:
+    """How many blocks sets are dealt to, by their number and the number of their shingles."""
+    return F.ceil(F.greatest(n / s.block, total / s.block_shingles))
+
+
+def _links(groups: DataFrame, full: DataFrame, s: Settings) -> DataFrame:
+    """(a, b): pairs that links connect, from the full sets of each group."""
+    members = groups.select(F.xxhash64("ids").alias("group"), F.explode("ids").alias("uid")).join(full, "uid")
+    units = members.groupBy("group").agg(F.collect_list(F.struct("uid", "hashes")).alias("sets"))
+    return units.select(F.explode(_linker(s)("sets.uid", "sets.hashes")).alias("p")).select("p.a", "p.b")
 
 
 # --- Connected groups ---
@@ -304,7 +329,7 @@ def _roots(sketches: DataFrame, s: Settings) -> DataFrame:
     nodes = [
         _branches([F.lit(int(chosen[(2 * t + i) % s.positions])) for i in range(2)], "sketch", [F.lit(t)]) for t in range(s.trees)
     ]
-    return sketches.select("uid", F.explode(F.concat(*nodes)).alias("node"))
+    return sketches.select("uid", "size", F.explode(F.concat(*nodes)).alias("node"))
 
 
 def _next_nodes(large: DataFrame, s: Settings) -> DataFrame:
@@ -313,16 +338,16 @@ def _next_nodes(large: DataFrame, s: Settings) -> DataFrame:
     positions = [F.pmod(draw(i), F.lit(s.positions)).cast("int") for i in range(2)]
     both = _branches(positions, "sketch", [F.col("node")])
     second = F.pmod(draw(2), F.lit(1000)) < int(1000 * (100 / s.percent - 1))
-    return large.select("uid", F.explode(F.array_distinct(F.when(second, both).otherwise(F.slice(both, 1, 1)))).alias("node"))
+    return large.select("uid", "size", F.explode(F.array_distinct(F.when(second, both).otherwise(F.slice(both, 1, 1)))).alias("node"))
 
 
 def _populated(frontier: DataFrame, level: int) -> DataFrame:
-    """The rows of nodes that more than one set is in, with the node's size and one of its sets."""
+    """The rows of nodes that more than one set is in, with the node's sets, their shingles, and one of the sets."""
     sizes = frontier.groupBy("node").agg(
-        F.count("*").alias("n"), F.min("uid" if level == 0 else F.struct(F.xxhash64("uid", "node"), "uid")).alias("pivot")
+        F.count("*").alias("n"), F.sum("size").alias("total"), F.min("uid" if level == 0 else F.struct(F.xxhash64("uid", "node"), "uid")).alias("pivot")
     ).filter("n > 1")
     pivot = "pivot" if level == 0 else "pivot.uid"
-    return staged(frontier.join(sizes, "node").select("node", "uid", "n", F.col(pivot).alias("pivot")), "nodes")
+    return staged(frontier.join(sizes, "node").select("node", "uid", "size", "n", "total", F.col(pivot).alias("pivot")), "nodes")
 
 
 def grouped(docs: DataFrame, s: Settings = Settings(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -354,35 +379,29 @@ def row_key(doc_id: str, text: str) -> Column:
 
 
 def _joined(docs: DataFrame, sets: DataFrame, s: Settings, doc_id: str, text: str) -> DataFrame:
-    """(uid, root) of all sets with a confirmed link, the root naming the connected group."""
+    """(uid, root) of all sets with a link, the root naming the connected group."""
     sketches = sets.select("uid", "sketch")
-    proposed, roots, full = [], None, None
-    frontier = _roots(sketches, s)
+    roots, full = None, None
+    frontier = _roots(sets.select("uid", "sketch", F.col("n").alias("size")), s)
     for level in range(s.levels + 1):
         nodes = _populated(frontier, level)
-        leaves, large = nodes.filter(F.col("n") <= s.leaf), nodes.filter(F.col("n") > s.leaf).join(sketches, "uid")
-        pivots = F.col("uid") == F.col("pivot")
+        small = (F.col("n") <= s.leaf) & (F.col("total") <= s.block_shingles)
+        leaves, large = nodes.filter(small), nodes.filter(~small).join(sketches, "uid")
         rooted = _with_roots(large, roots)
-        stars = _node_pairs(rooted, rooted.filter(pivots).withColumn("part", F.lit(0)), s)
-        first = staged(_leaf_pairs(leaves, sketches, None, s).unionByName(stars).distinct(), "pairs")
+        stars = _node_groups(rooted, rooted.filter(F.col("uid") == F.col("pivot")).withColumn("part", F.lit(0)), s)
+        groups = staged(_leaf_groups(leaves, sketches, roots, s).unionByName(stars).distinct(), "groups")
         if full is None:
-            # Whatever a later pair holds is in a first pair, or in a large node.
-            wanted = union([nodes.filter(F.col("n") > s.leaf).select("uid"), _ends(first)]).distinct()
+            # Whatever a later group holds is in a first group, or in a large node.
+            wanted = nodes.filter(~small).select("uid").unionByName(groups.select(F.explode("ids").alias("uid"))).distinct()
             full = _stored_sets(docs, sets.join(wanted, "uid"), s, doc_id, text)
-        open_ = _rooted(first, roots).select("a", "b")
-        roots = _extended(roots, confirmed(open_, full, s))
+        roots = _extended(roots, _links(groups, full, s))
         labelled = _with_roots(large, roots)
         few, rest = _unconnected(labelled, s, last=level == s.levels)
-        later = _leaf_pairs(leaves, sketches, roots, s).unionByName(_node_pairs(labelled, few, s))
-        proposed.append(staged(later.distinct().join(first, ["a", "b"], "left_anti"), "pairs"))
+        groups = staged(_node_groups(labelled, few, s).distinct(), "groups")
+        roots = _extended(roots, _links(groups, full, s))
         if rest is None or rest.isEmpty():
-            break
+            return roots
         frontier = staged(_next_nodes(large.join(rest.distinct(), "node", "left_semi"), s), "frontier")
-    return _extended(roots, confirmed(_rooted(union(proposed).distinct(), roots).select("a", "b"), full, s))
-
-
-def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.explode(F.array("a", "b")).alias("uid"))
 
 
 def _stored_sets(docs: DataFrame, wanted: DataFrame, s: Settings, doc_id: str, text: str) -> DataFrame:
@@ -394,14 +413,16 @@ def _stored_sets(docs: DataFrame, wanted: DataFrame, s: Settings, doc_id: str, t
 
 def _unconnected(labelled: DataFrame, s: Settings, last: bool) -> tuple[DataFrame, DataFrame | None]:
     """The sets of a node outside its largest connected group: those of nodes with few of them, and the nodes with more."""
-    sizes = labelled.groupBy("node", "root").agg(F.count("*").alias("size"))
+    sizes = labelled.groupBy("node", "root").agg(F.count("*").alias("n"), F.sum("size").alias("total"))
     largest = sizes.groupBy("node").agg(
-        F.max_by("root", F.struct("size", "root")).alias("main"), (F.sum("size") - F.max("size")).alias("outside")
+        F.max_by("root", F.struct("n", "root")).alias("main"), (F.sum("n") - F.max("n")).alias("outside"),
+        (F.sum("total") - F.max_by("total", F.struct("n", "root"))).alias("outside_total"),
     ).filter("outside > 0")
     outside = staged(
-        labelled.join(largest, "node").filter("root <> main").select("node", "uid", "root", "sketch", "outside"), "outside"
+        labelled.drop("n", "total", "size").join(largest, "node").filter("root <> main")
+        .select("node", "uid", "root", "sketch", "outside", "outside_total"), "outside",
     )
     some = outside if last else outside.filter(F.col("outside") <= s.few)
-    part = F.pmod(F.xxhash64("uid"), F.ceil(F.col("outside") / s.leaf))
+    part = F.pmod(F.xxhash64("uid"), _blocks(F.col("outside"), F.col("outside_total"), s))
     rest = None if last else outside.filter(F.col("outside") > s.few).select("node")
     return some.select("node", part.alias("part"), "uid", "root", "sketch"), rest
