@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType
@@ -14,6 +16,8 @@ from ledgerlens.schemas import CORRELATION_LIMIT, ID_CORRELATION_LIMIT, TARGET
 # The spread of a constant computed in floating point, as in a ratio that is 0.9 but for its last bits. Whole numbers and
 # decimals have none.
 ROUNDING = 1e-15
+#: Columns whose sums one pass holds: a few numbers for each.
+BLOCK = 32
 
 
 def numeric_columns(df: DataFrame, without: tuple[str, ...] = ()) -> list[str]:
@@ -26,28 +30,25 @@ def _report(check: str, values: DataFrame, limit: float) -> DataFrame:
     return rows.withColumn("flagged", F.coalesce(F.col("value") > limit, F.lit(False)))
 
 
-def _correlations(df: DataFrame, names: list[str], target: str) -> DataFrame:
-    """(feature, value): absolute Pearson correlation with the target over rows where both are known.
+def _correlations(df: DataFrame, names: list[str], target: str) -> list[DataFrame]:
+    """Absolute Pearson correlations with the target over rows where both are known: one row for each block of columns.
 
-    A first pass finds the smallest value of each column; in the second, every row gives one short row per column, its
-    distance from the smallest, so large numbers lose no digits. NULL, not an error, where either side is constant.
+    A first pass finds the smallest value of each column. The next sum up co-moments of the distances from it, which are
+    kept centred as rows and partial sums are added, so large numbers lose no digits; a row stays one row, however many
+    columns a block has. NULL, not an error, where either side is constant.
     """
     exact = {f.name: not isinstance(f.dataType, FloatType | DoubleType) for f in df.schema}
-    lows = df.agg(*[F.expr(f"min({quoted(c)})").alias(f"low_{i}") for i, c in enumerate(names)]).first()
-    entries = [
-        [text(c), str(exact[c]).upper(), _number(low), f"CAST({quoted(c)} - {_literal(low, exact[c])} AS DOUBLE)"]
-        for c, low in zip(names, lows, strict=True)
-    ]
+    lows = dict(zip(names, df.agg(*[F.expr(f"min({quoted(c)})").alias(f"low_{i}") for i, c in enumerate(names)]).first() or (), strict=True))
+    blocks = [names[i : i + BLOCK] for i in range(0, len(names), BLOCK)]
+    return [df.agg(*[F.expr(_correlation(c, lows[c], exact[c], target)).alias(c) for c in block]) for block in blocks]
+
+
+def _correlation(column: str, low, exact: bool, target: str) -> str:
     y = f"CAST({quoted(target)} AS DOUBLE)"
-    long = stacked(
-        df.selectExpr(f"{y} AS _target", *[quoted(c) for c in names]), entries, ["feature", "exact", "low", "x"], ["_target"]
-    )
-    paired = long.selectExpr(
-        "feature", "exact", "low", "CASE WHEN _target IS NOT NULL THEN x END AS x", "CASE WHEN x IS NOT NULL THEN _target END AS y"
-    )
-    noise = f"CASE WHEN any_value(exact) THEN 0D ELSE {ROUNDING}D * greatest(abs(any_value(low)), abs(max(x) + any_value(low))) END"
-    value = f"CASE WHEN max(x) - min(x) > {noise} AND max(y) > min(y) THEN sqrt(regr_r2(y, x)) END AS value"
-    return paired.groupBy("feature").agg(F.expr(value))
+    x = f"CASE WHEN {y} IS NOT NULL THEN CAST({quoted(column)} - {_literal(low, exact)} AS DOUBLE) END"
+    y = f"CASE WHEN {quoted(column)} IS NOT NULL THEN {y} END"
+    noise = "0D" if exact else f"{ROUNDING}D * greatest(abs({_number(low)}), abs(max({x}) + {_number(low)}))"
+    return f"CASE WHEN max({x}) - min({x}) > {noise} AND max({y}) > min({y}) THEN sqrt(regr_r2({y}, {x})) END"
 
 
 def _number(low) -> str:
@@ -61,22 +62,20 @@ def _literal(low, exact: bool) -> str:
     return f"CAST('{low}' AS DECIMAL(38,0))" if exact and abs(low) >= 1 << 53 else f"CAST('{low}' AS DOUBLE)"
 
 
-def _flagged(check: str, rows: DataFrame, limit: float) -> DataFrame:
-    return rows.select(
-        F.lit(check).alias("check"), "feature", "value", F.coalesce(F.col("value") > limit, F.lit(False)).alias("flagged")
-    )
+def _correlation_report(check: str, df: DataFrame, names: list[str], target: str, limit: float) -> DataFrame:
+    if not names:
+        return df.sparkSession.createDataFrame([], "check string, feature string, value double, flagged boolean")
+    return reduce(DataFrame.unionByName, [_report(check, values, limit) for values in _correlations(df, names, target)])
 
 
 def correlation_audit(df: DataFrame, target: str = TARGET, limit: float = CORRELATION_LIMIT) -> DataFrame:
-    """Absolute correlation of every numeric column with the target, in one pass over the numeric columns."""
-    return _flagged("correlation", _correlations(df, numeric_columns(df, without=(target,)), target), limit)
+    """Absolute correlation of every numeric column with the target; each block of columns is read once."""
+    return _correlation_report("correlation", df, numeric_columns(df, without=(target,)), target, limit)
 
 
 def id_audit(df: DataFrame, id_col: str = ID, target: str = TARGET, limit: float = ID_CORRELATION_LIMIT) -> DataFrame:
     """Correlation of a numeric id with the target. A hashed id is text and yields no row."""
-    if id_col not in numeric_columns(df):
-        return df.sparkSession.createDataFrame([], "check string, feature string, value double, flagged boolean")
-    return _flagged("id", _correlations(df, [id_col], target), limit)
+    return _correlation_report("id", df, [id_col] if id_col in numeric_columns(df) else [], target, limit)
 
 
 def null_state_audit(

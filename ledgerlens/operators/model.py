@@ -3,20 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import replace
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.feature import Imputer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.scalars import present
-from ledgerlens.operators.evaluate import SEED, class_weight, stratified_folds
+from ledgerlens.operators.boosting import Boosted, BoostSettings, boost
+from ledgerlens.operators.evaluate import class_weight, stratified_folds
 from ledgerlens.schemas import CATEGORICAL_FEATURES, MISSING_LABEL, NUMERIC_FEATURES, TARGET
 from ledgerlens.session import checkpoint_dir, staged
 
+TreeSettings = BoostSettings
+
 
 def fill_missing_labels(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit(MISSING_LABEL)) for c in cols if c in df.columns})
@@ -50,26 +53,6 @@ def feature_matrix(df: DataFrame) -> tuple[DataFrame, list[str], StringIndexerMo
     return encoded.select(*names, TARGET), names, encoder
 
 
-@dataclass(frozen=True)
-class TreeSettings:
-    """Boosting settings.
-
-    Trees have no missing-value branch here, so inputs are imputed and flagged first. Trees grow level by level to
-    the depth given and columns are drawn per node. A tenth of the rows watches the loss; boosting ends once ``patience``
-    rounds have brought no gain, and the model is then fitted to all rows with the best number of rounds.
-    """
-
-    rounds: int = 1000
-    step: float = 0.02
-    depth: int = 6
-    row_share: float = 0.8
-    column_share: float = 0.8
-    min_rows: int = 50
-    patience: int = 50
-    first_block: int = 64
-    seed: int = SEED
-
-
 def with_null_flags(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.withColumns(
         {c: F.col(c).cast("double") for c in names} | {f"{c}_is_null": F.col(c).isNull().cast("double") for c in names}
@@ -88,66 +71,55 @@ def label_codes(df: DataFrame) -> StringIndexerModel | None:
     return indexer.fit(fill_missing_labels(df, categorical))
 
 
-def _booster(settings: TreeSettings, rounds: int, bins: int) -> GBTClassifier:
-    return GBTClassifier(
-        labelCol=TARGET, weightCol="weight", maxIter=rounds, stepSize=settings.step, maxDepth=settings.depth,
-        subsamplingRate=settings.row_share, featureSubsetStrategy=str(settings.column_share),
-        minInstancesPerNode=settings.min_rows, seed=settings.seed, maxBins=bins, cacheNodeIds=True, checkpointInterval=10,
-    )
-
-
 def _usable(df: DataFrame, names: Sequence[str]) -> list[str]:
     """Names of columns that hold at least one value; the others have no median."""
     known = df.agg(*[F.count(c).alias(c) for c in names]).first()
     return [c for c in names if known[c] > 0]
 
 
-def best_rounds(rows: DataFrame, settings: TreeSettings, bins: int) -> int:
-    """The number of rounds with the least loss on the watched rows.
-
-    Spark's booster cannot be continued, so it is fitted with twice as many rounds until the loss has not fallen for
-    ``patience`` rounds: at most twice the work of a single run.
-    """
-    length = min(settings.rounds, settings.first_block)
-    while True:
-        fitted = _booster(settings, length, bins).fit(rows.filter(~F.col("watched")))
-        losses = fitted.evaluateEachIteration(rows.filter("watched"))
-        best = min(range(length), key=losses.__getitem__) + 1
-        if length == settings.rounds or length - best >= settings.patience:
-            return best
-        length = min(settings.rounds, 2 * length)
-
-
 def fit_trees(
     train: DataFrame, id_col: str, settings: TreeSettings = TreeSettings(), early_stop: bool = True,
-    codes: StringIndexerModel | None = None,
+    codes: StringIndexerModel | None = None, resume: PipelineModel | None = None,
 ) -> PipelineModel:
-    """Fit on the given rows: medians, then boosting. The loss is watched on a tenth of them, never on rows scored later.
+    """Fit on the given rows: medians, then boosting. A tenth of them is held back to watch the loss, never rows scored later.
 
-    ``codes`` names the labels the model is to know; by default those of the given rows.
+    Trees have no missing-value branch here, so inputs are imputed and flagged first. ``codes`` names the labels the model is
+    to know; by default those of the given rows. ``resume`` is a fitted model whose inputs are taken as they are and whose
+    trees are gone on from.
     """
     checkpoint_dir(train.sparkSession)
-    numeric = _usable(train, present(train, NUMERIC_FEATURES))
-    codes = codes or label_codes(train)
-    categorical = list(codes.getInputCols()) if codes else []
     weight = class_weight(train).first()["positive_weight"]
-    prepared = prepare_inputs(train, numeric, categorical).withColumn(
-        "weight", F.when(F.col(TARGET) == 1, F.lit(weight)).otherwise(F.lit(1.0))
-    )
-    filled = [f"{c}_filled" for c in numeric]
-    imputer = Imputer(strategy="median", inputCols=numeric, outputCols=filled).fit(prepared)
-    coded = list(codes.getOutputCols()) if codes else []
-    assembler = VectorAssembler(inputCols=[*filled, *[f"{c}_is_null" for c in numeric], *coded], outputCol="features")
-    stages = [imputer, *([codes] if codes else []), assembler]
+    stages = list(resume.stages[:-1]) if resume else _input_stages(train, codes)
+    numeric, categorical = _inputs(stages)
     # A hash of the id picks the watched rows: no rank, no shuffle. Inputs are computed once and stored.
     watched = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(settings.seed)), F.lit(10)) == 0
     rows = staged(
-        PipelineModel(stages).transform(prepared).select("features", TARGET, "weight", watched.alias("watched")), "training"
+        PipelineModel(stages).transform(prepare_inputs(train, numeric, categorical)).select(
+            "features", F.col(TARGET).alias("label"), F.when(F.col(TARGET) == 1, F.lit(weight)).otherwise(F.lit(1.0)).alias("weight"),
+            (watched & F.lit(early_stop)).alias("watched"),
+        ),
+        "training",
     )
-    bins = max(256, *[len(labels) + 1 for labels in codes.labelsArray]) if codes else 256
-    kinds = {r[0] for r in rows.filter("watched").select(TARGET).distinct().collect()} if early_stop else set()
-    rounds = best_rounds(rows, settings, bins) if len(kinds) > 1 else settings.rounds
-    return PipelineModel([*stages, _booster(settings, rounds, bins).fit(rows)])
+    most_labels = max((len(labels) + 1 for stage in stages if isinstance(stage, StringIndexerModel) for labels in stage.labelsArray), default=0)
+    start = Boosted(resume.stages[-1].trees, settings.step) if resume else None
+    boosted = boost(rows, replace(settings, bins=max(settings.bins, most_labels)), start)
+    return PipelineModel([*stages, boosted.model()])
+
+
+def _input_stages(train: DataFrame, codes: StringIndexerModel | None) -> list:
+    """Medians, label codes and the feature vector, as fitted stages."""
+    numeric = _usable(train, present(train, NUMERIC_FEATURES))
+    codes = codes or label_codes(train)
+    filled = [f"{c}_filled" for c in numeric]
+    imputer = Imputer(strategy="median", inputCols=numeric, outputCols=filled).fit(with_null_flags(train, numeric))
+    coded = list(codes.getOutputCols()) if codes else []
+    assembler = VectorAssembler(inputCols=[*filled, *[f"{c}_is_null" for c in numeric], *coded], outputCol="features")
+    return [imputer, *([codes] if codes else []), assembler]
+
+
+def _inputs(stages: list) -> tuple[list[str], list[str]]:
+    """The numeric and the categorical inputs that the stages read."""
+    return stages[0].getInputCols(), stages[1].getInputCols() if isinstance(stages[1], StringIndexerModel) else []
 
 
 def prepare_inputs(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
@@ -156,8 +128,7 @@ def prepare_inputs(df: DataFrame, numeric: Sequence[str], categorical: Sequence[
 
 def score(model: PipelineModel, df: DataFrame, column: str = "score") -> DataFrame:
     """Add the probability of default."""
-    numeric = model.stages[0].getInputCols()
-    categorical = model.stages[1].getInputCols() if isinstance(model.stages[1], StringIndexerModel) else []
+    numeric, categorical = _inputs(model.stages)
     scored = model.transform(prepare_inputs(df, numeric, categorical))
     return scored.select(
         *[F.col(c).cast(df.schema[c].dataType) for c in df.columns],
@@ -169,9 +140,11 @@ def importance(model: PipelineModel) -> DataFrame:
     """Split importance per input; a numeric input and its null flag are one feature."""
     trees: GBTClassificationModel = model.stages[-1]
     inputs = model.stages[-2].getInputCols()
+    gains = trees.featureImportances.toArray().tolist() if any(tree.depth for tree in trees.trees) else []
+    gains += [0.0] * (len(inputs) - len(gains))  # the last inputs may be in no tree
     base = lambda c: c.removesuffix("_filled").removesuffix("_is_null").removesuffix("_code")
     spark = SparkSession.getActiveSession()
-    rows = [(base(c), float(v)) for c, v in zip(inputs, trees.featureImportances.toArray())]
+    rows = [(base(c), float(v)) for c, v in zip(inputs, gains, strict=True)]
     return spark.createDataFrame(rows, "feature string, importance double").groupBy("feature").agg(
         F.sum("importance").alias("importance")
     )

@@ -86,9 +86,10 @@ def history(t: CreditTables, table: str, mode: str = "strict") -> DataFrame:
 
 
 def joined_features(t: CreditTables) -> DataFrame:
+    t.share_applications()
     t.share_orders()
     return features.credit_features(
-        ingest.prepare_application(session.staged(raw_application(t), "application")),
+        ingest.prepare_application(raw_application(t)),
         features.bureau_features(history(t, "bureau"), history(t, "bureau_balance")),
         features.payment_features(history(t, "installments_payments")),
         features.previous_features(history(t, "previous_application")),
@@ -483,18 +484,17 @@ def permutation_importance(t):
 
 @query
 def gbt_scores(t):
+    """The scores of a fifth of the applications by trees that have seen the others."""
     rows = session.staged(joined_features(t), "features")
     held = session.staged(evaluate.stratified_holdout(rows, ID), "held")
     trees = model.fit_trees(held.filter("holdout = 0"), ID, codes=model.label_codes(held))
-    scored = model.score(trees, held.filter("holdout = 1"))
-    return ingest.hash_ids(scored.select(ID, TARGET, F.col("score").between(0, 1).alias("is_probability")))
+    return ingest.hash_ids(model.score(trees, held.filter("holdout = 1")).select(ID, TARGET, "score"))
 
 
 @query
 def gbt_importance(t):
     rows = session.staged(joined_features(t), "features")
-    found = model.importance(model.fit_trees(rows, ID))
-    return found.select("feature", F.col("importance").between(0, 1).alias("is_share"))
+    return model.importance(model.fit_trees(rows, ID))
 
 
 # --- Throttling ---
@@ -528,6 +528,8 @@ def throttle_stream(t):
     late = F.pmod(F.xxhash64("event_id"), F.lit(LATEST_S))
     second = F.unix_seconds(F.col("ts").cast("timestamp"))
     first, last = events.agg(F.min(second), F.max(second)).first()
+    if first is None:
+        return events.select("event_id", "user_id", F.lit(True).alias("accepted"))  # no events, no decisions
     span = (last - first + LATEST_S) // DELIVERIES + 1
     arrivals = events.withColumn("arrival", second + late)
     folder = session.scratch_path(t.spark, "deliveries")
@@ -550,4 +552,5 @@ def throttle_stream(t):
     closing = events.orderBy(F.col("ts").desc()).limit(1).withColumn("ts", end.cast(events.schema["ts"].dataType))
     closing.write.mode("append").parquet(folder)
     stream_throttle.write_available(flagged, out, checkpoint)
-    return t.spark.read.schema(flagged.schema).parquet(out).select("event_id", "user_id", "accepted")
+    judged = t.spark.read.schema(flagged.schema).parquet(out).filter("late_ms IS NULL")
+    return judged.select("event_id", "user_id", "accepted")

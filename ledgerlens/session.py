@@ -81,8 +81,13 @@ def run_scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _run_folders.remove(folder)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        discard(spark, folder)
+
+
+def discard(spark: SparkSession, folder: str) -> None:
+    """Delete a scratch folder that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

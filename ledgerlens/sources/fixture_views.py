@@ -193,6 +193,13 @@ class CreditTables:
             self._applications = staged(keys, "applications")
         return self._applications
 
+    def share_applications(self) -> None:
+        """Store the applications whole, for queries that read their columns and their histories."""
+        if self._applications is None:
+            stored = staged(self["application_train"], "application")
+            self._views["application_train"] = stored
+            self._applications = stored.select("sk_id_curr", *APPLICATION_HELPERS)
+
     def share_orders(self) -> None:
         """Store the orders of applicants, for queries that read several histories: their join then runs once."""
         if self._shared is None:

@@ -18,11 +18,16 @@ from ledgerlens.operators.throttle import MICROS, accept
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+def _rows(key, t: list[int], tie: list, accepted: list, late_ms: list) -> pd.DataFrame:
+    columns = {"key": [key] * len(t), "t": t, "tie": tie, "accepted": accepted, "late_ms": late_ms}
+    return pd.DataFrame(columns).astype({"t": "int64", "accepted": "boolean", "late_ms": "Int64"})
+
+
 class SlidingLog(StatefulProcessor):
     """Accept events of one key while fewer than ``limit`` accepted ones are younger than the window.
 
     Events wait until the watermark has passed them, so that every earlier one has arrived, and are then judged in time
-    order. A timer lies on every moment that has an event waiting, and where none waits on the moment the log runs out;
+    order. One that arrives when the watermark has passed it is handed on as late, with how far behind it is. A timer lies on every moment that has an event waiting, and where none waits on the moment the log runs out;
     then the key leaves the state.
     """
 
@@ -38,10 +43,13 @@ class SlidingLog(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows))
-        self.waiting.appendList(list(zip(batch["t"].tolist(), batch["tie"].tolist(), strict=True)))
-        for moment in sorted(set((batch["t"] // 1000).tolist())):
+        behind = timerValues.getCurrentWatermarkInMs() - batch["t"] // 1000
+        late, timely = batch[behind > 0], batch[behind <= 0]
+        if len(timely):
+            self.waiting.appendList(list(zip(timely["t"].tolist(), timely["tie"].tolist(), strict=True)))
+        for moment in sorted(set((timely["t"] // 1000).tolist())):
             self.handle.registerTimer(moment)
-        yield pd.DataFrame({"key": [], "t": [], "tie": [], "accepted": []}).astype({"t": "int64", "accepted": "bool"})
+        yield _rows(key[0], late["t"].tolist(), late["tie"].tolist(), [None] * len(late), behind[behind > 0].tolist())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = max(expiredTimerInfo.getExpiryTimeInMs() + 1, timerValues.getCurrentWatermarkInMs())
@@ -62,9 +70,7 @@ class SlidingLog(StatefulProcessor):
         else:
             self.log.clear()
             self.waiting.clear()
-        frame = pd.DataFrame({"t": [t for t, _ in due], "tie": [tie for _, tie in due], "accepted": flags})
-        frame.insert(0, "key", [key[0]] * len(due))
-        yield frame.astype({"t": "int64", "accepted": "bool"})
+        yield _rows(key[0], [t for t, _ in due], [tie for _, tie in due], flags, [None] * len(due))
 
     def close(self) -> None:
         pass
@@ -76,17 +82,18 @@ def throttle_stream(
     """Flag every event of a stream once the watermark, ``delay`` behind the newest event, has passed it.
 
     The answer is that of the batch limiter however events are split and ordered within the delay. An event that arrives
-    behind the watermark is not judged; the engine counts it (``numRowsDroppedByWatermark``). Idle keys leave the state.
-    The session must use the RocksDB state store.
+    behind the watermark is not judged and not dropped either: its row has no ``accepted``, and in ``late_ms`` how far behind
+    it was. So the rows that come out, and those still waiting for the watermark, are the rows that went in. Idle keys leave
+    the state. The session must use the RocksDB state store.
     """
     moment = F.col(ts).cast("timestamp")
     shaped = events.select(
         F.col(key).alias("key"), F.unix_micros(moment).alias("t"), F.col(tie).alias("tie"), moment.alias("at")
-    ).withWatermark("at", delay)
+    ).withWatermark("at", delay).select("key", "t", "tie")  # without the time itself, the engine lets late rows through
     kinds = {f.name: f.dataType.simpleString() for f in shaped.schema}
     flagged = shaped.groupBy("key").transformWithStateInPandas(
         statefulProcessor=SlidingLog(limit, window_s * MICROS, kinds["tie"]),
-        outputStructType=f"key {kinds['key']}, t long, tie {kinds['tie']}, accepted boolean",
+        outputStructType=f"key {kinds['key']}, t long, tie {kinds['tie']}, accepted boolean, late_ms long",
         outputMode="Append",
         timeMode="EventTime",
     )
@@ -103,13 +110,16 @@ def read_events(
 
 
 def write_available(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Process what is there, append it to Parquet and stop. A restart continues where the checkpoint ends."""
+    """Process what is there, append it to Parquet and stop. A restart continues where the checkpoint ends.
+
+    Late events are in a folder of their own, ``is_late=true``, so either table can be read alone.
+    """
     conf, name = stream.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
     before = conf.get(name, None)
     conf.set(name, ROCKSDB)
     try:
         query = (
-            stream.writeStream.format("parquet")
+            stream.withColumn("is_late", F.col("late_ms").isNotNull()).writeStream.format("parquet").partitionBy("is_late")
             .option("checkpointLocation", checkpoint)
             .outputMode("append")
             .trigger(availableNow=True)

@@ -57,3 +57,15 @@ def test_verdict(frame):
     assert (found.correlation_findings, found.null_state_findings, found.leak_found) == (1, 1, True)
     clean = audit.audit_verdict(audit.audit_report(frame.select(F.sha2(F.lit("x"), 256).alias("sk_id_curr"), "target", "gaps")))
     assert clean.first().leak_found is False
+
+
+def test_rows_are_not_multiplied_by_columns(spark):
+    wide = spark.range(500).select((F.col("id") % 2).alias("target"), *[(F.col("id") * k % 17).alias(f"c{k}") for k in range(40)])
+    report = audit.correlation_audit(wide)
+    assert report.count() == 40
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    below = [line for line in plan.splitlines() if "Aggregate" in line]
+    assert len(below) == -(-40 // audit.BLOCK) and "Expand" not in plan
+    # What turns columns into rows stands above the aggregates, so it sees one row for each block.
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    assert max(depth(line) for line in plan.splitlines() if "Generate" in line) < min(map(depth, below))

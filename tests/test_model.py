@@ -56,7 +56,7 @@ def test_trees_learn_save_and_load(spark, rows):
 
 def test_boosting_looks_past_its_best_round(spark, rows):
     noisy = rows.withColumn("target", F.when(F.xxhash64("sk_id_curr") % 4 == 0, 1 - F.col("target")).otherwise(F.col("target")))
-    settings = model.TreeSettings(rounds=120, step=0.1, depth=2, min_rows=5, patience=20, first_block=40)
+    settings = model.TreeSettings(rounds=120, step=0.1, depth=2, min_rows=5, patience=20, block=7)
     fitted = model.fit_trees(noisy, "sk_id_curr", settings)
     kept = fitted.stages[-1].getNumTrees
     assert 1 < kept <= 120

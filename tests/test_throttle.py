@@ -86,7 +86,7 @@ def streamed(spark, folder, schema, delay):
     flagged = streaming.throttle_stream(stream, "user_id", "ts", "event_id", 3, 60, delay)
     out = scratch_path(spark, "flagged")
     query = streaming.write_available(flagged, out, scratch_path(spark, "stream"))
-    return {r.event_id: r.accepted for r in spark.read.schema(flagged.schema).parquet(out).collect()}, query
+    return {r.event_id: (r.accepted, r.late_ms) for r in spark.read.schema(flagged.schema).parquet(out).collect()}, query
 
 
 def test_stream_out_of_order_agrees_with_batch(spark):
@@ -95,19 +95,41 @@ def test_stream_out_of_order_agrees_with_batch(spark):
     got, query = streamed(spark, *delivered(spark, rows, 3), "200 seconds")
     assert len([p for p in query.recentProgress if p["numInputRows"]]) == 3
     end = max(s for _, s in rows) - 200
-    expected = {i: ok for i, ok in brute_force(rows, 3, 60).items() if rows[i][1] < end}
+    expected = {i: (ok, None) for i, ok in brute_force(rows, 3, 60).items() if rows[i][1] < end}
     assert got == expected and len(got) > 200
 
 
-def test_idle_keys_leave_the_state_and_late_events_are_counted(spark):
+def test_idle_keys_leave_the_state_and_late_events_are_kept(spark):
     rows = [(k, k) for k in range(20)] + [(99, 5000)] + [(99, 9000), (3, 10)]
     got, query = streamed(spark, *delivered(spark, rows, 23), "10 seconds")
-    assert got == {i: True for i in range(21)}
+    # The last event but one waits for the watermark; the one after it is behind a watermark of 5000 or 9000 less the delay.
+    assert {i: got[i] for i in range(21)} == {i: (True, None) for i in range(21)} and 21 not in got
+    accepted, late = got.pop(22)
+    assert accepted is None and late in (8_980_000, 4_980_000) and len(got) == 21
     last = [p for p in query.recentProgress if p["stateOperators"]]
-    assert sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in last) == 1
+    assert sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in last) == 0
     assert last[-1]["stateOperators"][0]["numRowsTotal"] < 10
 
 
+def test_output_and_late_events_are_the_input(spark):
+    rng = random.Random(9)
+    rows = sorted(workload(5, 4, 240, 3000), key=lambda r: r[1] + rng.choice([0, 0, 0, 900]))
+    rows.append((2, 10**6))  # takes the watermark past all others
+    folder, schema = delivered(spark, rows, 12)
+    got, _ = streamed(spark, folder, schema, "50 seconds")
+    assert sorted(got) == list(range(240))
+    late = {i for i, (accepted, ms) in got.items() if ms is not None}
+    assert 10 < len(late) < 200 and all(got[i][0] is None and got[i][1] > 0 for i in late)
+    timely = [(k if i not in late else -1, s) for i, (k, s) in enumerate(rows)]
+    expected = brute_force(timely, 3, 60)
+    assert {i: got[i][0] for i in got if i not in late} == {i: expected[i] for i in range(240) if i not in late}
+
+
+def test_the_stream_query_without_events(spark, small, tmp_path):
+    spark.read.parquet(f"{small}/events.parquet").limit(0).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    assert QUERIES["throttle_stream"](spark, str(tmp_path)).collect() == []
+
+
 def test_the_stream_query_judges_every_event(spark, small):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW events AS SELECT * FROM '{small}/events.parquet'")
