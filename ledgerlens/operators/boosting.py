@@ -1,10 +1,11 @@
-"""Gradient boosting that goes on from where it stands: one Spark regression tree a round, on a stored margin.
-
-The margin of a row is half its log-odds, so a finished run is an ordinary Spark classification model. A round fits a tree
-to the rows' Newton steps, residual over curvature, weighted by curvature, so the mean in a leaf is the leaf's Newton step.
-Trees since the margin was last stored are added as it is read; after a block of rounds the margin is written and takes
-them in.
-So a round costs the same however many came before, a run can be continued from any model, and a lost executor costs a round.
+"""Gradient boosting that goes on from where it stands: a few Spark regression trees a round, on a stored margin.
+
+The margin of a row is half its log-odds, so a finished run is an ordinary Spark classification model. A round fits trees to
+the rows' Newton steps, residual over curvature, weighted by curvature, so the mean in a leaf is the leaf's Newton step. Its
+trees are fitted side by side, in the same passes over the rows, each to rows and columns drawn for it; as a step is short,
+they come close to trees fitted one after the other. Trees since the margin was last stored are added as it is read; after a
+block of rounds the margin is written and takes them in. So a round costs the same however many came before, a run can be
+continued from any model, and a lost executor costs a round.
 """
 
 from __future__ import annotations
@@ -27,16 +28,18 @@ LEAST_CURVATURE = 1e-6
 
 @dataclass(frozen=True)
 class BoostSettings:
-    """A round's tree: rows and columns are drawn for it, and it grows to a depth. Boosting ends ``patience`` rounds after the best."""
+    """How trees are drawn and grown, and when boosting ends: at ``rounds`` trees, or ``patience`` trees after the best one."""
 
     rounds: int = 1000
+    #: Trees that are fitted side by side.
+    together: int = 5
     step: float = 0.02
     depth: int = 6
     row_share: float = 0.8
     column_share: float = 0.8
     min_rows: int = 50
     patience: int = 50
-    #: After so many rounds the watched loss of each is looked at, and the margin is stored.
+    #: After so many trees the watched loss of each is looked at, and the margin is stored.
     block: int = 10
     #: Rows that a task gets at least; smaller tables take fewer tasks.
     rows_per_task: int = 4_000
@@ -129,10 +132,10 @@ class _Stored:
 
 
 def boost(rows: DataFrame, s: BoostSettings, start: Boosted | None = None) -> Boosted:
-    """Add rounds to ``start``, or begin with none, until the watched loss has not fallen for ``patience`` rounds.
+    """Add trees to ``start``, or begin with none, until the watched loss has not fallen for ``patience`` trees.
 
     ``rows`` has features, label (0 or 1), weight, and which rows are watched: those are never learned from. Without watched
-    rows of both labels all rounds are taken. The same rows in the same partitions give the same trees.
+    rows of both labels ``rounds`` trees are made. The same rows in the same partitions give the same trees.
     """
     done = Boosted(list(start.trees[: start.best]) if start else [], s.step)
     margin = F.lit(0.0).alias(MARGIN)
@@ -140,15 +143,16 @@ def boost(rows: DataFrame, s: BoostSettings, start: Boosted | None = None) -> Bo
     n, kinds = rows.agg(F.count("*"), F.count_distinct(F.when(F.col(WATCHED), F.col(LABEL)))).first()
     table = _Stored(_with_margin(first, done.trees, s.step), max(1, -(-n // s.rows_per_task)))
     learner = RandomForestRegressor(
-        featuresCol=FEATURES, labelCol="_step", weightCol="_curvature", numTrees=1, maxDepth=s.depth, maxBins=s.bins,
+        featuresCol=FEATURES, labelCol="_step", weightCol="_curvature", maxDepth=s.depth, maxBins=s.bins,
         minInstancesPerNode=s.min_rows, subsamplingRate=s.row_share, featureSubsetStrategy=str(s.column_share), bootstrap=False,
     )
     try:
         while len(done.trees) < s.rounds:
             block: list[DecisionTreeRegressionModel] = []
-            for number in range(len(done.trees), min(len(done.trees) + s.block, s.rounds)):
-                now = _with_margin(table.rows, block, s.step)
-                block.append(learner.setSeed(s.seed + number).fit(_steps(now)).trees[0])
+            while len(block) < min(s.block, s.rounds - len(done.trees)):
+                number = len(done.trees) + len(block)
+                learner.setSeed(s.seed + number).setNumTrees(min(s.together, s.rounds - number))
+                block += learner.fit(_steps(_with_margin(table.rows, block, s.step))).trees
             done.trees += block
             if kinds > 1:
                 done.losses += _watched_losses(table.rows, block, s.step)

@@ -1,8 +1,10 @@
+import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import evaluate, explain, model
+from ledgerlens.plans.queries import QUERIES
 from ledgerlens.session import scratch_path
 
 import synthetic
@@ -60,11 +62,55 @@ def test_boosting_looks_past_its_best_round(spark, rows):
     fitted = model.fit_trees(noisy, "sk_id_curr", settings)
     kept = fitted.stages[-1].getNumTrees
     assert 1 < kept <= 120
+    again = model.fit_trees(noisy, "sk_id_curr", settings)
+    assert again.stages[-1].getNumTrees == kept
     one = model.fit_trees(noisy, "sk_id_curr", model.TreeSettings(rounds=1, depth=2, min_rows=5), early_stop=False)
     auc = lambda trees: evaluate.roc_auc(model.score(trees, noisy), "score").first().auc
     assert auc(fitted) >= auc(one)
 
 
+def test_boosting_goes_on_from_a_model(spark, rows):
+    settings = model.TreeSettings(rounds=6, together=2, block=4, step=0.2, depth=2, min_rows=5)
+    first = model.fit_trees(rows, "sk_id_curr", settings, early_stop=False)
+    path = scratch_path(spark, "model")
+    first.write().overwrite().save(path)
+    more = model.fit_trees(
+        rows, "sk_id_curr", model.TreeSettings(rounds=12, together=2, block=4, step=0.2, depth=2, min_rows=5), early_stop=False,
+        resume=PipelineModel.load(path),
+    )
+    assert (first.stages[-1].getNumTrees, more.stages[-1].getNumTrees) == (6, 12)
+    loss = lambda m: model.score(m, rows).agg(F.avg(-F.log(F.when(F.col("target") == 1, F.col("score")).otherwise(1 - F.col("score"))))).first()[0]
+    assert loss(more) < loss(first) < 0.69
+
+
+def test_a_round_is_a_newton_step(spark):
+    """One leaf: the margin moves by the step times gradient over curvature."""
+    from pyspark.ml.linalg import Vectors
+
+    from ledgerlens.operators import boosting
+
+    data = [(Vectors.dense(1.0), 1.0 if i % 4 == 0 else 0.0, 1.0 + i % 2, False) for i in range(40)]
+    rows = spark.createDataFrame(data, ["features", "label", "weight", "watched"])
+    s = boosting.BoostSettings(rounds=2, together=1, block=1, step=0.5, depth=2, row_share=1.0, column_share=1.0, min_rows=1)
+    done = boosting.boost(rows, s)
+    margin = 0.0
+    for tree in done.trees:
+        p = 1 / (1 + np.exp(-2 * margin))
+        w, y = np.array([r[2] for r in data]), np.array([r[1] for r in data])
+        expected = (w * 2 * (y - p)).sum() / (w * 4 * p * (1 - p)).sum()
+        assert tree.predict(Vectors.dense(1.0)) == pytest.approx(expected)
+        margin += 0.5 * expected
+    score = done.model().transform(rows).first().probability[1]
+    assert score == pytest.approx(1 / (1 + np.exp(-2 * margin)))
+
+
+def test_scores_of_the_query(spark, small):
+    rows = QUERIES["gbt_scores"](spark, small).collect()
+    assert all(0 < r.score < 1 for r in rows) and len({r.score for r in rows}) > 5
+    gains = QUERIES["gbt_importance"](spark, small).collect()
+    assert sum(r.importance for r in gains) == pytest.approx(1.0, abs=1e-3) and all(r.importance >= 0 for r in gains)
+
+
 def test_a_saved_model_rejects_new_labels(spark, rows):
     fitted = model.fit_trees(rows, "sk_id_curr", model.TreeSettings(rounds=1, depth=2, min_rows=5), early_stop=False)
     path = scratch_path(spark, "model")
