@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.session import discard, scratch_path
 
-FEATURES, LABEL, WEIGHT, WATCHED, MARGIN = "features", "label", "weight", "watched", "margin"
+FEATURES, LABEL, WEIGHT, WATCHED, MARGIN, ROW = "features", "label", "weight", "watched", "margin", "row"
 #: Least curvature of a row; the step times the weight stays the exact gradient.
 LEAST_CURVATURE = 1e-6
 
@@ -134,14 +134,16 @@ class _Stored:
 def boost(rows: DataFrame, s: BoostSettings, start: Boosted | None = None) -> Boosted:
     """Add trees to ``start``, or begin with none, until the watched loss has not fallen for ``patience`` trees.
 
-    ``rows`` has features, label (0 or 1), weight, and which rows are watched: those are never learned from. Without watched
-    rows of both labels ``rounds`` trees are made. The same rows in the same partitions give the same trees.
+    ``rows`` has features, label (0 or 1), weight, which rows are watched, those are never learned from, and a number ``row``
+    that orders them, so that the same rows give the same trees. Without watched rows of both labels ``rounds`` trees are made.
     """
     done = Boosted(list(start.trees[: start.best]) if start else [], s.step)
     margin = F.lit(0.0).alias(MARGIN)
-    first = rows.select(FEATURES, F.col(LABEL).cast("double").alias(LABEL), WEIGHT, WATCHED, margin)
     n, kinds = rows.agg(F.count("*"), F.count_distinct(F.when(F.col(WATCHED), F.col(LABEL)))).first()
-    table = _Stored(_with_margin(first, done.trees, s.step), max(1, -(-n // s.rows_per_task)))
+    tasks = max(1, -(-n // s.rows_per_task))
+    dealt = rows.repartition(tasks, ROW).sortWithinPartitions(ROW)
+    first = dealt.select(FEATURES, F.col(LABEL).cast("double").alias(LABEL), WEIGHT, WATCHED, margin)
+    table = _Stored(_with_margin(first, done.trees, s.step), tasks)
     learner = RandomForestRegressor(
         featuresCol=FEATURES, labelCol="_step", weightCol="_curvature", maxDepth=s.depth, maxBins=s.bins,
         minInstancesPerNode=s.min_rows, subsamplingRate=s.row_share, featureSubsetStrategy=str(s.column_share), bootstrap=False,

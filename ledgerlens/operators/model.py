@@ -92,11 +92,12 @@ def fit_trees(
     stages = list(resume.stages[:-1]) if resume else _input_stages(train, codes)
     numeric, categorical = _inputs(stages)
     # A hash of the id picks the watched rows: no rank, no shuffle. Inputs are computed once and stored.
-    watched = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(settings.seed)), F.lit(10)) == 0
+    row = F.xxhash64(F.col(id_col).cast("string"), F.lit(settings.seed))
+    watched = F.pmod(row, F.lit(10)) == 0
     rows = staged(
         PipelineModel(stages).transform(prepare_inputs(train, numeric, categorical)).select(
             "features", F.col(TARGET).alias("label"), F.when(F.col(TARGET) == 1, F.lit(weight)).otherwise(F.lit(1.0)).alias("weight"),
-            (watched & F.lit(early_stop)).alias("watched"),
+            (watched & F.lit(early_stop)).alias("watched"), row.alias("row"),
         ),
         "training",
     )
