@@ -3,6 +3,7 @@ import random
 from collections import deque
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,6 +54,39 @@ def test_a_key_that_never_pauses(spark):
     assert {r.event_id: r.accepted for r in got.collect()} == brute_force(rows, 7, 60)
 
 
+@pytest.mark.parametrize("merged_every", [1, 3, 4096])
+def test_passages_tell_what_parts_do(merged_every):
+    """Joined in any order, parts make of a log what the limiter makes of it event by event."""
+    rng = random.Random(merged_every)
+    for _ in range(400):
+        limit, window, span = rng.randrange(1, 6), rng.choice([3, 10, 30]), rng.choice([5, 20, 60, 200])
+        stamps = sorted(rng.randrange(span) for _ in range(rng.randrange(2, 40)))
+        cuts = sorted(rng.sample(range(1, len(stamps)), min(4, len(stamps) - 1)))
+        head, *rest = (stamps[a:b] for a, b in zip([0, *cuts], [*cuts, len(stamps)]))
+        log = deque()
+        throttle.accept(head, log, limit, window)
+        told = [throttle.passage(np.array(part), limit, window, merged_every) for part in rest]
+        while len(told) > 1:
+            k = rng.randrange(len(told) - 1)
+            told[k : k + 2] = [told[k].then(told[k + 1], limit, window)]
+        got = told[0].after(list(log), limit, window)
+        flags = [ok for part in rest for ok in throttle.accept(part, log, limit, window)]
+        assert got == (sum(flags), [t for t in log if rest[-1][-1] - t < window])
+
+
+def test_rounds_grow_with_the_logarithm_of_the_parts(spark):
+    """A key that never pauses, in 8 and in 64 parts: three rounds more, a table each."""
+    jobs = {}
+    for parts in (8, 64):
+        rows = [(0, s) for s in range(parts * 25)]
+        spark.sparkContext.setJobGroup(f"limiter-{parts}", "")
+        got = throttle.throttle_events(events(spark, rows), "user_id", "ts", "event_id", 7, 60, 25)
+        assert {r.event_id: r.accepted for r in got.collect()} == brute_force(rows, 7, 60)
+        jobs[parts] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"limiter-{parts}"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[64] - jobs[8] <= 3 * 4
+
+
 def test_null_keys_form_one_group(spark):
     rows = [(None, s) for s in range(0, 300, 7)] + [(4, s) for s in range(0, 300, 11)]
     got = throttle.throttle_events(events(spark, rows), "user_id", "ts", "event_id", 2, 60, 10)
