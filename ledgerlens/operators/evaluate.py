@@ -22,11 +22,24 @@ def class_weight(df: DataFrame, label: str = TARGET) -> DataFrame:
     )
 
 
+def _dealt(df: DataFrame, id_col: str, label: str, seed: int, digits: int) -> DataFrame:
+    """The rows with the rank of their id among the shuffled ids of their class, and the size of the class.
+
+    Ids and labels alone are ranked. Wider rows are joined with the ranks by id; of a bucketed table they are not moved.
+    """
+    ranked = shuffled_rank(df.select(id_col, label), id_col, seed, [label], "_rank", "_size", digits)
+    if len(df.columns) == 2:
+        return ranked
+    # Ids are unique; were one not, its rows would stay together.
+    places = ranked.groupBy(id_col).agg(F.min("_rank").alias("_rank"), F.max("_size").alias("_size"))
+    return df.join(places, id_col, "left")
+
+
 def stratified_folds(
     df: DataFrame, id_col: str, label: str = TARGET, folds: int = 5, seed: int = SEED, fold: str = "fold", digits: int = 3
 ) -> DataFrame:
     """Deal the shuffled rows of each class to the folds in turn; sizes differ by one row per class at most."""
-    ranked = shuffled_rank(df, id_col, seed, [label], "_rank", "_size", digits)
+    ranked = _dealt(df, id_col, label, seed, digits)
     return ranked.withColumn(fold, ((F.col("_rank") - 1) % folds).cast("int")).drop("_rank", "_size")
 
 
@@ -35,7 +48,7 @@ def stratified_holdout(
     digits: int = 3,
 ) -> DataFrame:
     """Mark the first fifth (or other whole share) of each class's shuffled rows."""
-    ranked = shuffled_rank(df, id_col, seed, [label], "_rank", "_size", digits)
+    ranked = _dealt(df, id_col, label, seed, digits)
     return ranked.withColumn(flag, (F.col("_rank") * one_in <= F.col("_size")).cast("int")).drop("_rank", "_size")
 
 

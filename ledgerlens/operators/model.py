@@ -16,7 +16,7 @@ from ledgerlens.functions.scalars import present
 from ledgerlens.operators.boosting import Boosted, BoostSettings, boost
 from ledgerlens.operators.evaluate import class_weight, stratified_folds
 from ledgerlens.schemas import CATEGORICAL_FEATURES, MISSING_LABEL, NUMERIC_FEATURES, TARGET
-from ledgerlens.session import checkpoint_dir, staged
+from ledgerlens.session import bucketed, checkpoint_dir, staged
 
 TreeSettings = BoostSettings
 
@@ -152,10 +152,15 @@ def importance(model: PipelineModel) -> DataFrame:
 
 
 def cross_validate(
-    df: DataFrame, id_col: str, folds: int = 5, settings: TreeSettings = TreeSettings()
+    df: DataFrame, id_col: str, folds: int = 5, settings: TreeSettings = TreeSettings(), digits: int = 3
 ) -> DataFrame:
-    """Score every row by a model that has not seen its fold. Returns id, target, fold and score."""
-    dealt = staged(stratified_folds(df, id_col, folds=folds, seed=settings.seed), "folds")
+    """Score every row by a model that has not seen its fold. Returns id, target, fold and score.
+
+    The rows are stored by id once; every fold joins them with its ids, a narrow table, without moving them.
+    """
+    rows = bucketed(df, "rows", id_col)
+    fold_of = staged(stratified_folds(rows.select(id_col, TARGET), id_col, folds=folds, seed=settings.seed, digits=digits), "folds")
+    dealt = rows.join(fold_of.select(id_col, "fold"), id_col)
     codes = label_codes(dealt)
     scored = []
     for k in range(folds):

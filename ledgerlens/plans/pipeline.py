@@ -85,7 +85,7 @@ def _run(spark, raw_dir, out_dir, run_id, trees, auc_limit, salt, pit, folds) ->
     leak_found = audit.audit_verdict(findings).first()["leak_found"]
 
     digits = digits_for(table.count())
-    scores = session.staged(model.cross_validate(table, ID, folds, trees), "cv-scores")
+    scores = session.staged(model.cross_validate(table, ID, folds, trees, digits), "cv-scores")
     by_fold = {r["fold"]: r["auc"] for r in evaluate.roc_auc(scores, "score", by=["fold"]).collect()}
     cv = evaluate.cv_summary(scores, "score").first()
     split = keep(evaluate.stratified_holdout(table, ID, digits=digits), "split")

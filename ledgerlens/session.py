@@ -64,6 +64,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 _run_folders: list[str] = []
+_run_tables: dict[str, list[str]] = {}
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -81,6 +82,8 @@ def run_scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _run_folders.remove(folder)
+        for table in _run_tables.pop(folder, []):
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
         discard(spark, folder)
 
 
@@ -101,3 +104,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, name: str, key: str, buckets: int | None = None) -> DataFrame:
+    """Write the rows as a table dealt and sorted by a key: later joins on the key leave these rows where they are.
+
+    The table lies in the scratch folder and is dropped with it at the end of a run.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    table = path.rsplit("/", 1)[-1].replace("-", "_")
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(n, key).write.bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(table)
+    if _run_folders:
+        _run_tables.setdefault(_run_folders[-1], []).append(table)
+    return spark.table(table)

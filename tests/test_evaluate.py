@@ -4,6 +4,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import evaluate, ranked
+from ledgerlens.session import bucketed
 
 
 @pytest.fixture(scope="module")
@@ -75,6 +76,28 @@ def test_folds_and_holdout(scored):
     assert all(r.h == r.n // 5 for r in held.collect())
 
 
+def wide_exchanges(df, wide):
+    """How many shuffles of the plan carry a column of that name."""
+    plan = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    blocks = [b for b in plan.split("\n\n") if b.lstrip().startswith("(")]
+    return sum(wide in b for b in blocks if "Exchange" in b.splitlines()[0])
+
+
+def test_folds_of_a_bucketed_table_move_ids_alone(spark, scored):
+    rows = scored.withColumn("wide_column", F.repeat(F.col("id").cast("string"), F.lit(50)))
+    stored = bucketed(rows, "rows", "id")
+    joined = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(joined)
+    spark.conf.set(joined, "-1")
+    try:
+        folds = evaluate.stratified_folds(stored, "id")
+        assert wide_exchanges(folds, "wide_column") == 0 < wide_exchanges(evaluate.stratified_folds(rows, "id"), "wide_column")
+        narrow = {r.id: r.fold for r in evaluate.stratified_folds(scored.select("id", "target"), "id").collect()}
+        assert {r.id: r.fold for r in folds.collect()} == narrow
+    finally:
+        spark.conf.set(joined, before)
+
+
 def test_confusion_and_report(spark):
     df = spark.createDataFrame([(0.5, 1), (0.7, 0), (0.1, 0), (0.2, 1), (0.9, 1)], "score double, target int")
     cells = {(r.actual, r.predicted): r.row_count for r in evaluate.confusion_matrix(df, "score").collect()}
