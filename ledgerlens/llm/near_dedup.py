@@ -45,7 +45,7 @@ class Settings:
     trees: int = 6
     leaf: int = 64
     #: A larger node ends once at most so many of its sets are outside its largest connected group.
-    few: int = 1024
+    few: int = 4096
     #: Sets, and about how many of their shingles, that are compared with each other in one unit.
     block: int = 512
     block_shingles: int = 1_000_000
