@@ -7,7 +7,7 @@ from dataclasses import replace
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel
-from pyspark.ml.feature import Imputer, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.scalars import present
 from ledgerlens.operators.boosting import Boosted, BoostSettings, boost
 from ledgerlens.operators.evaluate import class_weight, stratified_folds
+from ledgerlens.operators.impute import filled_statement, overall_medians
 from ledgerlens.schemas import CATEGORICAL_FEATURES, MISSING_LABEL, NUMERIC_FEATURES, TARGET
 from ledgerlens.session import bucketed, checkpoint_dir, staged
 
@@ -71,12 +72,6 @@ def label_codes(df: DataFrame) -> StringIndexerModel | None:
     return indexer.fit(fill_missing_labels(df, categorical))
 
 
-def _usable(df: DataFrame, names: Sequence[str]) -> list[str]:
-    """Names of columns that hold at least one value; the others have no median."""
-    known = df.agg(*[F.count(c).alias(c) for c in names]).first()
-    return [c for c in names if known[c] > 0]
-
-
 def fit_trees(
     train: DataFrame, id_col: str, settings: TreeSettings = TreeSettings(), early_stop: bool = True,
     codes: StringIndexerModel | None = None, resume: PipelineModel | None = None,
@@ -108,19 +103,21 @@ def fit_trees(
 
 
 def _input_stages(train: DataFrame, codes: StringIndexerModel | None) -> list:
-    """Medians, label codes and the feature vector, as fitted stages."""
-    numeric = _usable(train, present(train, NUMERIC_FEATURES))
+    """Exact medians, label codes and the feature vector, as fitted stages. A column without any value is left out."""
+    values = overall_medians(train, present(train, NUMERIC_FEATURES))
+    numeric = present(train, [c for c in NUMERIC_FEATURES if c in values])
     codes = codes or label_codes(train)
-    filled = [f"{c}_filled" for c in numeric]
-    imputer = Imputer(strategy="median", inputCols=numeric, outputCols=filled).fit(with_null_flags(train, numeric))
+    filler = SQLTransformer(statement=filled_statement({c: values[c] for c in numeric}))
     coded = list(codes.getOutputCols()) if codes else []
-    assembler = VectorAssembler(inputCols=[*filled, *[f"{c}_is_null" for c in numeric], *coded], outputCol="features")
-    return [imputer, *([codes] if codes else []), assembler]
+    inputs = [*[f"{c}_filled" for c in numeric], *[f"{c}_is_null" for c in numeric], *coded]
+    return [filler, *([codes] if codes else []), VectorAssembler(inputCols=inputs, outputCol="features")]
 
 
 def _inputs(stages: list) -> tuple[list[str], list[str]]:
     """The numeric and the categorical inputs that the stages read."""
-    return stages[0].getInputCols(), stages[1].getInputCols() if isinstance(stages[1], StringIndexerModel) else []
+    assembler = next(s for s in stages if isinstance(s, VectorAssembler))
+    numeric = [c.removesuffix("_filled") for c in assembler.getInputCols() if c.endswith("_filled")]
+    return numeric, next((s.getInputCols() for s in stages if isinstance(s, StringIndexerModel)), [])
 
 
 def prepare_inputs(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:

@@ -443,6 +443,20 @@ ORACLES["label_encode"] = f"SELECT sk_id_curr, {', '.join(code_of(c) for c in q.
 ORACLES["feature_matrix"] = (
     f"SELECT {project(NUMERIC_FEATURES)}, {', '.join(code_of(c) for c in CATEGORICAL_FEATURES)}, target FROM features"
 )
+ORACLES["impute_medians"] = " UNION ALL ".join(
+    f"SELECT {label} AS {q.IMPUTED_BY}, '{c}' AS feature, COUNT({c}) AS n, ROUND(CAST(median({c}) AS DOUBLE), 6) AS median "
+    f"FROM app {group} HAVING COUNT({c}) > 0"
+    for c in q.IMPUTED
+    for label, group in ((f"COALESCE({q.IMPUTED_BY}, 'MISSING')", "GROUP BY 1"), ("'ALL'", ""))
+)
+ORACLES["imputed_applications"] = (
+    f"SELECT {HASH} AS sk_id_curr, {q.IMPUTED_BY}, "
+    + ", ".join(
+        f"ROUND(CAST(COALESCE({c}, median({c}) OVER (PARTITION BY {q.IMPUTED_BY}), (SELECT median({c}) FROM app)) AS DOUBLE), 6) AS {c}"
+        for c in q.IMPUTED
+    )
+    + " FROM app"
+)
 ORACLES["class_weight"] = (
     "SELECT ROUND(p, 6) AS default_rate, ROUND((1 - p) / NULLIF(p, 0), 6) AS positive_weight "
     "FROM (SELECT AVG(CAST(target AS DOUBLE)) AS p FROM app)"

@@ -11,7 +11,7 @@ from pyspark.sql.types import DoubleType
 
 from ledgerlens import session
 from ledgerlens.functions import scalars as S
-from ledgerlens.operators import audit, evaluate, explain, features, ingest, model, quality, summary, throttle
+from ledgerlens.operators import audit, evaluate, explain, features, impute, ingest, model, quality, summary, throttle
 from ledgerlens.operators.ingest import ID
 from ledgerlens.schemas import MANIFEST, SPECS, TARGET
 from ledgerlens.sources.fixture_views import APPLICATION_CUTOFF, APPLICATION_HELPERS, CreditTables
@@ -408,6 +408,24 @@ def feature_matrix(t):
     return model.feature_matrix(session.staged(joined_features(t), "features"))[0]
 
 
+# Columns with gaps, and what they are filled in by.
+IMPUTED, IMPUTED_BY = ("amt_goods_price", "own_car_age", "ext_source_1", "ext_source_2", "ext_source_3", "days_employed_clean"), "name_income_type"
+
+
+@query
+def impute_medians(t):
+    """By income type, and of all applications under the label ALL."""
+    rows = session.staged(application(t).select(IMPUTED_BY, *IMPUTED), "gaps")
+    overall = impute.medians(rows, IMPUTED).withColumn(IMPUTED_BY, F.lit("ALL"))
+    return impute.medians(rows, IMPUTED, [IMPUTED_BY]).unionByName(overall)
+
+
+@query
+def imputed_applications(t):
+    rows = session.staged(application(t).select(ID, IMPUTED_BY, *IMPUTED), "gaps")
+    return ingest.hash_ids(impute.imputed(rows, IMPUTED, [IMPUTED_BY]))
+
+
 @query
 def class_weight(t):
     return evaluate.class_weight(application(t))
