@@ -1,4 +1,4 @@
-"""What drives a score: exact contributions of a linear score, and permutation importance of any score."""
+"""What drives a score: exact contributions of a linear score; sampled Shapley values and permutation importance of any score."""
 
 from __future__ import annotations
 
@@ -96,3 +96,52 @@ def permutation_importance(
         .filter(F.col("feature") != "")
         .withColumn("importance", F.col("reference_auc") - F.col("permuted_auc"))
     )
+
+
+def log_odds(score: Column) -> Column:
+    """A probability on the scale on which the trees of a model add up."""
+    return F.log(score / (1 - score))
+
+
+def sampled_attribution(
+    df: DataFrame,
+    id_col: str,
+    features: Sequence[str],
+    score: Callable[[DataFrame], DataFrame],
+    samples: int = 2,
+    digits: int = 3,
+) -> DataFrame:
+    """(id, feature, contribution) of every row: Shapley values, estimated from ``samples`` donors and random orders.
+
+    A sample gives a row another row as its donor and takes over the row's own features one by one, in an order drawn for
+    the row. Each step changes the score, and the change is that feature's. The changes of a sample add up to the score less
+    the donor's exactly, whatever the score is made of; their mean over samples has the Shapley value as its expectation,
+    the rows being the background. ``score`` adds a column ``score``. Rows are multiplied by the features once, scored in
+    place, and added up by row and feature before they are shuffled. Ids are unique.
+    """
+    kinds = {f.name: f.dataType for f in df.schema}
+    taken = {c: F.array_position("_order", c) <= F.col("_step") for c in features}
+    own = df.select(id_col, *features)
+    changes = []
+    for k in range(samples):
+        drawn = F.array_sort(
+            F.array(*[F.struct(F.xxhash64(F.col(id_col), F.lit(c), F.lit(k)).alias("draw"), F.lit(c).alias("name")) for c in features])
+        )
+        paired = staged(
+            with_donors(own, id_col, features, seeds=(2 * k + 1, 2 * k + 2), digits=digits).withColumn("_order", F.transform(drawn, lambda d: d["name"])),
+            "paired",
+        )
+        steps = paired.withColumn("_step", F.explode(F.sequence(F.lit(0), F.lit(len(features)))))
+        mixed = steps.withColumns({c: F.when(taken[c], F.col(c)).otherwise(F.col(f"donor.{c}")).cast(kinds[c]) for c in features})
+        # A step's score ends one feature's change and begins the next one's.
+        ends = F.struct(F.get("_order", F.col("_step") - 1).alias("feature"), F.col("score").alias("change"))
+        begins = F.struct(F.get("_order", F.col("_step")).alias("feature"), (-F.col("score")).alias("change"))
+        scored = score(mixed).select(id_col, F.explode(F.array(ends, begins)).alias("c"))
+        changes.append(scored.select(id_col, "c.feature", "c.change").filter("feature IS NOT NULL"))
+    summed = reduce(DataFrame.unionByName, changes).groupBy(id_col, "feature").agg(F.sum("change").alias("total"))
+    return summed.select(id_col, "feature", (F.col("total") / samples).alias("contribution"))
+
+
+def mean_absolute(attribution: DataFrame) -> DataFrame:
+    """(feature, mean_abs_contribution) of attributions of rows."""
+    return attribution.groupBy("feature").agg(F.avg(F.abs("contribution")).alias("mean_abs_contribution"))

@@ -585,6 +585,16 @@ ORACLES["permutation_importance"] = " UNION ALL ".join(
     f"ROUND(f.auc - x.auc, 6) AS importance FROM ({ranking(permuted_scores(c))}) x, ({ranking(permuted_scores(None))}) f"
     for c in q.WEIGHTS
 )
+for _seed in (1, 2, 3, 4):
+    STEPS[f"numbered_{_seed}"] = numbered(_seed)
+# Of a linear score, a feature's change is the same in any order.
+ORACLES["sampled_attribution"] = " UNION ALL ".join(
+    f"SELECT {HASH.replace('sk_id_curr', 'a.sk_id_curr')} AS sk_id_curr, '{c}' AS feature, "
+    f"ROUND(CAST({w} AS DOUBLE) * (COALESCE(CAST(a.{c} AS DOUBLE), 0) - (COALESCE(CAST(b.{c} AS DOUBLE), 0) "
+    f"+ COALESCE(CAST(d.{c} AS DOUBLE), 0)) / 2), 6) + 0.0::DOUBLE AS contribution FROM numbered_1 a JOIN numbered_2 b ON b.nr = a.nr "
+    f"JOIN numbered_3 e ON e.sk_id_curr = a.sk_id_curr JOIN numbered_4 d ON d.nr = e.nr"
+    for c, w in q.WEIGHTS.items()
+)
 WINDOW_US = q.THROTTLE_WINDOW_S * 1_000_000
 ORACLES["throttle_window"] = f"""
 SELECT user_id, t, CAST(MAX(requests) AS BIGINT) AS requests, CAST(MAX(trailing_count) AS BIGINT) AS trailing_count FROM (

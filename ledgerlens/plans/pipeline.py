@@ -14,6 +14,9 @@ from ledgerlens.operators.ranked import digits_for
 from ledgerlens.schemas import AUC_LIMIT, MANDATORY, MANIFEST, TARGET
 from ledgerlens.sources.tables import load_all, write_csv, write_table
 
+#: Applications whose contributions are sampled, against each other as background.
+EXPLAINED_ROWS = 2_000
+
 
 @dataclass(frozen=True)
 class Outcome:
@@ -104,6 +107,10 @@ def _run(spark, raw_dir, out_dir, run_id, trees, auc_limit, salt, pit, folds) ->
         table.select(ID, TARGET, *inputs), ID, inputs, lambda df: model.score(fitted, df), digits=digits
     )
     write_csv(explained.orderBy(F.desc("importance"), "feature"), f"{base}/explanation_csv")
+    some = session.staged(table.select(ID, *inputs).orderBy(F.xxhash64(ID)).limit(EXPLAINED_ROWS), "explained")
+    on_margin = lambda df: model.score(fitted, df).withColumn("score", explain.log_odds(F.col("score")))
+    attribution = keep(explain.sampled_attribution(some, ID, inputs, on_margin, digits=1), "attribution")
+    write_csv(explain.mean_absolute(attribution).orderBy(F.desc("mean_abs_contribution"), "feature"), f"{base}/attribution_csv")
 
     gate = evaluate.model_gate(scored, "score", threshold=auc_limit).first()
     precision = evaluate.average_precision(scored, "score").first()["average_precision"]

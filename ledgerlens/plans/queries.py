@@ -493,6 +493,15 @@ def linear_attribution_local(t):
     return ingest.hash_ids(explain.local_attribution(rows, ID, WEIGHTS))
 
 
+@query
+def sampled_attribution(t):
+    """Shapley values of the fixed linear score, by the way that takes any score."""
+    rows = session.staged(risk_features(t).select(ID, *WEIGHTS), "explained")
+    found = explain.sampled_attribution(rows, ID, list(WEIGHTS), lambda df: df.withColumn("score", explain.linear_score(WEIGHTS)))
+    # No negative zero is left.
+    return ingest.hash_ids(found.withColumn("contribution", F.round("contribution", PLACES) + F.lit(0.0)))
+
+
 @query
 def permutation_importance(t):
     rows = session.staged(risk_features(t).select(ID, TARGET, *WEIGHTS), "explained")

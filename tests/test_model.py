@@ -140,6 +140,44 @@ def test_linear_attribution_adds_up(rows):
     assert local.count() == 400 and local.filter("rank <> 1").count() == 0
 
 
+def test_sampled_attributions_add_up(spark, rows):
+    """For any score a row's contributions sum up to its score less the mean of its donors'."""
+    names = ["ext_source_2", "days_birth", "ext_source_3"]
+    score = lambda df: df.withColumn("score", F.col("ext_source_2") * F.coalesce("ext_source_3", F.lit(0.5)) + F.sin("days_birth"))
+    some = rows.select("sk_id_curr", *names)
+    found = explain.sampled_attribution(some, "sk_id_curr", names, score, samples=3)
+    assert found.count() == 400 * 3
+    total = found.groupBy("sk_id_curr").agg(F.sum("contribution").alias("sum"))
+    both = total.join(score(some), "sk_id_curr").select((F.col("score") - F.col("sum")).alias("base"))
+    donors = score(some).agg(F.avg("score").alias("mean"), F.min("score").alias("low"), F.max("score").alias("high")).first()
+    base = both.agg(F.avg("base"), F.min("base"), F.max("base")).first()
+    assert base[0] == pytest.approx(donors.mean) and donors.low <= base[1] and base[2] <= donors.high
+
+
+def test_sampled_attributions_of_a_linear_score(rows):
+    weights = {"ext_source_2": -2.0, "days_birth": 0.001}
+    score = lambda df: df.withColumn("score", explain.linear_score(weights))
+    some = rows.select("sk_id_curr", *weights).filter("ext_source_2 IS NOT NULL AND days_birth IS NOT NULL")
+    samples, n = 8, some.count()
+    got = explain.sampled_attribution(some, "sk_id_curr", list(weights), score, samples).join(some, "sk_id_curr").collect()
+    values = {c: np.array([r[c] for r in some.collect()], float) for c in weights}
+    for c, w in weights.items():
+        error = np.array([r.contribution - w * (r[c] - values[c].mean()) for r in got if r.feature == c])
+        standard = abs(w) * values[c].std() / np.sqrt(samples)
+        assert len(error) == n and abs(error).max() < 6 * standard and error.std() == pytest.approx(standard, rel=0.2)
+    shares = {r.feature: r.mean_abs_contribution for r in explain.mean_absolute(explain.sampled_attribution(some, "sk_id_curr", list(weights), score)).collect()}
+    assert set(shares) == set(weights)
+
+
+def test_attributions_of_trees(spark, rows):
+    fitted = model.fit_trees(rows, "sk_id_curr", model.TreeSettings(rounds=4, step=0.3, depth=3, min_rows=5), early_stop=False)
+    inputs = [r.feature for r in model.importance(fitted).collect()]
+    on_margin = lambda df: model.score(fitted, df).withColumn("score", explain.log_odds(F.col("score")))
+    found = explain.sampled_attribution(rows.select("sk_id_curr", *inputs).limit(60), "sk_id_curr", inputs, on_margin, samples=1)
+    strongest = explain.mean_absolute(found).orderBy(F.desc("mean_abs_contribution")).first()
+    assert strongest.feature == "ext_source_2" and found.count() == 60 * len(inputs)
+
+
 def test_permuting_the_only_used_feature_costs_all_the_auc(rows):
     score = lambda df: df.withColumn("score", -F.col("ext_source_2"))
     got = {r.feature: r for r in explain.permutation_importance(rows, "sk_id_curr", ["ext_source_2", "days_birth"], score).collect()}

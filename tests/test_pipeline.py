@@ -40,6 +40,8 @@ def test_full_run(spark, raw_dir, tmp_path):
     assert float(log["scale_pos_weight"]) > 1 and int(log["n_features"]) == len(csv_rows(tmp_path / "r1" / "importance_csv"))
     shown = csv_rows(tmp_path / "r1" / "explanation_csv")
     assert len(shown) == int(log["n_features"])
+    assert len(csv_rows(tmp_path / "r1" / "attribution_csv")) == int(log["n_features"])
+    assert outcome.tables["attribution"].count() == 300 * int(log["n_features"])
     features, stored = str(tmp_path / "r1" / "credit_features"), str(tmp_path / "r1" / "model")
     assert commands.main(["gate", stored, features, "--limit", "0.0"]) == 0
     assert commands.main(["gate", stored, features, "--limit", "1.1"]) == 1
