@@ -16,6 +16,7 @@ from ledgerlens import session
 from ledgerlens.operators import audit, evaluate, model
 from ledgerlens.plans import pipeline
 from ledgerlens.schemas import AUC_LIMIT, TARGET
+from ledgerlens.sources import versions
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> int:
@@ -27,7 +28,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
 def gate(spark: SparkSession, args: argparse.Namespace) -> int:
     """Score every row of a feature table with a stored model."""
     with session.run_scratch(spark):
-        scored = model.score(PipelineModel.load(args.model), spark.read.parquet(args.features)).select(TARGET, "score")
+        scored = model.score(PipelineModel.load(versions.current(spark, args.model)), versions.read_table(spark, args.features)).select(TARGET, "score")
         result = evaluate.model_gate(scored, "score", threshold=args.limit).first()
     print(f"AUC {result['auc']:.4f}, threshold {args.limit}, passed: {result['passed']}")
     return 0 if result["passed"] else 1
@@ -35,7 +36,7 @@ def gate(spark: SparkSession, args: argparse.Namespace) -> int:
 
 def check_leaks(spark: SparkSession, args: argparse.Namespace) -> int:
     with session.run_scratch(spark):
-        report = session.staged(audit.audit_report(spark.read.parquet(args.features)), "audit")
+        report = session.staged(audit.audit_report(versions.read_table(spark, args.features)), "audit")
         for row in report.filter("flagged").orderBy("check", "feature").toLocalIterator():
             print(f"{row['check']}: {row['feature']} {row['value']:.4f}")
         found = audit.audit_verdict(report).first()["leak_found"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,8 +12,10 @@ from ledgerlens import session
 from ledgerlens.operators import audit, evaluate, explain, features, ingest, model, quality, summary
 from ledgerlens.operators.ingest import ID
 from ledgerlens.operators.ranked import digits_for
-from ledgerlens.schemas import AUC_LIMIT, MANDATORY, MANIFEST, TARGET
-from ledgerlens.sources.tables import load_all, write_csv, write_table
+from ledgerlens.schemas import AUC_LIMIT, MANDATORY, MANIFEST, SPECS, TARGET
+from ledgerlens.plans.graph import Table, Tables, build, in_order
+from ledgerlens.sources import versions
+from ledgerlens.sources.tables import read_csv, write_csv
 
 #: Applications whose contributions are sampled, against each other as background.
 EXPLAINED_ROWS = 2_000
@@ -28,20 +31,61 @@ class Outcome:
     passed: bool
 
 
-def build_features(
-    raw: dict[str, DataFrame], application: DataFrame | None = None, pit: str = "strict"
-) -> DataFrame:
+def build_features(raw: Tables, application: DataFrame | None = None, pit: str = "strict") -> DataFrame:
     """The joined feature table from raw tables, hashed last: a 128-character key would be dear to shuffle."""
-    known = {s.name: ingest.prepare_history(raw[s.name], s.name, pit) for s in MANIFEST[1:]}
+    known = lambda name: ingest.prepare_history(raw[name], name, pit)
     base = application if application is not None else ingest.prepare_application(raw["application_train"])
     return features.credit_features(
         base,
-        features.bureau_features(known["bureau"], known["bureau_balance"]),
-        features.payment_features(known["installments_payments"]),
-        features.previous_features(known["previous_application"]),
+        features.bureau_features(known("bureau"), known("bureau_balance")),
+        features.payment_features(known("installments_payments")),
+        features.previous_features(known("previous_application")),
     )
 
 
+def table_graph(pit: str, salt: str | None) -> list[Table]:
+    """The stored tables of a run that need no model, with their sources."""
+    settings = f"pit={pit} salt={hashlib.sha256((salt or '').encode()).hexdigest()}"
+    prepared: list[DataFrame] = []
+
+    def application(t: Tables) -> DataFrame:
+        if not prepared:
+            prepared.append(session.staged(ingest.prepare_application(t["application_train"]), "application"))
+        return prepared[0]
+
+    def clean(name: str) -> Table:
+        return Table(f"clean_{name}", (name,), lambda t: ingest.clean_history(t[name], name, pit, salt), settings)
+
+    return [
+        Table("clean_application", ("application_train",), lambda t: ingest.hash_ids(application(t), salt), settings),
+        *[clean(spec.name) for spec in MANIFEST[1:]],
+        Table(
+            "credit_features",
+            ("application_train", "bureau", "bureau_balance", "installments_payments", "previous_application"),
+            lambda t: ingest.hash_ids(build_features(t, application(t), pit), salt), settings,
+        ),
+        Table("credit_summary", ("clean_application",), lambda t: summary.credit_summary(t["clean_application"])),
+        Table("audit", ("credit_features",), lambda t: audit.audit_report(t["credit_features"])),
+    ]
+
+
+def stored_tables(
+    spark: SparkSession, raw_dir: str, base: str, pit: str = "strict", salt: str | None = None
+) -> tuple[dict[str, DataFrame], list[str]]:
+    """Bring the tables that need no model up to date; (tables, names of those that were rebuilt).
+
+    A missing file is named before any job. The headers of all files are then checked, and a file is read once, where a
+    table made from it is out of date; the copies hold raw ids and go with the run's scratch folder.
+    """
+    files = {spec.name: versions.fingerprint_of_files(spark, f"{raw_dir}/{spec.name}.csv") for spec in MANIFEST}
+    graph = table_graph(pit, salt)
+    in_order(graph, [name for name, mark in files.items() if mark is not None])
+    raw = {name: read_csv(spark, raw_dir, SPECS[name]) for name in files}
+    for table, required in MANDATORY.items():
+        quality.assert_contract(raw[table], table, required)
+    return build(spark, base, graph, files, lambda name: session.staged(raw[name], name))
+
+
 def run(
     spark: SparkSession,
     raw_dir: str,
@@ -53,9 +97,10 @@ def run(
     pit: str = "strict",
     folds: int = 5,
 ) -> Outcome:
-    """Rebuild everything below ``<out_dir>/<run_id>``.
+    """Bring everything below ``<out_dir>/<run_id>`` up to date.
 
-    The model is fitted on four fifths of the applications and judged on the rest.
+    Tables whose files and settings are unchanged are kept. The model is fitted on four fifths of the applications and judged
+    on the rest. Readers see the new tables all at once, by ``versions.open_run``, when the run has come to its end.
     """
     session.configure(spark)
     with session.run_scratch(spark):
@@ -64,28 +109,15 @@ def run(
 
 def _run(spark, raw_dir, out_dir, run_id, trees, auc_limit, salt, pit, folds) -> Outcome:
     base = f"{out_dir}/{run_id}"
-    raw = load_all(spark, raw_dir)
-    for table, required in MANDATORY.items():
-        quality.assert_contract(raw[table], table, required)
-    # Files are parsed once; the copies hold raw ids and go with the run's scratch folder.
-    raw = {name: session.staged(df, name) for name, df in raw.items()}
-
-    stored: dict[str, DataFrame] = {}
+    stored, _ = stored_tables(spark, raw_dir, base, pit, salt)
+    table = stored["credit_features"]
 
     def keep(df: DataFrame, name: str) -> DataFrame:
-        stored[name] = write_table(df, base, name)
+        stored[name] = versions.replace_table(df, f"{base}/{name}")
         return stored[name]
 
-    application = session.staged(ingest.prepare_application(raw["application_train"]), "application")
-    keep(ingest.hash_ids(application, salt), "clean_application")
-    for spec in MANIFEST[1:]:
-        keep(ingest.clean_history(raw[spec.name], spec.name, pit, salt), f"clean_{spec.name}")
-    table = keep(ingest.hash_ids(build_features(raw, application, pit), salt), "credit_features")
-    keep(summary.credit_summary(stored["clean_application"]), "credit_summary")
-
     # The audit comes before training.
-    findings = keep(audit.audit_report(table), "audit")
-    leak_found = audit.audit_verdict(findings).first()["leak_found"]
+    leak_found = audit.audit_verdict(stored["audit"]).first()["leak_found"]
 
     digits = digits_for(table.count())
     scores = session.staged(model.cross_validate(table, ID, folds, trees, digits), "cv-scores")
@@ -94,7 +126,9 @@ def _run(spark, raw_dir, out_dir, run_id, trees, auc_limit, salt, pit, folds) ->
     split = keep(evaluate.stratified_holdout(table, ID, digits=digits), "split")
     train = split.filter("holdout = 0").drop("holdout")
     fitted = model.fit_trees(train, ID, trees, codes=model.label_codes(table))
-    fitted.write().overwrite().save(f"{base}/model")
+    path = versions.new_version(f"{base}/model")
+    fitted.write().save(path)
+    versions.move_pointer(spark, f"{base}/model", {"version": path.rsplit("/", 1)[1]})
     scored = keep(
         model.score(fitted, split.filter("holdout = 1")).select(ID, TARGET, "score"), "holdout_scores"
     )
@@ -124,4 +158,5 @@ def _run(spark, raw_dir, out_dir, run_id, trees, auc_limit, salt, pit, folds) ->
         "trees": fitted.stages[-1].getNumTrees,
     }
     model.log_run(spark, f"{out_dir}/runs", run_id, params, metrics)
+    versions.commit_run(spark, base, list(stored), ["model"])
     return Outcome(stored, leak_found, gate["auc"], gate["passed"])

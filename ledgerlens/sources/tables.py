@@ -55,13 +55,6 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def write_table(df: DataFrame, out_dir: str, name: str) -> DataFrame:
-    """Replace a stored table and return it as stored."""
-    path = f"{out_dir}/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def write_csv(df: DataFrame, path: str) -> None:
     """A small report as one CSV file with a header."""
     df.coalesce(1).write.mode("overwrite").csv(path, header=True)

@@ -1,4 +1,5 @@
 import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,8 +7,9 @@ from pyspark.sql import functions as F
 from ledgerlens.operators import quality
 from ledgerlens import __main__ as commands
 from ledgerlens.operators.model import TreeSettings
-from ledgerlens.plans import pipeline
+from ledgerlens.plans import graph, pipeline
 from ledgerlens.session import checkpoint_dir
+from ledgerlens.sources import versions
 
 import synthetic
 
@@ -46,15 +48,58 @@ def test_full_run(spark, raw_dir, tmp_path):
     assert commands.main(["gate", stored, features, "--limit", "0.0"]) == 0
     assert commands.main(["gate", stored, features, "--limit", "1.1"]) == 1
     assert commands.main(["audit", features]) == int(outcome.leak_found)
-    leaky = spark.read.parquet(features).withColumn("leak", F.col("target") * 2)
+    leaky = versions.read_table(spark, features).withColumn("leak", F.col("target") * 2)
     leaky.write.parquet(str(tmp_path / "leaky"))
     assert commands.main(["audit", str(tmp_path / "leaky")]) == 1
+    finished = versions.open_run(spark, str(tmp_path / "r1"))
+    assert set(finished) == set(outcome.tables) and finished["credit_features"].count() == 300
 
 
 def csv_rows(folder):
     return next(folder.glob("part-*.csv")).read_text().splitlines()[1:]
 
 
+def test_only_what_depends_on_a_changed_file_is_rebuilt(spark, raw_dir, tmp_path):
+    raw, base = tmp_path / "raw", str(tmp_path / "r1")
+    shutil.copytree(raw_dir, raw)
+    first, rebuilt = pipeline.stored_tables(spark, str(raw), base)
+    assert set(rebuilt) == set(first) >= {"clean_application", "clean_bureau", "credit_features", "credit_summary", "audit"}
+    _, rebuilt = pipeline.stored_tables(spark, str(raw), base)
+    assert rebuilt == []
+    lines = (raw / "credit_card_balance.csv").read_text()
+    (raw / "credit_card_balance.csv").write_text(lines + "\n")
+    _, rebuilt = pipeline.stored_tables(spark, str(raw), base)
+    assert rebuilt == ["clean_credit_card_balance"]
+    payments = (raw / "installments_payments.csv").read_text().splitlines()
+    (raw / "installments_payments.csv").write_text("\n".join(payments[:-5]) + "\n")
+    tables, rebuilt = pipeline.stored_tables(spark, str(raw), base)
+    assert set(rebuilt) == {"clean_installments_payments", "credit_features", "audit"}
+    assert tables["clean_installments_payments"].count() < first["clean_installments_payments"].count()
+    _, rebuilt = pipeline.stored_tables(spark, str(raw), base, salt="other")
+    assert "clean_bureau" in rebuilt and "credit_summary" in rebuilt
+
+
+def test_a_missing_file_is_named_before_any_job(spark, raw_dir, tmp_path):
+    raw = tmp_path / "raw"
+    shutil.copytree(raw_dir, raw)
+    (raw / "bureau_balance.csv").unlink()
+    spark.sparkContext.setJobGroup("missing", "")
+    with pytest.raises(ValueError, match="credit_features needs bureau_balance"):
+        pipeline.stored_tables(spark, str(raw), str(tmp_path / "r1"))
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("missing")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_tables_are_put_behind_their_sources():
+    made = lambda name, *sources: graph.Table(name, sources, lambda t: None)
+    ordered = graph.in_order([made("c", "b", "x"), made("b", "a"), made("a", "x")], ["x"])
+    assert [t.name for t in ordered] == ["a", "b", "c"]
+    with pytest.raises(ValueError, match="a needs y; b needs z"):
+        graph.in_order([made("a", "y"), made("b", "z", "a")], ["x"])
+    with pytest.raises(ValueError, match="made from each other: a, b"):
+        graph.in_order([made("a", "b"), made("b", "a"), made("c")], [])
+
+
 def test_a_missing_column_stops_the_run(spark, raw_dir, tmp_path):
     broken = tmp_path / "raw"
     broken.mkdir()

@@ -41,11 +41,6 @@ def test_header_only_files_keep_their_types(spark, tmp_path):
     assert df.count() == 0 and df.schema == SPECS["bureau_balance"].schema
 
 
-def test_write_table_replaces(spark, tmp_path):
-    tables.write_table(spark.range(5), str(tmp_path), "t")
-    assert tables.write_table(spark.range(3), str(tmp_path), "t").count() == 3
-
-
 def test_write_csv(spark, tmp_path):
     tables.write_csv(spark.createDataFrame([("a", 0.5)], "feature string, importance double"), str(tmp_path / "out"))
     text = next((tmp_path / "out").glob("part-*.csv")).read_text()
