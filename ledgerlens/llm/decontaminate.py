@@ -10,21 +10,26 @@ can only be found if it starts with two neighbouring words (or the one word) of
   words inside any occurrence of a window are hit. Matches never cross documents.
 * A missing text, and an empty one, has no words and no matches; an item without words is never found. Repeated rows and
   repeated items are judged each on its own. Items without an id take part, but are not listed. Extra columns are kept.
-* Items are read in blocks of at most ``block_words`` words (or one item), each one a pass over the shards, so what is
-  sent to a task does not grow with the benchmark. Its suffix order is small, that of a shard never leaves its task.
+* Items are numbered into blocks of about ``block_words`` words (or one item). A block is sent to the tasks, searched in
+  all shards, and its findings are stored before the next one is read, so neither a task nor the driver holds more than one;
+  findings are put together by document. Its suffix order is small, that of a shard never leaves its task.
+* Places are listed only where a match is as long as it gets: behind the last word that agrees, and, by the word before them,
+  where it cannot begin earlier. So long runs of one word give as many rows as there are such matches.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import fresh, slices
+from ledgerlens.llm.common import fresh, numbered, slices, union
+from ledgerlens.operators.ranked import running_totals
+from ledgerlens.session import staged
 
 WINDOW = 13
 
@@ -34,6 +39,8 @@ _TO_WORDS = bytes(
     for i in range(256)
 )
 
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
 MATCHES = "matches array<struct<item_id:long,item_start:int,doc_start:int,length:int>>"
 
 
@@ -42,6 +49,8 @@ class Settings:
     window: int = WINDOW
     block_words: int = 2_000_000
     shard_words: int = 1_000_000
+    #: Whether longest matches are listed, or only hit words and items.
+    matches: bool = True
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -140,36 +149,69 @@ def _places(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes) + low[of], of
 
 
-def _same(shard: Shard, block: Block, place: np.ndarray, item: np.ndarray, of: np.ndarray, like: np.ndarray) -> np.ndarray:
-    """Whether a place holds the item's word there, in the same document as ``of`` and the same item as ``like``."""
-    inside = (place >= 0) & (place < len(shard.stream)) & (item >= 0) & (item < len(block.stream))
-    p, i = np.where(inside, place, 0), np.where(inside, item, 0)
-    return (
-        inside & (shard.doc_of[p] == shard.doc_of[of]) & (block.item_of[i] == block.item_of[like])
-        & (shard.stream[p] == block.stream[i])
-    )
-
-
-def _search(texts: list[str | None], block: Block, window: int) -> list[tuple[int, list[int], list[dict]]]:
-    """For each text: its number of words, the words that are hit, and the longest matches that hold a window."""
+def _before(stream: np.ndarray, owner: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The word before each place within its text, -1 at the beginning."""
+    inside = (at > 0) & (owner[np.maximum(at - 1, 0)] == owner[at])
+    return np.where(inside, stream[np.maximum(at - 1, 0)], -1)
+
+
+def _ended(shard: Shard, block: Block, depth: int, query: np.ndarray, low: np.ndarray, high: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """(item place, place, depth) of the matches that reach no further on either side.
+
+    Ranges that several suffixes share are gone through once, in order of the word before and the word behind each place; a
+    suffix then leaves out the places that agree with its own word there.
+    """
+    ranges, which = np.unique(np.stack([low, high]), axis=1, return_inverse=True)
+    rows, of = _places(ranges[0], ranges[1])
+    places = at[rows]
+    none = len(block.codes)
+    before = _before(shard.stream, shard.doc_of, places)
+    left = shard.ends[shard.doc_of[places]] - places
+    behind = np.where(left > depth, shard.stream[np.minimum(places + depth, len(shard.stream) - 1)], none)
+    # Words beyond the items, and beginnings and ends, agree with nothing: they are told apart from the items' words.
+    before = np.where(before == none, -1, before)
+    order = np.lexsort((behind, before, of))
+    places, before, behind, of = places[order], before[order], behind[order], of[order]
+    edge = np.flatnonzero((np.diff(of, prepend=-1) != 0) | (np.diff(before, prepend=-2) != 0) | (np.diff(behind, prepend=-2) != 0))
+    end = np.append(edge[1:], len(of))
+    first, last = np.searchsorted(of[edge], np.arange(ranges.shape[1])), np.searchsorted(of[edge], np.arange(ranges.shape[1]), "right")
+    which = which.reshape(-1)
+    group, asker = _places(first[which], last[which])  # groups of places with the same words around, for each suffix
+    own_before = _before(block.stream, block.item_of, query)[asker]
+    own_behind = np.where(block.left[query] > depth, block.stream[np.minimum(query + depth, len(block.stream) - 1)], -1)[asker]
+    apart = ((before[edge[group]] < 0) | (before[edge[group]] != own_before)) & (behind[edge[group]] != own_behind)
+    group, asker = group[apart], asker[apart]
+    rows, of_group = _places(edge[group], end[group])
+    return np.stack([query[asker][of_group], places[rows], np.full(len(rows), depth)])
+
+
+def _search(texts: list[str | None], block: Block, s: Settings) -> list[tuple[int, list[int], list[int], list[dict]]]:
+    """For each text: its number of words, the words that are hit, the items with a window there, and the longest matches."""
     shard = Shard(texts, block)
     marks = np.zeros(len(shard.stream) + 1, np.int64)
     longest: list[np.ndarray] = []
+    pairs: list[np.ndarray] = []
     for depth, query, low, high, at in shard.search(block):
         whole = block.needed[query] == depth
         if whole.any():
-            ranges = np.unique(np.stack([low[whole], high[whole]]), axis=1)
-            starts = at[_places(ranges[0], ranges[1])[0]]
-            np.add.at(marks, starts, 1)
-            np.add.at(marks, starts + depth, -1)
-        long = (block.needed[query] > 0) & (depth >= block.needed[query])
-        if long.any():
-            rows, of = _places(low[long], high[long])
-            places, items = at[rows], query[long][of]
-            whole_match = ~_same(shard, block, places - 1, items - 1, places, items)
-            whole_match &= ~_same(shard, block, places + depth, items + depth, places, items)
-            longest.append(np.stack([items, places, np.full(len(items), depth)])[:, whole_match])
+            ranges, which = np.unique(np.stack([low[whole], high[whole]]), axis=1, return_inverse=True)
+            rows, of = _places(ranges[0], ranges[1])
+            np.add.at(marks, at[rows], 1)
+            np.add.at(marks, at[rows] + depth, -1)
+            # Each range's documents, for each item that asks for the range.
+            docs = np.unique(np.stack([of, shard.doc_of[at[rows]]]), axis=1)
+            asked = np.unique(np.stack([which.reshape(-1), block.item_of[query[whole]]]), axis=1)
+            first, last = np.searchsorted(docs[0], asked[0]), np.searchsorted(docs[0], asked[0], "right")
+            rows, of = _places(first, last)
+            pairs.append(np.stack([docs[1][rows], asked[1][of]]))
+        if s.matches:
+            long = (block.needed[query] > 0) & (depth >= block.needed[query])
+            if long.any():
+                longest.append(_ended(shard, block, depth, query[long], low[long], high[long], at))
     hit = np.cumsum(marks[:-1]) > 0
+    items: list[list[int]] = [[] for _ in texts]
+    for doc, item in (np.unique(np.concatenate(pairs, axis=1), axis=1).T.tolist() if pairs else []):
+        items[doc].append(block.items[item])
     found: list[list[dict]] = [[] for _ in texts]
     begins = shard.ends - shard.sizes
     for item, place, length in (np.concatenate(longest, axis=1).T.tolist() if longest else []):
@@ -179,22 +221,24 @@ def _search(texts: list[str | None], block: Block, window: int) -> list[tuple[in
             "doc_start": int(place - begins[doc]), "length": length,
         })
     return [
-        (int(size), (np.flatnonzero(hit[b:e])).tolist(), matches)
-        for size, b, e, matches in zip(shard.sizes, begins, shard.ends, found, strict=True)
+        (int(size), (np.flatnonzero(hit[b:e])).tolist(), [i for i in own if i is not None], matches)
+        for size, b, e, own, matches in zip(shard.sizes, begins, shard.ends, items, found, strict=True)
     ]
 
 
-def _blocks(benchmark: DataFrame, item_id: str, text: str, most: int) -> Iterator[list[tuple]]:
-    """The items in blocks of bounded size; only one is in the driver at a time."""
-    block, size = [], 0
-    for row in benchmark.select(F.col(item_id), F.col(text)).toLocalIterator():
-        n = len(words_of(row[1]))
-        if block and size + n > most:
-            yield block
-            block, size = [], 0
-        block.append((row[0], row[1]))
-        size += n
-    yield block
+def _blocked(benchmark: DataFrame, item_id: str, text: str, s: Settings) -> tuple[DataFrame, int]:
+    """(item_id, text, block), stored, and the number of blocks."""
+    rows = numbered(
+        benchmark.select(
+            F.col(item_id).cast("bigint").alias("item_id"), F.col(text).alias("text"),
+            F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).alias("words"),
+        ),
+        "items",
+    )
+    upto = running_totals(rows, [F.col("uid")], {"upto": "words"})
+    block = F.floor(F.greatest(F.col("upto") - 1, F.lit(0)) / s.block_words).cast("int")
+    items = staged(upto.select("item_id", "text", block.alias("block")), "item-blocks")
+    return items, (items.agg(F.max("block")).first()[0] or 0) + 1
 
 
 def matched(
@@ -202,35 +246,40 @@ def matched(
     item_id: str = "item_id", item_text: str = "text", name: str = "contamination",
 ) -> DataFrame:
     """The documents with a struct column: n_words, n_hit, items (ids in order, each once) and the longest matches."""
-    result = docs
-    parts = []
-    for items in _blocks(benchmark, item_id, item_text, settings.block_words):
-        part = fresh(result, "_part")
-        result = result.withColumn(part, _searcher(docs.sparkSession, items, settings)(F.col(text)))
-        parts.append(part)
-    hits = F.array_distinct(F.flatten(F.array(*[F.col(p).hits for p in parts])))
-    matches = F.flatten(F.array(*[F.col(p).matches for p in parts]))
-    known = F.filter(F.transform(matches, lambda m: m.item_id), lambda i: i.isNotNull())
-    summary = F.struct(
-        F.col(parts[0]).n_words.alias("n_words"), F.size(hits).cast("long").alias("n_hit"),
-        F.array_distinct(known).alias("items"), matches.alias("matches"),
+    items, n = _blocked(benchmark, item_id, item_text, settings)
+    part = lambda k: _searcher(docs.sparkSession, [tuple(r) for r in items.filter(F.col("block") == k).select("item_id", "text").collect()], settings)
+    found, key = fresh(docs, "_found"), fresh(docs, "_uid")
+    if n == 1:
+        searched = docs.withColumn(found, part(0)(F.col(text)))
+        return searched.select(*docs.columns, _summary(F.col(found), F.array(found)).alias(name))
+    rows = numbered(docs, "documents", uid=key)
+    passes = union([staged(rows.select(key, part(k)(F.col(text)).alias(found)), "found") for k in range(n)])
+    put = passes.groupBy(key).agg(F.collect_list(found).alias(found))  # a row for each block
+    both = rows.join(put, key)
+    return both.select(*docs.columns, _summary(F.get(found, F.lit(0)), F.col(found)).alias(name))
+
+
+def _summary(one: Column, parts: Column) -> Column:
+    flat = lambda field: F.flatten(F.transform(parts, lambda p: p[field]))
+    return F.struct(
+        one["n_words"].alias("n_words"), F.size(F.array_distinct(flat("hits"))).cast("long").alias("n_hit"),
+        F.array_sort(F.array_distinct(flat("items"))).alias("items"), flat("matches").alias("matches"),
     )
-    return result.select(*docs.columns, summary.alias(name))
 
 
 def _searcher(spark, items: list[tuple], settings: Settings):
     sent = spark.sparkContext.broadcast(items)
     loaded: list[Block] = []
 
-    @F.pandas_udf(f"n_words long, hits array<int>, {MATCHES}")
+    @F.pandas_udf(f"n_words long, hits array<int>, items array<long>, {MATCHES}")
     def search(texts: pd.Series) -> pd.DataFrame:
         if not loaded:
             loaded.append(Block(sent.value, settings.window))
         rows = []
         frame = texts.to_frame("t")
         for run in slices(frame, frame["t"].str.len().fillna(0).to_numpy(), 6 * settings.shard_words):
-            rows += _search(run["t"].tolist(), loaded[0], settings.window)
-        return pd.DataFrame(rows, columns=["n_words", "hits", "matches"])
+            rows += _search(run["t"].tolist(), loaded[0], settings)
+        return pd.DataFrame(rows, columns=["n_words", "hits", "items", "matches"])
 
     return search
 
@@ -242,6 +291,6 @@ def is_contaminated(result: Column) -> Column:
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The documents that are not contaminated."""
-    name = fresh(docs, "_found")
-    found = matched(docs, benchmark, settings, name=name)
+    name = fresh(docs, "_contamination")
+    found = matched(docs, benchmark, replace(settings, matches=False), name=name)
     return found.filter(~is_contaminated(F.col(name))).select(*docs.columns)

@@ -58,7 +58,7 @@ def op2_quality_rank(spark, sf_dir):
 @query
 def op3_decontaminate(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    found = decontaminate.matched(docs, read(spark, sf_dir, "benchmark"), name="found")
+    found = decontaminate.matched(docs, read(spark, sf_dir, "benchmark"), decontaminate.Settings(matches=False), name="found")
     items = F.array_sort(F.transform("found.items", lambda i: i.cast("string")))
     return found.select(
         "doc_id", "found.n_words", "found.n_hit", F.size(items).cast("long").alias("n_items"),

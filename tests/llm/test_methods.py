@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -30,6 +31,16 @@ def random_words(rng, n, vocabulary=40):
     return [f"w{rng.randrange(vocabulary)}" for _ in range(n)]
 
 
+def test_long_runs_of_one_word():
+    """Matches are listed where they are as long as they get, not for each pair of places."""
+    block = decontaminate.Block([(1, "a " * 1_000), (2, "a " * 1_000)], 13)
+    began = time.perf_counter()
+    (n, hits, items, matches), (short, *_) = decontaminate._search(["a " * 20_000, "a"], block, decontaminate.Settings())
+    assert time.perf_counter() - began < 20
+    assert (n, len(hits), items, short) == (20_000, 20_000, [1, 2], 1)
+    assert max(m["length"] for m in matches) == 1_000 and len(matches) < 2 * (20_000 + 1_000)
+
+
 def test_longest_matches():
     rng = random.Random(3)
     items = [(i, " ".join(random_words(rng, n))) for i, n in enumerate((40, 20, 13, 12, 3, 1))]
@@ -40,8 +51,8 @@ def test_longest_matches():
         a = rng.randrange(len(item))
         texts.append(" ".join(words + item[a:] + random_words(rng, 5)))
     block = decontaminate.Block(items, 13)
-    for text, (n, hits, matches) in zip(texts, decontaminate._search(texts, block, 13), strict=True):
-        words, expected, longest = text.split(), set(), set()
+    for text, (n, hits, found, matches) in zip(texts, decontaminate._search(texts, block, decontaminate.Settings()), strict=True):
+        words, expected, longest, windows = text.split(), set(), set(), set()
         for i, item in items:
             w = item.split()
             need = min(13, len(w))
@@ -52,9 +63,10 @@ def test_longest_matches():
                         k += 1
                     if k >= need and (need == 13 or a == 0):
                         expected |= set(range(p, p + need))
+                        windows.add(i)
                         if not (p and a and words[p - 1] == w[a - 1]):
                             longest.add((i, a, p, k))
-        assert n == len(words) and set(hits) == expected
+        assert n == len(words) and set(hits) == expected and found == sorted(windows)
         assert {(m["item_id"], m["item_start"], m["doc_start"], m["length"]) for m in matches} == longest
 
 
