@@ -1,7 +1,9 @@
 """Each method against a plain version of itself, or held-out data."""
 
+import hashlib
 import math
 import random
+import re
 import time
 import zlib
 from collections import Counter
@@ -209,6 +211,49 @@ def test_secrets(spark):
     assert {r.i for r in secrets.without_secrets(docs).collect()} == {1, 3, 4, 5, 8, 9}
 
 
+BASE62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+
+def test_planted_keys_are_found_and_prose_is_not(spark):
+    rng = random.Random(4)
+    key = lambda n, of=BASE62: "".join(rng.choices(of, k=n))
+    kinds = {
+        "short": lambda: key(16), "long": lambda: key(32), "letters": lambda: key(26, BASE62[:52]),
+        "commit": lambda: f"commit {key(40)}", "uuid": lambda: f"123e4567-e89b-12d3-a456-426614174000{key(24)}",
+    }
+    prose = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").limit(200).collect()]
+    rows, at = [], []
+    for kind, made in kinds.items():
+        for i in range(100):
+            secret = made().split()[-1]
+            before = "the commit " if kind == "commit" else "some words and "
+            rows.append(f"{prose[i][:300]} {before}{secret} more of them")
+            at.append((kind, secret[-16:]))
+    scan = secrets.scanner(spark)
+    df = spark.createDataFrame(list(enumerate(rows)), "i int, text string").select("i", scan("text").alias("s"))
+    found = {r.i: "".join(rows[r.i][s.start:s.end] for s in r.s) for r in df.collect()}
+    caught = Counter(kind for i, (kind, tail) in enumerate(at) if tail in found[i])
+    assert all(caught[kind] >= 95 for kind in kinds), caught
+    words = ["internationalization", "Donaudampfschifffahrtsgesellschaft", "McDonaldsRestaurant", "IPhoneAndIPad", "getElementByIdentifier",
+             "2024-05-17T12:30:00", "00112233-44556677", "ABCDEFGHIJKLMNOPQRST", "/usr/local/share/doc", "123e4567-e89b-12d3-a456-426614174000"]
+    plain = spark.createDataFrame([(" ".join([w, "is written in some plain words of a text"]),) for w in words], "text string")
+    assert [r.text for r in plain.filter(F.size(scan("text")) > 0).collect()] == []
+
+
+def test_base_spans_equal_plain_patterns(spark):
+    """The base digest of every document against the patterns alone."""
+    got = {r.doc_id: r for r in QUERIES["op9_scan_secrets"](spark, SF).collect()}
+    for r in spark.read.parquet(f"{SF}/documents.parquet").collect():
+        spans = [("assign", *m.span()) for m in re.finditer(
+            r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", r.text) if len(m[2]) >= 8]
+        spans += [("access", *m.span()) for m in re.finditer("AKIA[A-Z0-9]+", r.text) if len(m[0]) >= 16]
+        spans += [("hex", *m.span()) for m in re.finditer("[0-9a-f]+", r.text) if len(m[0]) >= 32]
+        order = sorted(spans, key=lambda s: (s[1], ("assign", "access", "hex").index(s[0])))
+        text = ",".join(f"{k}:{a}:{b}" for k, a, b in order)
+        assert got[r.doc_id].base_sha256 == hashlib.sha256(text.encode()).hexdigest()
+        assert set(text.split(",")) - {""} <= set(got[r.doc_id].spans.split(","))
+
+
 def test_contexts_discover_identifiers(spark):
     texts = [f"some words here. please mail to{' ' * (i % 3 + 1)}person{i}@mail.example.com today" for i in range(12)]
     texts += ["we mail to AB-123456-X often", "version 2.0.1234567 of it", "please mail to nobody at all"]
