@@ -2,15 +2,17 @@
 
 The fixed patterns give the seeds. The words before a seed are lexical patterns; a pattern extracts the identifier-like
 tokens that follow it anywhere in the corpus. Pattern and instance score each other on that graph: a pattern is as good as
-the share of its instances that are known, an instance as good as its patterns make likely together. After a few rounds,
-patterns of high confidence that enough different seeds support mark what else they extract.
+the share of its instances that are known, times the share of its occurrences in the corpus that an identifier-like token
+follows, so that a common word is no pattern; an instance is as good as its patterns make likely together. After a few
+rounds, patterns of high confidence that enough different seeds support mark what else they extract.
 
 * Base kinds ``email``, ``ip``, ``card``, ``phone``: leftmost matches without overlap within a kind; a match that fails its
   check is dropped and not retried. Discovered spans have the kind ``context``. Spans are code points, the end exclusive,
   ordered by start, then by kind as listed.
 * Identifier-like tokens have at least six ASCII letters and digits, three of them digits, and do not overlap a base span.
 * The graph holds each different (pattern, instance) once, so copies of a document do not add confidence. It stays in
-  tables; nothing of it comes to the driver.
+  tables. Occurrences are counted for the patterns that enough seeds support, in all texts; the tasks get a bit for each
+  hash of such a pattern, a table of a fixed size, and what hashes alike is left out by a join.
 * A missing text counts as empty and has no spans, like an empty one. Repeated rows get equal spans. An empty table gives
   an empty result. Extra columns are not read.
 """
@@ -18,8 +20,11 @@ patterns of high confidence that enough different seeds support mark what else t
 from __future__ import annotations
 
 import re
+import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,7 +44,8 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: A word with a digit, read once from its start.
 NUMBERED_WORD = re.compile(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+")
 EDGES = ".,;:!?()[]{}<>\"'*#$%&|"
-CONTEXT_CHARS = 80
+#: Bits that tell the tasks which patterns to count.
+COUNTED_BITS = 1 << 20
 
 FOUND = """base array<struct<start:int,rank:int,kind:string,end:int>>,
 seen array<struct<start:int,end:int,instance:string,seed:boolean,patterns:array<string>>>"""
@@ -97,7 +103,10 @@ _SHAPE = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "abcdefghijklmnop
 
 def patterns_before(text: str, start: int) -> list[str]:
     """The last word before a place, and the last two, in lower case and with every digit a zero."""
-    words = text[max(0, start - CONTEXT_CHARS):start].translate(_SHAPE).split()[-2:]
+    size = 80
+    while len(words := text[max(0, start - size):start].split()) < 3 and size < start:
+        size *= 4  # until the last two are there whole
+    words = " ".join(words[-2:]).translate(_SHAPE).split()
     return [words[-1], " ".join(words)] if len(words) == 2 else [" ".join(["^", *words])]
 
 
@@ -142,16 +151,59 @@ def finder():
     return find
 
 
-def confident_patterns(edges: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """(pattern, confidence, support) of the accepted patterns, from distinct rows (pattern, instance, seed)."""
+def _occurrences(texts: DataFrame, candidates: DataFrame) -> DataFrame:
+    """(pattern, occurrences) of the candidates: how often their one or two words occur one after the other in all texts."""
+    hashed = lambda c: F.pmod(F.crc32(c.cast("binary")), F.lit(COUNTED_BITS))
+    bits = [r[0] for r in candidates.select(hashed(F.col("pattern")).alias("bit")).distinct().collect()]  # at most COUNTED_BITS
+    wanted = np.zeros(COUNTED_BITS, bool)
+    wanted[np.array(bits, np.int64)] = True
+    sent = texts.sparkSession.sparkContext.broadcast(np.packbits(wanted))
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        table, seen = np.unpackbits(sent.value).view(bool), {}
+        counted = lambda pattern: table[zlib.crc32(pattern.encode()) % COUNTED_BITS]
+        known: dict[str, bool] = {}
+        for batch in batches:
+            for text in batch["text"]:
+                before = ""
+                for word in (text or "").translate(_SHAPE).split():
+                    if word not in known:
+                        known[word] = bool(counted(word))
+                    # Whoever follows two words follows the last of them, so pairs are looked at behind counted words alone.
+                    if known[word]:
+                        seen[word] = seen.get(word, 0) + 1
+                        pair = f"{before} {word}"
+                        if counted(pair):
+                            seen[pair] = seen.get(pair, 0) + 1
+                    before = word
+            if len(known) > 500_000:
+                known = {}
+            if len(seen) > 200_000:
+                yield pd.DataFrame({"pattern": list(seen), "n": list(seen.values())})
+                seen = {}
+        if seen:
+            yield pd.DataFrame({"pattern": list(seen), "n": list(seen.values())})
+
+    found = texts.mapInPandas(count, "pattern string, n bigint").groupBy("pattern").agg(F.sum("n").alias("occurrences"))
+    return candidates.select("pattern").join(found, "pattern", "left")
+
+
+def confident_patterns(edges: DataFrame, follows: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """(pattern, confidence, support) of the accepted patterns.
+
+    ``edges`` are distinct rows (pattern, instance, seed), ``follows`` the share of a pattern's occurrences that is followed
+    by an identifier-like token, for the patterns that can be accepted.
+    """
     known = F.when(F.col("seed"), 1.0).otherwise(0.0)
     scored = staged(edges.withColumn("score", known), "edges")
     for round_ in range(settings.rounds):
         patterns = staged(
             scored.groupBy("pattern").agg(
                 # One unknown instance is assumed, so that a pattern needs several known ones.
-                (F.sum("score") / (F.count("*") + 1)).alias("confidence"),
+                (F.sum("score") / (F.count("*") + 1)).alias("of_instances"),
                 F.count_if(F.col("score") >= settings.least_confidence).alias("support"),
+            ).join(follows, "pattern", "left").select(
+                "pattern", "support", (F.col("of_instances") * F.coalesce("share", F.lit(0.0))).alias("confidence")
             ),
             "patterns",
         )
@@ -172,8 +224,16 @@ def scanned(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc
     rows = numbered(docs.select(F.col(doc_id).alias("doc_id"), finder()(F.col(text)).alias("f")).select("doc_id", "f.*"), "personal")
     places = rows.select("uid", F.explode("seen").alias("p")).select("uid", "p.*")
     each = places.withColumn("pattern", F.explode("patterns"))
-    edges = staged(each.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "edges")
-    accepted = confident_patterns(edges, settings).select("pattern")
+    edges = staged(each.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"), F.count("*").alias("places")), "edges")
+    # Discovery never makes more instances known than there are, so a pattern needs as many instances, and one seed.
+    candidates = staged(
+        edges.groupBy("pattern").agg(F.sum("places").alias("places"), F.count_if("seed").alias("seeds"), F.count("*").alias("n"))
+        .filter((F.col("seeds") > 0) & (F.col("n") >= settings.least_support)), "candidates",
+    )
+    texts = docs.select(F.col(text).alias("text"))
+    often = candidates.join(_occurrences(texts, candidates), "pattern")
+    follows = staged(often.select("pattern", (F.col("places") / F.greatest("places", "occurrences")).alias("share")), "follows")
+    accepted = confident_patterns(edges.drop("places"), follows, settings).select("pattern")
     extra = each.filter(~F.col("seed")).join(accepted, "pattern").select("uid", "start", "end").distinct()
     span = F.struct(
         "start", F.lit(len(KINDS) - 1).alias("rank"), F.lit(KINDS[-1]).alias("kind"), "end"

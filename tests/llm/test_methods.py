@@ -263,6 +263,38 @@ def test_contexts_discover_identifiers(spark):
     assert all(found[i] == [("email", f"person{i}@mail.example.com")] for i in range(12))
 
 
+def test_common_words_are_no_patterns(spark):
+    """A word before eight addresses and nine identifiers is refused where it stands before many other words as well."""
+    texts = [f"we wrote of person{i}@mail.example.com, and the account no {i}23456{i} at customer id cust{i}@mail.example.com" for i in range(9)]
+    texts += [f"of {w} and of {w} again, a tale of it" for w in ("wind", "rain", "snow", "sun", "fog", "ice")]
+    texts += ["the list of AB1234567 is short", "customer id XK-9981-22 was closed", "of QQ7654321"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: [texts[r.doc_id][s.start:s.end] for s in r.spans if s.kind == "context"] for r in personal.scanned(df).collect()}
+    assert found[16] == ["XK-9981-22"] and found[15] == found[17] == []
+
+
+def test_planted_identifiers_and_no_stop_words(spark):
+    """Of the given documents: what is accepted, and what two planted contexts discover."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    plant = [(10**6 + i, f"{'' if i % 2 else 'dear all, '}member mailbox is user{i}@mail.example.com ok") for i in range(30)]
+    plant += [(2 * 10**6 + i, f"member mailbox is M{i}X-{i}7{i}42-{i} ok") for i in range(5)]
+    both = docs.unionByName(spark.createDataFrame(plant, docs.schema))
+    found = {r.doc_id: [s for s in r.spans if s.kind == "context"] for r in personal.scanned(both).collect()}
+    assert all(len(found[2 * 10**6 + i]) == 1 for i in range(5))
+    discovered = sum(len(spans) for doc, spans in found.items() if doc < 10**6)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    words = Counter(p for doc, spans in found.items() if doc < 10**6 for s in spans for p in personal.patterns_before(texts[doc], s.start)[:1])
+    common = Counter(w for t in texts.values() for w in t.lower().split())
+    assert all(common[w] < 200 for w in words), (discovered, words)
+
+
+def test_context_words_are_whole():
+    long = "x" * 500
+    assert personal.patterns_before(f"a {long} b7 1234", len(f"a {long} b7 ")) == ["b0", f"{long} b0"]
+    assert personal.patterns_before(f"{long} 1", len(long) + 1) == [f"^ {long}"] and personal.patterns_before("1", 0) == ["^"]
+
+
+
 def test_long_runs_are_read_once():
     text = "a" * 300_000 + " " + "1" * 300_000 + " " + "999." * 50_000 + "@" * 100_000
     assert personal.base_spans(text) == []
