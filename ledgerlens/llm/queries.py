@@ -141,13 +141,10 @@ LISTED = (
 
 @query
 def op8_url_rules(spark, sf_dir):
-    """Labels for mining: the list's verdict where it has one, else the quality label of the page's number."""
+    """The list's verdicts are the labels to learn from; what it leaves open is judged by the mined rules."""
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
-    known = read(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("page_id")).agg(F.min("quality").alias("quality"))
-    rule = url_rules.listed(url_rules.host_of(F.col("url")), url_rules.path_of(F.col("url")), LISTED)["verdict"]
-    label = F.coalesce(rule, F.when(F.col("quality") == 0, url_rules.BLOCK).when(F.col("quality") == 1, url_rules.ALLOW))
-    labelled = pages.join(known, "page_id", "left").select("url", label.alias("label"))
-    found = url_rules.judged(pages, labelled, LISTED)
+    verdict = url_rules.listed(url_rules.host_of(F.col("url")), url_rules.path_of(F.col("url")), LISTED)["verdict"]
+    found = url_rules.judged(pages, pages.select("url", verdict.alias("label")), LISTED)
     return found.select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict")
 
 

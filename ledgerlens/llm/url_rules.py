@@ -1,8 +1,10 @@
 """URL filter: a list of rules, and association rules mined from labelled URLs for what the list leaves open.
 
 A URL is a set of tokens. FP-growth finds the token combinations that are frequent among labelled URLs together with
-their label; rules of enough support and confidence remain, unless a shorter rule is as good. An inverted index from a
-rule's rarest token to the rule finds the rules of a URL, and the most confident one decides.
+their label; rules of enough support and confidence remain, unless a shorter rule is as good. Confidence is balanced: it is
+what it would be if either label were as frequent, so a rule must tell more than the frequent label does by itself, and the
+rare label can have rules. An inverted index from a rule's rarest token to the rule finds the rules of a URL, and the most
+confident one decides.
 
 * Different URLs count once, in mining and in matching, so copies of a URL cost nothing. Of several labels for a URL the
   most frequent one counts, ties block.
@@ -46,6 +48,7 @@ class Settings:
     least_support: float = 0.005
     #: In small samples, a combination must also occur so often.
     least_count: int = 5
+    #: Of the balanced confidence.
     least_confidence: float = 0.8
     most_labelled: int = 50_000
 
@@ -100,11 +103,11 @@ def _labelled(urls: DataFrame, s: Settings) -> DataFrame:
 
 
 def mined(urls: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """(antecedent, verdict, confidence, support, token) from rows (url, label allow or block); token is the rarest."""
-    schema = "antecedent array<string>, verdict string, confidence double, support double, token string"
+    """(antecedent, verdict, balanced, confidence, support, token) from rows (url, label allow or block); token is the rarest."""
+    schema = "antecedent array<string>, verdict string, balanced double, confidence double, support double, token string"
     sample = staged(_labelled(urls, s), "labelled")
     rate, n = sample.agg(F.avg(F.col("blocked").cast("int")), F.count("*")).first()
-    if rate is None:
+    if rate in (None, 0.0, 1.0):  # one label alone teaches nothing
         return sample.sparkSession.createDataFrame([], schema)
     each = sample.select("url", F.explode("tokens").alias("token"))
     counts = staged(
@@ -122,13 +125,18 @@ def mined(urls: DataFrame, s: Settings = Settings()) -> DataFrame:
     none = F.array().cast("array<string>")
     items = sample.join(of_url, "url", "left").select(F.array_append(F.coalesce("found", none), label).alias("items"))
     support = min(1.0, max(s.least_support, s.least_count / n))
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=s.least_confidence).fit(items)
+    # The confidence that is as good as the balanced one, for the rarer label.
+    odds = s.least_confidence / (1 - s.least_confidence) * min(rate, 1 - rate) / max(rate, 1 - rate)
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=odds / (1 + odds)).fit(items)
     found = model.associationRules.filter(F.element_at("consequent", 1).startswith(CLASS) & (F.col("lift") > 1))
+    verdict = F.substring_index(F.element_at("consequent", 1), "=", -1)
+    own = F.when(verdict == BLOCK, F.lit(rate)).otherwise(F.lit(1 - rate))
+    agree, differ = F.col("confidence") / own, (1 - F.col("confidence")) / (1 - own)
     rules = staged(
         found.select(
-            F.array_sort("antecedent").alias("antecedent"),
-            F.substring_index(F.element_at("consequent", 1), "=", -1).alias("verdict"), "confidence", "support",
-        ),
+            F.array_sort("antecedent").alias("antecedent"), verdict.alias("verdict"), (agree / (agree + differ)).alias("balanced"),
+            "confidence", "support",
+        ).filter(F.col("balanced") >= s.least_confidence - 1e-12),
         "rules",
     )
     # A rule goes if leaving out one of its tokens gives a rule for the same verdict that is as confident.
@@ -139,20 +147,20 @@ def mined(urls: DataFrame, s: Settings = Settings()) -> DataFrame:
     needless = shorter.join(parts, ["part", "verdict"]).filter("part_confidence >= confidence").select("antecedent", "verdict")
     pruned = rules.join(needless, ["antecedent", "verdict"], "left_anti")
     by_token = _spelled(pruned, alike).withColumn("token", F.explode("antecedent")).join(counts.select("token", "n"), "token")
-    rarest = by_token.groupBy("antecedent", "verdict", "confidence", "support").agg(F.min(F.struct("n", "token")).alias("rare"))
-    return staged(rarest.select("antecedent", "verdict", "confidence", "support", "rare.token"), "rules")
+    rarest = by_token.groupBy("antecedent", "verdict", "balanced", "confidence", "support").agg(F.min(F.struct("n", "token")).alias("rare"))
+    return staged(rarest.select("antecedent", "verdict", "balanced", "confidence", "support", "rare.token"), "rules")
 
 
 def _spelled(rules: DataFrame, alike: DataFrame) -> DataFrame:
     """The rules in every spelling: each item of an antecedent stands for any one of the tokens that the same URLs have."""
     each = rules.withColumn("item", F.explode("antecedent")).join(alike.select("item", "tokens"), "item")
-    lists = each.groupBy("antecedent", "verdict", "confidence", "support").agg(F.collect_list("tokens").alias("lists"))
+    lists = each.groupBy("antecedent", "verdict", "balanced", "confidence", "support").agg(F.collect_list("tokens").alias("lists"))
     longer = lambda found, tokens: F.flatten(
         F.transform(found, lambda part: F.transform(tokens, lambda token: F.array_append(part, token)))
     )
     spellings = F.aggregate("lists", F.array(F.array().cast("array<string>")), longer)
-    return lists.select(F.explode(spellings).alias("spelling"), "verdict", "confidence", "support").select(
-        F.array_sort("spelling").alias("antecedent"), "verdict", "confidence", "support"
+    return lists.select(F.explode(spellings).alias("spelling"), "verdict", "balanced", "confidence", "support").select(
+        F.array_sort("spelling").alias("antecedent"), "verdict", "balanced", "confidence", "support"
     )
 
 
@@ -162,7 +170,7 @@ def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:
     candidates = once.withColumn("token", F.explode("tokens")).join(rules, "token")
     fitting = candidates.filter(F.size(F.array_except("antecedent", "tokens")) == 0)
     # Ties go to the rule of more support, then to blocking.
-    best = F.max(F.struct("confidence", "support", "verdict", "antecedent")).alias("best")
+    best = F.max(F.struct("balanced", "support", "verdict", "antecedent", "confidence")).alias("best")
     return fitting.groupBy("url").agg(best).select("url", "best.verdict", "best.confidence", "best.antecedent")
 
 

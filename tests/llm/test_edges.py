@@ -119,3 +119,40 @@ def test_rules_count_every_token_of_a_url(spark):
         labels = [label for url, label in rows if sets[url] >= set(r.antecedent)]
         assert abs(labels.count(r.verdict) / len(labels) - r.confidence) < 1e-9
         assert abs(labels.count(r.verdict) / len(rows) - r.support) < 1e-9
+
+
+def test_listed_tokens_decide_unseen_hosts_both_ways(spark):
+    """Blocked pages are few; still their token blocks elsewhere, and a token of either kind decides hosts that no rule names."""
+    urls = [f"https://shop{i}.com/de/{i}" for i in range(60)] + [f"https://shop{i}.com/fr/{i}" for i in range(300)]
+    urls += [f"https://site{i}.org/it/{i}" for i in range(400)]
+    new = {"https://new.net/de/7": "block", "http://other.test/de/x": "block", "https://new.net/fr/7": "allow", "https://new.net/xx/7": "allow"}
+    pages = spark.createDataFrame([(u,) for u in [*urls, *new]], "url string")
+    verdict = url_rules.listed(url_rules.host_of(F.col("url")), url_rules.path_of(F.col("url")), LISTED)["verdict"]
+    found = {r.url: r.judged for r in url_rules.judged(pages, pages.select("url", verdict.alias("label")), LISTED).collect()}
+    assert {u: found[u].verdict for u in new} == new
+    assert found["https://new.net/de/7"].antecedent is not None and found["https://new.net/fr/7"].antecedent is not None
+    assert found["https://new.net/xx/7"].antecedent is None
+
+
+def test_rules_of_the_given_pages(spark):
+    """The mined rules against plain counts over the listed pages, and the verdicts that they give the open ones."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url")
+    verdict = url_rules.listed(url_rules.host_of(F.col("url")), url_rules.path_of(F.col("url")), LISTED)["verdict"]
+    labelled = pages.select("url", verdict.alias("label"))
+    rows = {r.url: (set(r.t), r.label) for r in labelled.select("url", url_rules.tokens(F.col("url")).alias("t"), "label").collect()}
+    known = [(t, label) for t, label in rows.values() if label]
+    rate = {v: sum(label == v for _, label in known) / len(known) for v in ("allow", "block")}
+    rules = url_rules.mined(labelled).collect()
+    assert {r.verdict for r in rules} == {"allow", "block"}
+    for r in rules:
+        labels = [label for t, label in known if t >= set(r.antecedent)]
+        share = labels.count(r.verdict) / len(labels)
+        agree, differ = share / rate[r.verdict], (1 - share) / (1 - rate[r.verdict])
+        assert abs(share - r.confidence) < 1e-9 and abs(agree / (agree + differ) - r.balanced) < 1e-9 and r.balanced >= 0.8 - 1e-9
+    best = lambda t: max((r for r in rules if t >= set(r.antecedent)), key=lambda r: (r.balanced, r.support, r.verdict, r.antecedent), default=None)
+    got = {r.url: r.verdict for r in QUERIES["op8_url_rules"](spark, "/root/testdata/sf0.01").join(pages, "page_id").collect()}
+    decided = [got[url] for url, (t, label) in rows.items() if not label]
+    for url, (t, label) in rows.items():
+        expected = label or ((best(t).verdict if best(t) else "allow"))
+        assert got[url] == expected
+    assert {"allow", "block"} == set(decided)
