@@ -12,17 +12,17 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm import decontaminate, mixing, near_dedup, quality_rank, secrets
 from ledgerlens.llm.common import bounded_batches, fresh, read
-from ledgerlens.llm.queries import NEAR, quality_ranking
+from ledgerlens.llm.queries import NEAR, learned_ranking
 from ledgerlens.session import staged
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the ranking accepts. A missing text is judged as an empty one."""
+    """Documents that the ranking accepts. A missing text is judged as an empty one. Features are computed once, and stored."""
     bounded_batches(spark)
-    _, ranking = quality_ranking(docs, read(spark, sf_dir, "labels"))
-    measured = fresh(docs, "_measures")
-    scored = docs.withColumn(measured, quality_rank.features("text"))
-    return scored.filter(quality_rank.score(F.col(measured), ranking) >= ranking.cut).select(*docs.columns)
+    features = fresh(docs, "_features")
+    measured = staged(docs.withColumn(features, quality_rank.features("text")), "measured")
+    ranking = learned_ranking(measured.select("doc_id", F.col(features).alias("x")), read(spark, sf_dir, "labels"))
+    return measured.filter(quality_rank.score(F.col(features), ranking) >= ranking.cut).select(*docs.columns)
 
 
 def keep_first_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -38,20 +38,18 @@ def folded(doc_id, folds):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds, F.lit(0))
 
 
-def quality_ranking(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, quality_rank.Ranking]:
-    """Stored features of every document, and what is learned from the documents outside fold 0."""
-    measured = staged(
-        docs.select("doc_id", (folded("doc_id", 5) == 0).alias("held_out"), quality_rank.features("text").alias("x")),
-        "features",
-    )
+def learned_ranking(measured: DataFrame, labels: DataFrame) -> quality_rank.Ranking:
+    """What is learned from the features (doc_id, x) of the documents outside fold 0."""
     known = labels.select("doc_id", F.col("quality").alias("label"))
-    return measured, quality_rank.fit(measured.filter(~F.col("held_out")), known)
+    return quality_rank.fit(measured.filter(folded("doc_id", 5) != 0), known)
 
 
 @query
 def op2_quality_rank(spark, sf_dir):
-    measured, ranking = quality_ranking(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
-    scored = measured.select("doc_id", "held_out", quality_rank.score(F.col("x"), ranking).alias("score"))
+    measured = staged(read(spark, sf_dir, "documents").select("doc_id", quality_rank.features("text").alias("x")), "features")
+    ranking = learned_ranking(measured, read(spark, sf_dir, "labels"))
+    held_out = (folded("doc_id", 5) == 0).alias("held_out")
+    scored = measured.select("doc_id", held_out, quality_rank.score(F.col("x"), ranking).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= ranking.cut).cast("int"))
 
 
