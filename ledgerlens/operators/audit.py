@@ -17,7 +17,7 @@ from ledgerlens.schemas import CORRELATION_LIMIT, ID_CORRELATION_LIMIT, TARGET
 # decimals have none.
 ROUNDING = 1e-15
 #: Columns whose sums one pass holds: a few numbers for each.
-BLOCK = 32
+BLOCK = 8
 
 
 def numeric_columns(df: DataFrame, without: tuple[str, ...] = ()) -> list[str]:
