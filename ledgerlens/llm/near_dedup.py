@@ -45,14 +45,14 @@ class Settings:
     trees: int = 6
     leaf: int = 64
     #: A larger node ends once at most so many of its sets are outside its largest connected group.
-    few: int = 4096
+    few: int = 1024
     #: Sets, and about how many of their shingles, that are compared with each other in one unit.
     block: int = 512
     block_shingles: int = 1_000_000
     levels: int = 24
     #: Sketches propose a pair down to so far below the threshold: four standard errors of an estimate.
     slack: float = 0.13
-    batch_chars: int = 4_000_000
+    batch_chars: int = 1_000_000
     seed: int = 41
 
 
