@@ -591,7 +591,7 @@ for _seed in (1, 2, 3, 4):
 ORACLES["sampled_attribution"] = " UNION ALL ".join(
     f"SELECT {HASH.replace('sk_id_curr', 'a.sk_id_curr')} AS sk_id_curr, '{c}' AS feature, "
     f"ROUND(CAST({w} AS DOUBLE) * (COALESCE(CAST(a.{c} AS DOUBLE), 0) - (COALESCE(CAST(b.{c} AS DOUBLE), 0) "
-    f"+ COALESCE(CAST(d.{c} AS DOUBLE), 0)) / 2), 6) + 0.0::DOUBLE AS contribution FROM numbered_1 a JOIN numbered_2 b ON b.nr = a.nr "
+    f"+ COALESCE(CAST(d.{c} AS DOUBLE), 0)) / 2), 9) + 0.0::DOUBLE AS mean_change FROM numbered_1 a JOIN numbered_2 b ON b.nr = a.nr "
     f"JOIN numbered_3 e ON e.sk_id_curr = a.sk_id_curr JOIN numbered_4 d ON d.nr = e.nr"
     for c, w in q.WEIGHTS.items()
 )

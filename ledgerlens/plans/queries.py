@@ -52,7 +52,7 @@ def query(fn: Callable[[CreditTables], DataFrame]) -> Callable[[SparkSession, st
 
 PLACES = 6
 # A mean of two-digit ratios often ends on a five, where six places would round either way.
-FINER_PLACES = {"avg_payment_ratio": 9}
+FINER_PLACES = {"avg_payment_ratio": 9, "mean_change": 9}
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -499,7 +499,8 @@ def sampled_attribution(t):
     rows = session.staged(risk_features(t).select(ID, *WEIGHTS), "explained")
     found = explain.sampled_attribution(rows, ID, list(WEIGHTS), lambda df: df.withColumn("score", explain.linear_score(WEIGHTS)))
     # No negative zero is left.
-    return ingest.hash_ids(found.withColumn("contribution", F.round("contribution", PLACES) + F.lit(0.0)))
+    change = (F.round("contribution", FINER_PLACES["mean_change"]) + F.lit(0.0)).alias("mean_change")
+    return ingest.hash_ids(found.select(ID, "feature", change))
 
 
 @query
