@@ -82,13 +82,15 @@ def permutation_importance(
 ) -> DataFrame:
     """Loss of AUC when one feature is exchanged between rows.
 
-    ``score`` adds a column ``score``. The exchanged rows are stored once; every feature then scores them with that
-    one feature replaced, and all AUCs come from one ordered pass over the narrow (feature, score, label) rows.
+    ``score`` adds a column ``score``. The exchanged rows are stored and read once: each becomes one row as it is and one for
+    every feature, with that feature replaced. All AUCs come from one ordered pass over the narrow (feature, score, label)
+    rows.
     """
     exchanged = staged(with_donors(df, id_col, features, digits=digits), "exchanged")
-    variants = {"": exchanged} | {name: exchanged.withColumn(name, F.col(f"donor.{name}")) for name in features}
-    scored = [score(rows).select(F.lit(name).alias("feature"), "score", label) for name, rows in variants.items()]
-    auc = roc_auc(reduce(DataFrame.unionByName, scored), "score", label, ["feature"])
+    variants = exchanged.withColumn("_replaced", F.explode(F.array(*[F.lit(name) for name in ["", *features]])))
+    taken = {c: F.when(F.col("_replaced") == c, F.col(f"donor.{c}")).otherwise(F.col(c)) for c in features}
+    scored = score(variants.withColumns(taken).drop("donor")).select(F.col("_replaced").alias("feature"), "score", label)
+    auc = roc_auc(scored, "score", label, ["feature"])
     # One row per feature from here on.
     unchanged = F.max(F.when(F.col("feature") == "", F.col("auc"))).over(Window.partitionBy(F.lit(1)))
     return (

@@ -102,17 +102,24 @@ def scored(t: CreditTables) -> DataFrame:
     return application(t).select(ID, TARGET, (F.lit(1.0) - steps).alias("score"))
 
 
-def risk_features(t: CreditTables) -> DataFrame:
-    """Applications with the bureau and payment aggregates, for reports that need no more."""
+def risk_features(t: CreditTables, ids: list[int] | None = None) -> DataFrame:
+    """Applications with the bureau and payment aggregates, for reports that need no more; of some ids, or of all."""
+    of = lambda df: df if ids is None else df.filter(F.col(ID).isin(ids))
     return features.credit_features(
-        application(t),
-        features.bureau_features(history(t, "bureau")),
-        features.payment_features(history(t, "installments_payments")),
+        of(application(t)),
+        features.bureau_features(of(history(t, "bureau"))),
+        features.payment_features(of(history(t, "installments_payments"))),
     )
 
 
-def explorer_rows(t: CreditTables) -> DataFrame:
-    return ingest.hash_ids(risk_features(t).select(*summary.EXPLORER_COLUMNS))
+def explorer_rows(t: CreditTables, ids: list[int] | None = None) -> DataFrame:
+    return ingest.hash_ids(risk_features(t, ids).select(*summary.EXPLORER_COLUMNS))
+
+
+def first_rows(t: CreditTables, applications: DataFrame, limit: int) -> DataFrame:
+    """The explorer's rows of the first applications by hashed id: they are found first, and histories read for them alone."""
+    first = applications.select(ID, S.hashed_id(ID).alias("_hash")).orderBy("_hash").limit(limit)
+    return explorer_rows(t, [r[ID] for r in first.collect()])
 
 
 def with_planted_leaks(t: CreditTables) -> DataFrame:
@@ -352,12 +359,13 @@ def explorer_options(t):
 
 @query
 def explorer_sample(t):
-    return summary.sample_of(explorer_rows(t), SAMPLE_ROWS)
+    return summary.sample_of(first_rows(t, application(t), SAMPLE_ROWS), SAMPLE_ROWS)
 
 
 @query
 def explorer_page(t):
-    return summary.page(summary.explore(explorer_rows(t), ["Cash loans"]), PAGE_ROWS)
+    matches = summary.explore(application(t), ["Cash loans"])
+    return summary.page(first_rows(t, matches, PAGE_ROWS), PAGE_ROWS)
 
 
 @query
