@@ -36,10 +36,12 @@ def ratio(num: str | Column, den: str | Column) -> Column:
 def exact_sum(c: str) -> Column:
     """Sum of an amount that does not depend on the order in which partitions are merged.
 
-    Amounts count to six decimal places and totals to 32 digits before the point; the result is a double. What is no
-    number, or has more digits, counts as unknown.
+    Amounts are rounded to six decimal places and totals count to 32 digits before the point; the result is a double. What is
+    no number counts as unknown; an infinite amount, or one of more digits, raises.
     """
-    return F.expr(f"CAST(sum(try_cast({c} AS DECIMAL(38,6))) AS DOUBLE)")
+    too_long = f"raise_error('{c} cannot be added up exactly: ' || CAST({c} AS STRING))"
+    known = f"CASE WHEN {c} IS NULL OR isnan({c}) THEN NULL WHEN abs({c}) < 1e31D THEN CAST({c} AS DECIMAL(38,6)) ELSE CAST({too_long} AS DECIMAL(38,6)) END"
+    return F.expr(f"CAST(sum({known}) AS DOUBLE)")
 
 
 def age_years(days_birth: str | Column = "days_birth") -> Column:

@@ -104,6 +104,9 @@ def test_sums_of_large_and_small_amounts(spark):
     values = [1e12 / 7, 3.3, -2e11 / 3] * 40
     assert total(values) == pytest.approx(math.fsum(values), abs=1e-4)
     assert total([float("nan"), 1.0]) == 1.0
+    for lost in (float("inf"), -1e33):
+        with pytest.raises(Exception, match="cannot be added up exactly"):
+            total([1.0, lost])
 
 
 def test_one_applicant_with_most_of_the_rows(spark):
