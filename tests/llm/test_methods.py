@@ -113,6 +113,39 @@ def test_large_groups_of_near_copies(spark, levels, few):
     assert [got[i] for i in range(len(texts))] == components(sets, 85)
 
 
+def test_a_large_node_just_below_the_threshold(spark):
+    """Default settings: 1,600 texts alike at about 0.78, and partners of 300 of them just above 0.85. Every link is found."""
+    rng = random.Random(23)
+    base = [f"b{i}" for i in range(200)]
+    texts = []
+    for i in range(1600):
+        words = list(base)
+        for at in rng.sample(range(200), 4):
+            words[at] = f"v{i}-{at}"
+        texts.append(words)
+    for i in range(300):
+        words, at = list(texts[i]), rng.randrange(3, 180)
+        words[at : at + 12] = [f"p{i}-{k}" for k in range(12)]
+        texts.append(words)
+    sets = [{tuple(t[i : i + 3]) for i in range(len(t) - 2)} for t in texts]
+    number = {x: k for k, x in enumerate(sorted(set().union(*sets)))}
+    has = np.zeros((len(sets), len(number)), np.float32)
+    for i, one in enumerate(sets):
+        has[i, [number[x] for x in one]] = 1
+    common, sizes = (has @ has.T).astype(int), np.array([len(x) for x in sets])
+    linked = 100 * common >= 85 * (sizes[:, None] + sizes[None, :] - common)
+    label = np.arange(len(sets))
+    while True:
+        least = np.where(linked, label[None, :], len(sets)).min(1)
+        if (least == label).all():
+            break
+        label = least
+    assert linked.sum() - len(sets) >= 600 and 0.7 < np.median(common[:200, :200] / (2 * 198 - common[:200, :200])) < 0.8
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_dedup.grouped(df.repartition(8), near_dedup.Settings(shingle=3, percent=85)).collect()}
+    assert [got[i] for i in range(len(texts))] == label.tolist()
+
+
 def test_long_chain_is_one_group(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501)], "a long, b long")
     got = {r.uid: r.root for r in near_dedup.connected(links).collect()}
