@@ -174,6 +174,70 @@ def test_repeats_by_suffix_array():
         assert got == expected
 
 
+def plain_tree(training, s):
+    """The tree over tuples of words, written down from its definition: a function from a text's symbols to its score."""
+    seen = Counter(x for text in training for x in text)
+    share = lambda x: (seen[x] + s.prior) / (sum(seen.values()) + s.prior * (len(seen) + 1))
+    named = {x for x, n in seen.items() if n >= s.least_entry or x == END}
+    follows = {}
+    for text in training:
+        for i, x in enumerate(text):
+            for d in range(1, s.depth + 1):
+                if i >= d and x in named:
+                    follows.setdefault(text[i - d : i], Counter())[x] += 1
+    totals = {(x,): n for x, n in seen.items() if n >= s.least_context and x != END}
+    candidates, depth = dict(totals), dict(totals)
+    for _ in range(s.depth - 1):
+        depth = {c + (x,): n for c in depth for x, n in follows.get(c, {}).items() if n >= s.least_context and x != END}
+        candidates |= depth
+    entries, rest, kept = {}, {}, set()
+
+    def parent(c):
+        return next((c[i:] for i in range(1, len(c)) if c[i:] in kept), ())
+
+    def log_share(c, x):
+        total = 0.0
+        while c:
+            if x in entries[c]:
+                return total + entries[c][x]
+            total, c = total + rest[c], parent(c)
+        return total + math.log10(share(x))
+
+    for c in sorted(candidates, key=len):
+        up = {x: 10 ** log_share(parent(c), x) for x, n in follows.get(c, {}).items() if n >= s.least_entry}
+        own = {x: (follows[c][x] + s.smoothing * p) / (candidates[c] + s.smoothing) for x, p in up.items()}
+        left, up_left = (min(1, max(1e-12, 1 - sum(d.values()))) for d in (own, up))
+        gain = candidates[c] * (sum(own[x] * math.log(own[x] / up[x]) for x in own) + left * math.log(left / up_left))
+        if abs(gain - s.least_gain) < 1e-9:
+            raise AssertionError("a tie that rounding decides")
+        if gain >= s.least_gain:
+            kept.add(c)
+            entries[c], rest[c] = {x: math.log10(p) for x, p in own.items()}, math.log10(left / up_left)
+
+    def score(text):
+        total = 0.0
+        for i, x in enumerate(text):
+            found = [text[i - d : i] for d in range(1, s.depth + 1) if i >= d and text[i - d : i] in candidates]
+            state = max(found, key=len, default=())
+            total += log_share(state if state in kept else parent(state), x)
+        return total
+
+    return score, kept
+
+
+END = suffix_tree.END
+
+
+def test_suffix_tree_against_a_plain_one(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = {r.doc_id: tuple(suffix_tree._symbols(r.text)) for r in docs.collect()}
+    held = {d for d in texts if zlib.crc32(str(d).encode()) % 10 == 0}
+    score, kept = plain_tree([t for d, t in texts.items() if d not in held], suffix_tree.Settings())
+    assert {len(c) for c in kept} == {1, 2, 3} and len(kept) > 500
+    for r in QUERIES["op7_suffix_tree"](spark, "/root/testdata/sf0.001").collect():
+        assert r.held_out == (r.doc_id in held) and r.score == pytest.approx(score(texts[r.doc_id]), rel=1e-9, abs=1e-6)
+
+
 def test_suffix_tree_scores(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     held = lambda d: zlib.crc32(str(d).encode()) % 10 == 0
