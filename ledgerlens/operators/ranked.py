@@ -11,15 +11,15 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.session import checkpointed
+from ledgerlens.session import staged
 
 PART = "_part"
 
 
 def ordered_parts(df: DataFrame, order: Sequence[Column], parts: int | None = None) -> DataFrame:
-    """Range-partition by the order and number the parts. The rows are written out, so a part never changes."""
+    """Range-partition by the order and number the parts. The rows are stored, so a part never changes."""
     ranged = df.repartitionByRange(parts, *order) if parts else df.repartitionByRange(*order)
-    return checkpointed(ranged.withColumn(PART, F.spark_partition_id()))
+    return staged(ranged.withColumn(PART, F.spark_partition_id()), "parts")
 
 
 def _with_starts(df: DataFrame, totals: DataFrame, sums: Sequence[str], within: Sequence[str]) -> DataFrame:

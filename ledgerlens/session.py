@@ -93,12 +93,6 @@ def discard(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write the rows out with their partitions kept, so later reads see the same partition of every row."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write the rows as a Parquet table and read it back: columns are pruned per reader and lineage is cut."""
     path = scratch_path(df.sparkSession, name)

@@ -26,7 +26,7 @@ def test_full_run(spark, raw_dir, tmp_path):
     settings = TreeSettings(rounds=2, step=0.3, depth=2, min_rows=5)
     outcome = pipeline.run(spark, str(raw_dir), str(tmp_path), "r1", settings, auc_limit=0.0, folds=2)
     folder = checkpoint_dir(spark).removeprefix("file:")
-    assert not [name for name in os.listdir(folder) if name.startswith("run-")]
+    assert not [name for name in os.listdir(folder) if name.startswith(("run-", "rdd-"))]
     assert outcome.passed and 0 <= outcome.auc <= 1
     table = outcome.tables["credit_features"]
     assert table.count() == 300 and len(table.first().sk_id_curr) == 128
