@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections import deque
+from collections import defaultdict, deque
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
@@ -18,81 +17,107 @@ from ledgerlens.operators.throttle import MICROS, accept
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _rows(key, t: list[int], tie: list, accepted: list, late_ms: list) -> pd.DataFrame:
-    columns = {"key": [key] * len(t), "t": t, "tie": tie, "accepted": accepted, "late_ms": late_ms}
-    return pd.DataFrame(columns).astype({"t": "int64", "accepted": "boolean", "late_ms": "Int64"})
+#: Events of a group are stored in lists of at most so many.
+CHUNK = 50_000
+
+
+def _order(event: tuple) -> tuple:
+    _, t, tie = event
+    return t, tie is not None, tie
 
 
 class SlidingLog(StatefulProcessor):
     """Accept events of one key while fewer than ``limit`` accepted ones are younger than the window.
 
-    Events wait until the watermark has passed them, so that every earlier one has arrived, and are then judged in time
-    order. One that arrives when the watermark has passed it is handed on as late, with how far behind it is. A timer lies on every moment that has an event waiting, and where none waits on the moment the log runs out;
-    then the key leaves the state.
+    The state is that of a group of keys, since a call for each key would take longer than its events; every key has its own
+    log. Events wait until the watermark has passed them, so that every earlier one has arrived, and are then judged in time
+    order, all that are due in one call. One that arrives when the watermark has passed it is handed on as late, with how far
+    behind it is. A timer lies on the first moment that has an event waiting, and where none waits on the moment the last log
+    runs out. Each call drops the logs that have run out, and so their keys; without any the group leaves the state.
     """
 
-    def __init__(self, limit: int, window: int, tie: str):
+    def __init__(self, limit: int, window: int, key: str, tie: str):
         self.limit = limit
         self.window = window
+        self.key = key
         self.tie = tie
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.log = handle.getValueState("log", "stamps array<long>")
-        self.waiting = handle.getListState("waiting", f"t long, tie {self.tie}")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows))
-        behind = timerValues.getCurrentWatermarkInMs() - batch["t"] // 1000
-        late, timely = batch[behind > 0], batch[behind <= 0]
-        if len(timely):
-            self.waiting.appendList(list(zip(timely["t"].tolist(), timely["tie"].tolist(), strict=True)))
-        for moment in sorted(set((timely["t"] // 1000).tolist())):
-            self.handle.registerTimer(moment)
-        yield _rows(key[0], late["t"].tolist(), late["tie"].tolist(), [None] * len(late), behind[behind > 0].tolist())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.logs = handle.getValueState("logs", f"keys array<{self.key}>, stamps array<long>")
+        self.waiting = handle.getListState("waiting", f"keys array<{self.key}>, t array<long>, ties array<{self.tie}>")
+
+    def wait(self, events: list[tuple]) -> None:
+        for start in range(0, len(events), CHUNK):
+            self.waiting.appendValue(tuple(map(list, zip(*events[start : start + CHUNK], strict=True))))
+        self.handle.registerTimer(min(t for _, t, _ in events) // 1000)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        watermark, timely = timerValues.getCurrentWatermarkInMs(), []
+        for row in rows:
+            if row.t is None:
+                continue
+            behind = watermark - row.t // 1000
+            if behind > 0:
+                yield Row(key=row.key, t=row.t, tie=row.tie, accepted=None, late_ms=behind)
+            else:
+                timely.append((row.key, row.t, row.tie))
+        if timely:
+            self.wait(timely)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         passed = max(expiredTimerInfo.getExpiryTimeInMs() + 1, timerValues.getCurrentWatermarkInMs())
-        events = sorted(tuple(e) for e in self.waiting.get()) if self.waiting.exists() else []
-        due = [e for e in events if e[0] // 1000 < passed]
-        left = events[len(due):]
-        log = deque(self.log.get()[0] if self.log.exists() else ())
-        flags = accept([t for t, _ in due], log, self.limit, self.window)
-        if due:
-            self.waiting.clear()
-            if left:
-                self.waiting.put(left)
-        ends = (log[-1] + self.window) // 1000 if log else passed
-        if left or ends >= passed:
-            self.log.update((list(log),))
-            if due and not left:
-                self.handle.registerTimer(ends)
+        due, left = [], []
+        for chunk in self.waiting.get():
+            for event in zip(*chunk, strict=True):
+                (due if event[1] // 1000 < passed else left).append(event)
+        if left and not due:
+            return  # an earlier call judged what this timer was set for, and another is set for the rest
+        logs, events = defaultdict(deque), defaultdict(list)
+        for k, stamp in zip(*(self.logs.get() or ((), ())), strict=True):
+            logs[k].append(stamp)
+        for event in sorted(due, key=_order):
+            events[event[0]].append(event)
+        flags = {k: accept([t for _, t, _ in own], logs[k], self.limit, self.window) for k, own in events.items()}
+        ends = {k: (log[-1] + self.window) // 1000 for k, log in logs.items() if log}
+        kept = [(k, stamp) for k, end in ends.items() if end >= passed for stamp in logs[k]]
+        if kept:
+            self.logs.update(tuple(map(list, zip(*kept, strict=True))))
         else:
-            self.log.clear()
-            self.waiting.clear()
-        yield _rows(key[0], [t for t, _ in due], [tie for _, tie in due], flags, [None] * len(due))
+            self.logs.clear()
+        self.waiting.clear()
+        if left:
+            self.wait(left)
+        elif kept:
+            self.handle.registerTimer(max(ends.values()))
+        for k, own in events.items():
+            for (_, t, tie), accepted in zip(own, flags[k], strict=True):
+                yield Row(key=k, t=t, tie=tie, accepted=accepted, late_ms=None)
 
     def close(self) -> None:
         pass
 
 
 def throttle_stream(
-    events: DataFrame, key: str, ts: str, tie: str, limit: int = 20, window_s: int = 60, delay: str = "1 minute"
+    events: DataFrame, key: str, ts: str, tie: str, limit: int = 20, window_s: int = 60, delay: str = "1 minute", groups: int = 1024
 ) -> DataFrame:
     """Flag every event of a stream once the watermark, ``delay`` behind the newest event, has passed it.
 
     The answer is that of the batch limiter however events are split and ordered within the delay. An event that arrives
     behind the watermark is not judged and not dropped either: its row has no ``accepted``, and in ``late_ms`` how far behind
     it was. So the rows that come out, and those still waiting for the watermark, are the rows that went in. Idle keys leave
-    the state. The session must use the RocksDB state store.
+    the state. Keys share the state of ``groups`` groups, a number that stays with a checkpoint. The session must use the
+    RocksDB state store.
     """
     moment = F.col(ts).cast("timestamp")
     shaped = events.select(
         F.col(key).alias("key"), F.unix_micros(moment).alias("t"), F.col(tie).alias("tie"), moment.alias("at")
-    ).withWatermark("at", delay).select("key", "t", "tie")  # without the time itself, the engine lets late rows through
+    ).withWatermark("at", delay)
+    group = F.pmod(F.xxhash64("key"), F.lit(groups)).alias("group")
+    shaped = shaped.select(group, "key", "t", "tie")  # without the time itself, the engine lets late rows through
     kinds = {f.name: f.dataType.simpleString() for f in shaped.schema}
-    flagged = shaped.groupBy("key").transformWithStateInPandas(
-        statefulProcessor=SlidingLog(limit, window_s * MICROS, kinds["tie"]),
+    flagged = shaped.groupBy("group").transformWithState(
+        statefulProcessor=SlidingLog(limit, window_s * MICROS, kinds["key"], kinds["tie"]),
         outputStructType=f"key {kinds['key']}, t long, tie {kinds['tie']}, accepted boolean, late_ms long",
         outputMode="Append",
         timeMode="EventTime",

@@ -159,6 +159,25 @@ def test_output_and_late_events_are_the_input(spark):
     assert {i: got[i][0] for i in got if i not in late} == {i: expected[i] for i in range(240) if i not in late}
 
 
+def test_timers_of_the_stream_grow_with_batches(spark):
+    rng = random.Random(6)
+    rows = sorted(workload(7, 4, 600, 3000), key=lambda r: r[1] + rng.randrange(200))
+    rows.append((2, 10**6))  # takes the watermark past all others
+    got, query = streamed(spark, *delivered(spark, rows, 4), "200 seconds")
+    expected = brute_force(rows, 3, 60)
+    assert {i: ok for i, (ok, _) in got.items()} == {i: expected[i] for i in range(600)}
+    states = [p["stateOperators"][0]["customMetrics"] for p in query.recentProgress if p["stateOperators"]]
+    # For each of four keys and each batch, one for what came and one for what is left.
+    assert 0 < sum(m["numRegisteredTimers"] for m in states) <= 4 * 2 * len(states)
+
+
+def test_null_keys_share_a_log_in_the_stream(spark):
+    rows = [(None, s) for s in range(0, 300, 7)] + [(4, s) for s in range(0, 300, 11)] + [(5, 10**6)]
+    got, _ = streamed(spark, *delivered(spark, rows, 2), "400 seconds")
+    expected = brute_force([(-1 if k is None else k, s) for k, s in rows], 3, 60)
+    assert {i: ok for i, (ok, _) in got.items()} == {i: expected[i] for i in range(len(rows) - 1)}
+
+
 def test_the_stream_query_without_events(spark, small, tmp_path):
     spark.read.parquet(f"{small}/events.parquet").limit(0).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
     assert QUERIES["throttle_stream"](spark, str(tmp_path)).collect() == []
