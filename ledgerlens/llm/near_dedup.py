@@ -228,12 +228,12 @@ def _leaf_groups(leaves: DataFrame, sketches: DataFrame, roots: DataFrame | None
     return units.select(F.explode(_grouper(s)(*three, *three)).alias("ids"))
 
 
-def _node_groups(members: DataFrame, few: DataFrame, s: Settings) -> DataFrame:
-    """Each of a node's few (node, part, uid, root, sketch) against all its sets, in blocks of bounded size."""
+def _node_groups(members: DataFrame, few: DataFrame, sketches: DataFrame, s: Settings) -> DataFrame:
+    """Each of a node's few (node, part, uid, root) against all its sets, in blocks of bounded size."""
     block = F.pmod(F.xxhash64("uid"), _blocks(F.col("n"), F.col("total"), s))
-    blocks = _listed(members.withColumn("block", block), "node", "block")
+    blocks = _listed(members.withColumn("block", block).join(sketches, "uid"), "node", "block")
     names = ("few", "few_roots", "few_sketches")
-    units = blocks.join(_listed(few, "node", "part", names=names), "node")
+    units = blocks.join(_listed(few.join(sketches, "uid"), "node", "part", names=names), "node")
     return units.select(F.explode(_grouper(s)("ids", "roots", "sketches", *names)).alias("ids"))
 
 
@@ -386,22 +386,25 @@ def _joined(docs: DataFrame, sets: DataFrame, s: Settings, doc_id: str, text: st
     for level in range(s.levels + 1):
         nodes = _populated(frontier, level)
         small = (F.col("n") <= s.leaf) & (F.col("total") <= s.block_shingles)
-        leaves, large = nodes.filter(small), nodes.filter(~small).join(sketches, "uid")
+        leaves, large = nodes.filter(small), nodes.filter(~small)
         rooted = _with_roots(large, roots)
-        stars = _node_groups(rooted, rooted.filter(F.col("uid") == F.col("pivot")).withColumn("part", F.lit(0)), s)
+        pivots = rooted.filter(F.col("uid") == F.col("pivot")).withColumn("part", F.lit(0))
+        stars = _node_groups(rooted, pivots, sketches, s)
         groups = staged(_leaf_groups(leaves, sketches, roots, s).unionByName(stars).distinct(), "groups")
         if full is None:
             # Whatever a later group holds is in a first group, or in a large node.
             wanted = nodes.filter(~small).select("uid").unionByName(groups.select(F.explode("ids").alias("uid"))).distinct()
             full = _stored_sets(docs, sets.join(wanted, "uid"), s, doc_id, text)
         roots = _extended(roots, _links(groups, full, s))
-        labelled = _with_roots(large, roots)
+        # Stored, as three readers would each join the roots again; without sketches, which only nodes with a few need.
+        labelled = staged(_with_roots(large, roots).select("node", "uid", "size", "n", "total", "root"), "labelled")
         few, rest = _unconnected(labelled, s, last=level == s.levels)
-        groups = staged(_node_groups(labelled, few, s).distinct(), "groups")
+        inside = labelled.join(few.select("node").distinct(), "node", "left_semi")
+        groups = staged(_node_groups(inside, few, sketches, s).distinct(), "groups")
         roots = _extended(roots, _links(groups, full, s))
         if rest is None or rest.isEmpty():
             return roots
-        frontier = staged(_next_nodes(large.join(rest.distinct(), "node", "left_semi"), s), "frontier")
+        frontier = staged(_next_nodes(large.join(rest.distinct(), "node", "left_semi").join(sketches, "uid"), s), "frontier")
 
 
 def _stored_sets(docs: DataFrame, wanted: DataFrame, s: Settings, doc_id: str, text: str) -> DataFrame:
@@ -420,9 +423,9 @@ def _unconnected(labelled: DataFrame, s: Settings, last: bool) -> tuple[DataFram
     ).filter("outside > 0")
     outside = staged(
         labelled.drop("n", "total", "size").join(largest, "node").filter("root <> main")
-        .select("node", "uid", "root", "sketch", "outside", "outside_total"), "outside",
+        .select("node", "uid", "root", "outside", "outside_total"), "outside",
     )
     some = outside if last else outside.filter(F.col("outside") <= s.few)
     part = F.pmod(F.xxhash64("uid"), _blocks(F.col("outside"), F.col("outside_total"), s))
     rest = None if last else outside.filter(F.col("outside") > s.few).select("node")
-    return some.select("node", part.alias("part"), "uid", "root", "sketch"), rest
+    return some.select("node", part.alias("part"), "uid", "root"), rest

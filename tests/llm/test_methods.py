@@ -146,6 +146,37 @@ def test_a_large_node_just_below_the_threshold(spark):
     assert [got[i] for i in range(len(texts))] == label.tolist()
 
 
+def test_roots_are_joined_with_a_node_once(spark, monkeypatch):
+    """At each level, a member meets its root once before the links of the level and once after them."""
+    rng = random.Random(29)
+    texts = []
+    for i in range(120):
+        words = [f"b{k}" for k in range(120)]
+        words[rng.randrange(120)] = f"v{i}"
+        texts.append((i, " ".join(words)))
+    joined, members = spark.sparkContext.accumulator(0), []
+
+    @F.udf("long")
+    def counted(root):
+        joined.add(1)
+        return root
+
+    def populated(*args, real=near_dedup._populated):
+        nodes = real(*args)
+        members.append(nodes.count())
+        return nodes
+
+    def with_roots(rows, roots, real=near_dedup._with_roots):
+        return real(rows, roots) if roots is None else real(rows, roots).withColumn("root", counted("root"))
+
+    monkeypatch.setattr(near_dedup, "_populated", populated)
+    monkeypatch.setattr(near_dedup, "_with_roots", with_roots)
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    got = near_dedup.grouped(df, near_dedup.Settings(shingle=3, percent=85, leaf=12, few=16)).collect()
+    assert {r.component_id for r in got} == {0} and sum(r.kept for r in got) == 1
+    assert members[0] >= 1000 and 0 < joined.value <= 2 * sum(members)
+
+
 def test_long_chain_is_one_group(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501)], "a long, b long")
     got = {r.uid: r.root for r in near_dedup.connected(links).collect()}
