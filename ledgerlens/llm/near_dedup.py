@@ -14,6 +14,9 @@ them. If all but ``few`` then belong to one connected group, it ends by comparin
 other nodes branch on. What has not come apart after ``levels`` levels is compared exhaustively in blocks, so no candidate
 is ever dropped for the size of its node.
 
+Whole sets are compared in the end, so groups are proposed by the lowest byte of each token: tokens that differ agree there
+once in 256, which proposes a little more and never less. Branches go by whole tokens.
+
 * Words are runs without the six ASCII blanks, A-Z lower-cased. A text of fewer words than a shingle is one shingle of
   all its words; a missing text, and one without words, has the empty set and is linked with nothing.
 * The group's id is the smallest id reachable; a row without an id counts last, and among rows of one id the smallest
@@ -32,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import codes_of, lower_words_of, numbered, slices
-from ledgerlens.session import staged
+from ledgerlens.session import bucketed, staged
 
 PAIRS = "array<struct<a:bigint,b:bigint>>"
 
@@ -91,30 +94,31 @@ def shingle_sets(texts: list[str | None], k: int) -> tuple[np.ndarray, np.ndarra
 
 
 def _sketches(texts: list[str | None], s: Settings) -> list[tuple]:
-    """(size of the set, a name of the set, its minwise tokens as bytes) for each text."""
+    """(size of the set, a name of the set, the lowest byte of each minwise token, their other bytes) for each text."""
     h, sizes = shingle_sets(texts, s.shingle)
     full = np.flatnonzero(sizes)
     if not len(full):
-        return [(0, None, None)] * len(texts)
+        return [(0, None, None, None)] * len(texts)
     starts = (np.cumsum(sizes) - sizes)[full]
     numbers = np.random.default_rng(s.seed).integers(1, 1 << 63, (2, s.positions), np.uint64)
     tokens = np.empty((len(full), s.positions), np.uint32)
     for i, (a, b) in enumerate(zip(numbers[0] | np.uint64(1), numbers[1], strict=True)):
         tokens[:, i] = np.minimum.reduceat((h ^ b) * a, starts) >> np.uint64(32)
     name = [np.add.reduceat(_mixed(h ^ np.uint64(c)), starts).tolist() for c in (0x5851F42D4C957F2D, 0x2545F4914F6CDD1D)]
-    rows: list[tuple] = [(0, None, None)] * len(texts)
+    rows: list[tuple] = [(0, None, None, None)] * len(texts)
     for i, text in enumerate(full.tolist()):
-        rows[text] = (int(sizes[text]), f"{name[0][i]:016x}{name[1][i]:016x}", tokens[i].tobytes())
+        own = tokens[i].astype("<u4").view(np.uint8).reshape(-1, 4)
+        rows[text] = (int(sizes[text]), f"{name[0][i]:016x}{name[1][i]:016x}", own[:, 0].tobytes(), own[:, 1:].tobytes())
     return rows
 
 
 def _sketcher(s: Settings):
-    @F.pandas_udf("n_shingles bigint, set string, sketch binary")
+    @F.pandas_udf("n_shingles bigint, set string, sketch binary, branch binary")
     def sketch(texts: pd.Series) -> pd.DataFrame:
         frame, rows = texts.to_frame("t"), []
         for run in slices(frame, frame["t"].str.len().fillna(0).to_numpy(), s.batch_chars):
             rows += _sketches(run["t"].tolist(), s)
-        return pd.DataFrame(rows, columns=["n_shingles", "set", "sketch"])
+        return pd.DataFrame(rows, columns=["n_shingles", "set", "sketch", "branch"])
 
     return sketch
 
@@ -159,8 +163,8 @@ def _grouper(s: Settings):
         found = []
         for a, ra, x, b, rb, y in zip(ids, roots, sketches, few, few_roots, few_sketches, strict=True):
             a, ra, b, rb = map(np.asarray, (a, ra, b, rb))
-            left = np.frombuffer(b"".join(x), np.uint32).reshape(len(a), -1)
-            right = np.frombuffer(b"".join(y), np.uint32).reshape(len(b), -1)
+            left = np.frombuffer(b"".join(x), np.uint8).reshape(len(a), -1)
+            right = np.frombuffer(b"".join(y), np.uint8).reshape(len(b), -1)
             alike = np.zeros((len(a), len(b)), np.int16)
             for k in range(s.positions):
                 alike += left[:, k, None] == right[None, :, k]
@@ -318,16 +322,16 @@ def _extended(roots: DataFrame | None, links: DataFrame) -> DataFrame:
 # --- The join ---
 
 
-def _branches(positions: list[Column], sketch: str, path: list[Column]) -> Column:
-    """The nodes that a set goes to: the path, a position, and the token there."""
-    at = lambda p: F.substring(F.col(sketch), p * 4 + 1, F.lit(4))
+def _branches(positions: list[Column], path: list[Column]) -> Column:
+    """The nodes that a set goes to: the path, a position, and the whole token there."""
+    at = lambda p: F.concat(F.substring("sketch", p + 1, F.lit(1)), F.substring("branch", p * 3 + 1, F.lit(3)))
     return F.array(*[F.xxhash64(*path, p, at(p)) for p in positions])
 
 
 def _roots(sketches: DataFrame, s: Settings) -> DataFrame:
     chosen = np.random.default_rng(s.seed + 1).permutation(s.positions)
     nodes = [
-        _branches([F.lit(int(chosen[(2 * t + i) % s.positions])) for i in range(2)], "sketch", [F.lit(t)]) for t in range(s.trees)
+        _branches([F.lit(int(chosen[(2 * t + i) % s.positions])) for i in range(2)], [F.lit(t)]) for t in range(s.trees)
     ]
     return sketches.select("uid", "size", F.explode(F.concat(*nodes)).alias("node"))
 
@@ -336,7 +340,7 @@ def _next_nodes(large: DataFrame, s: Settings) -> DataFrame:
     """One branch for each set of a node, and a second in as many nodes as the similarity asks for."""
     draw = lambda i: F.xxhash64("node", F.lit(s.seed + i))
     positions = [F.pmod(draw(i), F.lit(s.positions)).cast("int") for i in range(2)]
-    both = _branches(positions, "sketch", [F.col("node")])
+    both = _branches(positions, [F.col("node")])
     second = F.pmod(draw(2), F.lit(1000)) < int(1000 * (100 / s.percent - 1))
     return large.select("uid", "size", F.explode(F.array_distinct(F.when(second, both).otherwise(F.slice(both, 1, 1)))).alias("node"))
 
@@ -360,7 +364,7 @@ def grouped(docs: DataFrame, s: Settings = Settings(), doc_id: str = "doc_id", t
     rank = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "key")
     full = rows.filter("n_shingles > 0")
     sets = numbered(
-        full.groupBy("set").agg(F.min(rank).alias("first"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")),
+        full.groupBy("set").agg(F.min(rank).alias("first"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.first("branch").alias("branch")),
         "sets",
     )
     roots = _joined(docs, sets, s, doc_id, text).join(sets.select("uid", "set", "first"), "uid")
@@ -368,7 +372,7 @@ def grouped(docs: DataFrame, s: Settings = Settings(), doc_id: str = "doc_id", t
     linked = roots.join(smallest, "root").select("set", "smallest")
     own = sets.select("set", "first").join(linked, "set", "left")
     classes = own.select(F.col("set").alias("_set"), F.coalesce("smallest", "first").alias("best"))
-    out = rows.drop("sketch").join(classes, F.col("set") == F.col("_set"), "left")
+    out = rows.drop("sketch", "branch").join(classes, F.col("set") == F.col("_set"), "left")
     is_first = F.col("n_shingles").eqNullSafe(0) | (F.col("key") == F.col("best.key"))
     component = F.when(F.col("best").isNull(), F.col("doc_id")).otherwise(F.col("best.doc_id"))
     return out.select("doc_id", "key", "n_shingles", component.alias("component_id"), is_first.alias("kept"))
@@ -382,7 +386,7 @@ def _joined(docs: DataFrame, sets: DataFrame, s: Settings, doc_id: str, text: st
     """(uid, root) of all sets with a link, the root naming the connected group."""
     sketches = sets.select("uid", "sketch")
     roots, full = None, None
-    frontier = _roots(sets.select("uid", "sketch", F.col("n").alias("size")), s)
+    frontier = _roots(sets.select("uid", "sketch", "branch", F.col("n").alias("size")), s)
     for level in range(s.levels + 1):
         nodes = _populated(frontier, level)
         small = (F.col("n") <= s.leaf) & (F.col("total") <= s.block_shingles)
@@ -404,14 +408,17 @@ def _joined(docs: DataFrame, sets: DataFrame, s: Settings, doc_id: str, text: st
         roots = _extended(roots, _links(groups, full, s))
         if rest is None or rest.isEmpty():
             return roots
-        frontier = staged(_next_nodes(large.join(rest.distinct(), "node", "left_semi").join(sketches, "uid"), s), "frontier")
+        frontier = staged(_next_nodes(large.join(rest.distinct(), "node", "left_semi").join(sets.select("uid", "sketch", "branch"), "uid"), s), "frontier")
 
 
 def _stored_sets(docs: DataFrame, wanted: DataFrame, s: Settings, doc_id: str, text: str) -> DataFrame:
-    """(uid, n, hashes): the full sets of the wanted numbers, from the text that stands for each."""
+    """(uid, n, hashes): the full sets of the wanted numbers, from the text that stands for each.
+
+    Every level joins groups with them, so they are dealt by their number once, as texts, which are shorter.
+    """
     keyed = docs.select(row_key(doc_id, text).alias("key"), F.col(text).alias("text"))
     found = wanted.select("uid", "n", F.col("first.key").alias("key")).join(keyed, "key").dropDuplicates(["key"])
-    return staged(found.select("uid", "n", _full_sets(s)("text").alias("hashes")), "full-sets")
+    return bucketed(found.select("uid", "n", "text"), "full-sets", "uid", then=lambda dealt: dealt.withColumn("hashes", _full_sets(s)("text")).drop("text"))
 
 
 def _unconnected(labelled: DataFrame, s: Settings, last: bool) -> tuple[DataFrame, DataFrame | None]:

@@ -177,6 +177,47 @@ def test_roots_are_joined_with_a_node_once(spark, monkeypatch):
     assert members[0] >= 1000 and 0 < joined.value <= 2 * sum(members)
 
 
+def test_full_sets_stay_where_they_are(spark, monkeypatch):
+    """Each level joins the full sets with its groups; only the groups' numbers move for it. A compared token is one byte."""
+    plans, sizes = [], []
+
+    def links(groups, full, s, real=near_dedup._links):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        joined = groups.select(F.explode("ids").alias("uid")).join(full, "uid")
+        plans.append(joined._jdf.queryExecution().executedPlan().toString())
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        return real(groups, full, s)
+
+    def leaves(nodes, sketches, *args, real=near_dedup._leaf_groups):
+        sizes.extend(len(r.sketch) for r in sketches.select("sketch").collect())
+        return real(nodes, sketches, *args)
+
+    monkeypatch.setattr(near_dedup, "_links", links)
+    monkeypatch.setattr(near_dedup, "_leaf_groups", leaves)
+    rng = random.Random(31)
+    texts = [random_words(rng, 50, 10_000) for _ in range(20)]
+    texts += [[*t[:-1], "other"] for t in texts]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    s = near_dedup.Settings(shingle=3, percent=85)
+    got = {r.doc_id: r.component_id for r in near_dedup.grouped(df, s).collect()}
+    assert got == {i: i % 20 for i in range(40)}
+    assert plans and all(p.count("Exchange hashpartitioning") == 1 for p in plans)
+    assert set(sizes) == {s.positions}
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    """What a stored table shuffled is deleted with its statement, not when the driver next collects its garbage."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: set(re.findall(r"shuffle_\d+_\d+_\d+\.data", disk.getAllFiles().mkString("|")))
+    before = shuffled()
+    counts = staged(spark.range(100_000).groupBy((F.col("id") % 1_000).alias("k")).count(), "counts")
+    end = time.perf_counter() + 10
+    while shuffled() - before and time.perf_counter() < end:
+        time.sleep(0.1)
+    assert not shuffled() - before
+    assert counts.count() == 1_000
+
+
 def test_long_chain_is_one_group(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501)], "a long, b long")
     got = {r.uid: r.root for r in near_dedup.connected(links).collect()}
