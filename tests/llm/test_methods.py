@@ -358,6 +358,36 @@ def test_suffix_tree_learns_a_passage_in_a_corpus_of_any_size(spark, others):
     assert row.score - row.base_score > 5
 
 
+@pytest.mark.parametrize("group, chunk, depth", [(1_000_000, 1_000_000, 0), (150, 700, 2), (30, 2_000, 3)])
+def test_suffix_tree_passes_neither_words_nor_contexts_through_the_driver(spark, monkeypatch, group, chunk, depth):
+    """With no broadcast and no gathered table the scores are the plain tree's, whatever contexts have too many places."""
+    rng = random.Random(11)
+    tails = ["of the old crows", "of the day", "and so of the old crows we sing", ""]
+    tail = lambda i: rng.choice(tails).split() * rng.randrange(3) + [f"once{i % 290}"]
+    texts = [" ".join(random_words(rng, rng.randrange(40)) + tail(i)) for i in range(400)]
+    rows = [*enumerate(texts), (2**60 + 1, None), (None, "of the day"), (None, "of the day")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    symbols = {d: tuple(suffix_tree._symbols(t)) for d, t in rows}
+    settings = suffix_tree.Settings(least_gain=4.0, largest_group=group, chunk_codes=chunk)
+    score, kept = plain_tree([s for d, s in symbols.items() if d is not None and d % 10], settings)
+    assert {len(c) for c in kept} == {1, 2, 3}
+    found = []
+    pairs = suffix_tree._large_pairs
+    monkeypatch.setattr(suffix_tree, "_large_pairs", lambda *args: found.append(pairs(*args)) or found[-1])
+
+    def refused(*args, **more):
+        raise AssertionError("a table in the driver")
+
+    monkeypatch.setattr(type(df), "toArrow", refused)
+    monkeypatch.setattr(type(df), "toPandas", refused)
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", refused)
+    got = suffix_tree.scored(df, F.col("doc_id") % 10 != 0, settings).collect()
+    assert len(found[0][0]) >= depth
+    assert Counter((r.doc_id, r.is_training) for r in got) == Counter((d, None if d is None else d % 10 != 0) for d, _ in rows)
+    for r in got:
+        assert r.n_tokens == len(symbols[r.doc_id]) and r.score == pytest.approx(score(symbols[r.doc_id]), rel=1e-9, abs=1e-6)
+
+
 KEY = "Xk29fLq8ZpW3vN7tYb4RmC6dQz"
 DIGEST = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b2b0b822cd15d6c15b0f00a08"
 
